@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arealis.session import checkpointed
@@ -78,7 +78,7 @@ def run_rank(df: DataFrame, class_col: str, order: str | Sequence[str], name: st
     opened = F.when(first_in_slice, 0).when(previous.isNull(), 1).when(cls == previous, 0).otherwise(1)
     marked = sliced.select("*", opened.alias("_open"), first_in_slice.alias("_head"))
 
-    position = F.struct(*keys)
+    position = F.struct(*[c for k in keys for c in (F.col(k).isNull(), F.col(k))])
     totals = marked.groupBy("_slice").agg(
         F.sum("_open").alias("_opened"),
         F.max(F.when(F.col("_head"), F.struct(cls.alias("c")))).getField("c").alias("_first"),
@@ -158,9 +158,9 @@ def cluster_by(df: DataFrame, key: str | Sequence[str], partitions: int | None =
     return ranged.sortWithinPartitions(*columns)
 
 
-def analyze_table(df_or_name, spark=None) -> None:
+def analyze_table(spark: SparkSession, name: str) -> None:
     """Refresh optimizer statistics of a saved table."""
-    spark.sql(f"ANALYZE TABLE {df_or_name} COMPUTE STATISTICS FOR ALL COLUMNS")
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -50,9 +50,9 @@ def parse_profile(lines: DataFrame, schema: T.StructType, line: str = "line") ->
     """
     others = [c for c in lines.columns if c != line]
     cleaned = lines.withColumn("_text", clean_line(line)).filter(F.col("_text") != "")
-    parsed_schema = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ", _corrupt string"
     options = {"nullValue": NULL_CELL, "columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
-    parsed = cleaned.withColumn("_row", F.from_csv("_text", parsed_schema.simpleString(), options))
+    parsed = cleaned.withColumn("_row", F.from_csv("_text", ddl, options))
 
     width = len(schema.fields)
     cells = F.size(F.split(F.regexp_replace("_text", '"[^"]*"', "q"), ","))

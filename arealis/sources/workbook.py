@@ -101,12 +101,14 @@ def skip_preamble(cells: DataFrame, markers=SHEET_MARKERS) -> DataFrame:
     )
 
 
-def _named(cells: DataFrame, sheet: int, names) -> DataFrame:
+def _named(cells: DataFrame, sheet: int, names, drop_excess: bool = False) -> DataFrame:
     width = len(names)
     size = F.size("cells")
-    # three excess columns (7 to 9) are dropped together or not at all
-    kept = F.when(size >= width + 3, F.concat(F.slice("cells", 1, width), F.slice("cells", width + 4, 16384)))
-    row = kept.otherwise(F.col("cells"))
+    row = F.col("cells")
+    if drop_excess:
+        # the three columns after the named ones go together or not at all
+        kept = F.concat(F.slice("cells", 1, width), F.slice("cells", width + 4, 16384))
+        row = F.when(size >= width + 3, kept).otherwise(row)
     extra = F.exists(F.slice(row, width + 1, 16384), lambda c: F.nullif(F.trim(c), F.lit("")).isNotNull())
     checked = F.when(extra, F.raise_error(F.concat(F.lit("extra columns in "), "file")).cast("array<string>")).otherwise(row)
     picked = cells.filter(F.col("sheet") == sheet).select(checked.alias("c"))
@@ -123,7 +125,7 @@ def load_metadata(cells: DataFrame, check: bool = True) -> tuple[DataFrame, Data
     """
     below = skip_preamble(cells)
     tables = _named(below, 0, TABLE_COLUMNS).filter(F.col("table_number").isNotNull())
-    stats = _named(below, 1, STAT_COLUMNS)
+    stats = _named(below, 1, STAT_COLUMNS, drop_excess=True)
     if check:
         assert_unique(tables, "table_number")
         assert_unique(stats, "sequential_id")
