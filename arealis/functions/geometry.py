@@ -156,6 +156,27 @@ def orient_ccw(geom: Column | str) -> Column:
     return F.transform(_col(geom), lambda part: F.transform(part, orient))
 
 
+def clean_rings(geom: Column | str) -> Column:
+    """Close rings, drop repeated vertices and rings without area, orient the rest.
+
+    Self-intersections are left as they are; ``is_simple`` flags them.
+    """
+
+    def tidy(ring: Column) -> Column:
+        distinct = F.filter(ring, lambda v, i: (i == 0) | ~v.eqNullSafe(F.get(ring, i - 1)))
+        open_end = ~F.get(distinct, F.lit(0)).eqNullSafe(F.get(distinct, F.size(distinct) - 1))
+        return F.when(open_end, F.concat(distinct, F.slice(distinct, 1, 1))).otherwise(distinct)
+
+    def tidy_part(part: Column) -> Column:
+        closed = F.transform(part, tidy)
+        shell_ok = ring_area(F.get(closed, F.lit(0))) != 0
+        kept = F.filter(closed, lambda r: (F.size(r) >= 4) & (ring_area(r) != 0))
+        return F.when(shell_ok, kept).otherwise(F.slice(kept, 1, 0))
+
+    parts = F.filter(F.transform(_col(geom), tidy_part), lambda part: F.size(part) > 0)
+    return orient_ccw(parts)
+
+
 # --- tables of parts and rings ----------------------------------------------
 
 

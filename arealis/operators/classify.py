@@ -48,18 +48,21 @@ def kmeans_centres(df: DataFrame, value: Column | str, k: int, max_iterations: i
         df.select(v.cast("double").alias("v")).filter(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("w"))
     )
     centres = _starting_centres(values, k)
+    held: dict[int, int] = {}
     for _ in range(max_iterations):
         sums = (
             values.groupBy(_nearest(F.col("v"), centres).alias("c"))
-            .agg((F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias("mean"))
+            .agg((F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias("mean"), F.sum("w").alias("rows"))
             .collect()
         )
+        # classes are contiguous, so equal row counts mean no value changed class
+        rows = {r["c"]: r["rows"] for r in sums}
+        if rows == held:
+            break
+        held = rows
         means = {r["c"]: r["mean"] for r in sums}
         # a class that lost all its values keeps its centre
-        moved = sorted(means.get(i, centres[i]) for i in range(k))
-        if moved == centres:
-            break
-        centres = moved
+        centres = sorted(means.get(i, centres[i]) for i in range(k))
     return centres
 
 
