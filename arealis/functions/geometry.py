@@ -216,43 +216,46 @@ def edges(geom: Column | str) -> Column:
 # --- predicates -------------------------------------------------------------
 
 
-def point_state(edge_list: Column, px: Column, py: Column) -> Column:
-    """``struct<crossings:int, on_edge:boolean>`` of a rightward ray from the point.
+def _side(e: Column, px: Column, py: Column) -> Column:
+    """Positive left of the directed edge, negative right, zero on its line.
 
-    The side of the edge is a cross product, so there is no division and a point
-    exactly on an edge is recognised exactly.
-    """
-    start = F.struct(F.lit(0).alias("crossings"), F.lit(False).alias("on_edge"))
-
-    def step(acc: Column, e: Column) -> Column:
-        side = (e["x2"] - e["x1"]) * (py - e["y1"]) - (px - e["x1"]) * (e["y2"] - e["y1"])
-        up = (e["y1"] <= py) & (e["y2"] > py) & (side > 0)
-        down = (e["y2"] <= py) & (e["y1"] > py) & (side < 0)
-        touches = (
-            (side == 0)
-            & (px >= F.least(e["x1"], e["x2"]))
-            & (px <= F.greatest(e["x1"], e["x2"]))
-            & (py >= F.least(e["y1"], e["y2"]))
-            & (py <= F.greatest(e["y1"], e["y2"]))
-        )
-        return F.struct(
-            (acc["crossings"] + F.when(up | down, 1).otherwise(0)).alias("crossings"),
-            (acc["on_edge"] | touches).alias("on_edge"),
+    A cross product, so there is no division and a point on an edge is
+    recognised exactly."""
+    return (e["x2"] - e["x1"]) * (py - e["y1"]) - (px - e["x1"]) * (e["y2"] - e["y1"])
+
+
+def crossings(edge_list: Column, px: Column, py: Column) -> Column:
+    """How many edges a rightward ray from the point meets. The cheap range test
+    comes first: lambdas are interpreted, and most edges fail it."""
+    return F.size(
+        F.filter(
+            edge_list,
+            lambda e: ((e["y1"] <= py) != (e["y2"] <= py)) & ((_side(e, px, py) > 0) == (e["y2"] > e["y1"])),
         )
+    )
 
-    return F.aggregate(edge_list, start, step)
+
+def on_edge(edge_list: Column, px: Column, py: Column) -> Column:
+    return F.exists(
+        edge_list,
+        lambda e: (py >= F.least(e["y1"], e["y2"]))
+        & (py <= F.greatest(e["y1"], e["y2"]))
+        & (px >= F.least(e["x1"], e["x2"]))
+        & (px <= F.greatest(e["x1"], e["x2"]))
+        & (_side(e, px, py) == 0),
+    )
 
 
 def intersects(point: Column | str, geom: Column | str) -> Column:
     """Point in polygon, boundary included (even-odd over all rings)."""
-    state = point_state(edges(geom), x(point), y(point))
-    return state["on_edge"] | (state["crossings"] % 2 == 1)
+    lines = edges(geom)
+    return (crossings(lines, x(point), y(point)) % 2 == 1) | on_edge(lines, x(point), y(point))
 
 
 def contains(geom: Column | str, point: Column | str) -> Column:
     """Point strictly inside the polygon."""
-    state = point_state(edges(geom), x(point), y(point))
-    return ~state["on_edge"] & (state["crossings"] % 2 == 1)
+    lines = edges(geom)
+    return (crossings(lines, x(point), y(point)) % 2 == 1) & ~on_edge(lines, x(point), y(point))
 
 
 # --- coordinate systems -----------------------------------------------------

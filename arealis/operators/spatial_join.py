@@ -39,9 +39,9 @@ def _grid_level(extent: Column, vertices: Column | None = None) -> Column:
     many vertices get finer cells (at most 65 per side)."""
     wanted = extent
     if vertices is not None:
-        side = F.greatest(F.lit(1.0), F.least(F.lit(64.0), F.sqrt(vertices.cast("double")) / 2))
+        side = F.greatest(F.lit(2.0), F.least(F.lit(64.0), F.sqrt(vertices.cast("double")) / 2))
         wanted = extent / side
-    level = F.ceil(F.log(F.lit(4.0), F.greatest(wanted, F.lit(1e-12))))
+    level = F.ceil(F.log2(F.greatest(wanted, F.lit(1e-12))) / 2)
     return F.greatest(F.least(level, F.lit(LEVELS[1])), F.lit(LEVELS[0])).cast("int")
 
 
@@ -60,7 +60,8 @@ def _degrees_grown(df: DataFrame, metres: float) -> DataFrame:
 
 
 def cell_cover(bdy: DataFrame, geom: str = "geom", metres: float = 0.0) -> DataFrame:
-    """Boundary attributes per grid cell: ``_level, _ci, _cj, _parity, _edges``.
+    """Boundary attributes per grid cell: ``_level, _ci, _cj, _parity, _edges``
+    and the box ``_x0, _y0, _x1, _y1``.
 
     Rows of cells are exploded first and keep only the edges of their band, so a
     polygon with many vertices is not copied whole into every cell.
@@ -86,8 +87,9 @@ def cell_cover(bdy: DataFrame, geom: str = "geom", metres: float = 0.0) -> DataF
     bands = levelled.withColumn(
         "_cj", F.explode(F.sequence(_index(F.col("_y0"), level), _index(F.col("_y1"), level)))
     )
-    low, high = F.col("_cj") * cell_size(level), (F.col("_cj") + 1) * cell_size(level)
-    gy = F.col("_gy")
+    # bounds become columns of their own, or every lambda call would work them out again
+    bands = bands.withColumns({"_low": F.col("_cj") * cell_size(level), "_high": (F.col("_cj") + 1) * cell_size(level)})
+    low, high, gy = F.col("_low"), F.col("_high"), F.col("_gy")
     bands = bands.withColumn(
         "_edges",
         F.filter(
@@ -98,8 +100,8 @@ def cell_cover(bdy: DataFrame, geom: str = "geom", metres: float = 0.0) -> DataF
     cells = bands.withColumn(
         "_ci", F.explode(F.sequence(_index(F.col("_x0"), level), _index(F.col("_x1"), level)))
     )
-    left, right = F.col("_ci") * cell_size(level), (F.col("_ci") + 1) * cell_size(level)
-    gx = F.col("_gx")
+    cells = cells.withColumns({"_left": F.col("_ci") * cell_size(level), "_right": (F.col("_ci") + 1) * cell_size(level)})
+    left, right, gx = F.col("_left"), F.col("_right"), F.col("_gx")
 
     def past(e: Column) -> Column:
         return F.least(e["x1"], e["x2"]) > right + gx
@@ -115,6 +117,10 @@ def cell_cover(bdy: DataFrame, geom: str = "geom", metres: float = 0.0) -> DataF
         "_level",
         "_ci",
         "_cj",
+        "_x0",
+        "_y0",
+        "_x1",
+        "_y1",
         (F.size(F.filter("_edges", lambda e: past(e) & spans(e))) % 2).alias("_parity"),
         F.filter("_edges", lambda e: ~(past(e) & spans(e))).alias("_edges"),
     ).filter((F.size("_edges") > 0) | (F.col("_parity") == 1))
@@ -122,7 +128,7 @@ def cell_cover(bdy: DataFrame, geom: str = "geom", metres: float = 0.0) -> DataF
 
 def _row_bytes(df: DataFrame) -> Column:
     """Estimated bytes of a cover row in a hash table."""
-    total = F.lit(96) + F.size("_edges") * 40
+    total = F.lit(128) + F.size("_edges") * 40
     for name, kind in df.dtypes:
         if name.startswith("_"):
             continue
@@ -178,15 +184,18 @@ def _cell_join(points: DataFrame, cover: DataFrame, px: str, py: str, broadcast_
     probed = _with_cells(points, levels, px, py)
     keys = ["_level", "_ci", "_cj"]
     if size <= broadcast_bytes:
-        return probed.join(F.broadcast(cover), keys)
-    probed, cover = _split_hot_cells(probed, cover, points.columns, hot_rows)
-    return probed.join(cover, [*keys, "_salt"]).drop("_salt")
+        joined = probed.join(F.broadcast(cover), keys)
+    else:
+        probed, cover = _split_hot_cells(probed, cover, points.columns, hot_rows)
+        joined = probed.join(cover, [*keys, "_salt"]).drop("_salt")
+    # compiled box test, so that the interpreted one sees few candidates
+    return joined.filter(F.col(px).between(F.col("_x0"), F.col("_x1")) & F.col(py).between(F.col("_y0"), F.col("_y1")))
 
 
 def _inside(px: str, py: str) -> Column:
-    state = G.point_state(F.col("_edges"), F.col(px), F.col(py))
-    tested = state["on_edge"] | ((state["crossings"] + F.col("_parity")) % 2 == 1)
-    return F.when(F.size("_edges") == 0, F.col("_parity") == 1).otherwise(tested)
+    """Exact test on a candidate: parity first, borders only for points outside."""
+    lines, x, y = F.col("_edges"), F.col(px), F.col(py)
+    return ((G.crossings(lines, x, y) + F.col("_parity")) % 2 == 1) | G.on_edge(lines, x, y)
 
 
 def tag_points(
