@@ -13,13 +13,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from arealis.functions.geometry import GEOM_TYPE, MERCATOR_RADIUS, RING_TYPE
+from arealis.functions.geometry import GEOM, MERCATOR_RADIUS, RING
 
 Ring = np.ndarray
 Geometry = list[list[Ring]]
 
-STRIP_TYPE = f"array<struct<i:int,geom:{GEOM_TYPE}>>"
+STRIPS = T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("geom", GEOM)]))
 
 
 # --- Arrow buffers <-> rings ------------------------------------------------------------
@@ -130,7 +131,7 @@ def _halve(part: list[Ring], limit: int) -> list[Geometry]:
     return done
 
 
-@F.arrow_udf(f"array<{GEOM_TYPE}>")
+@F.arrow_udf(T.ArrayType(GEOM))
 def _subdivide(geom: pa.Array, limit: pa.Array) -> pa.Array:
     pieces = [
         None if g is None else [h for part in g if part for h in _halve(part, n)]
@@ -174,7 +175,7 @@ def _strips(geom: Geometry, axis: int, buffer: float, top: int) -> list[tuple[in
     return done
 
 
-@F.arrow_udf(STRIP_TYPE)
+@F.arrow_udf(STRIPS)
 def _strip_udf(geom: pa.Array, axis: pa.Array, buffer: pa.Array, top: pa.Array) -> pa.Array:
     settings = zip(unpack(geom), axis.to_pylist(), buffer.to_pylist(), top.to_pylist())
     rows = [None if g is None else _strips(g, a, b, t) for g, a, b, t in settings]
@@ -232,7 +233,7 @@ def thin_line(line: Ring, tolerance: float, keep: int) -> Ring:
     return line[alive]
 
 
-@F.arrow_udf(GEOM_TYPE)
+@F.arrow_udf(GEOM)
 def _simplify_vw(geom: pa.Array, tolerance: pa.Array) -> pa.Array:
     return _map_geometries(lambda g, tol: [[thin_line(r, tol, 2) for r in part] for part in g], geom, tolerance)
 
@@ -267,7 +268,7 @@ def _dp_part(part: list[Ring], tolerance: float) -> list[Ring]:
     return [r for r in thin if len(r) >= 4] if thin and len(thin[0]) >= 4 else []
 
 
-@F.arrow_udf(GEOM_TYPE)
+@F.arrow_udf(GEOM)
 def _simplify_dp(geom: pa.Array, tolerance: pa.Array) -> pa.Array:
     return _map_geometries(lambda g, tol: [p for p in (_dp_part(part, tol) for part in g) if p], geom, tolerance)
 
@@ -295,7 +296,7 @@ def _thin_arcs(ring: Ring, nodes: set[tuple[float, float]], tolerance: float) ->
     return np.vstack([arcs[0][:1]] + [a[1:] for a in arcs])
 
 
-@F.arrow_udf(GEOM_TYPE)
+@F.arrow_udf(GEOM)
 def _simplify_arcs(geom: pa.Array, nodes: pa.Array, tolerance: pa.Array) -> pa.Array:
     points, node_at = nodes.values, nodes.offsets.to_numpy()
     xs, ys = points.field("x").to_pylist(), points.field("y").to_pylist()
@@ -355,7 +356,7 @@ def common_area(a: Geometry, b: Geometry) -> float:
     return max(total, 0.0)
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def _intersection_area(a: pa.Array, b: pa.Array) -> pa.Array:
     pairs = zip(unpack(a), unpack(b))
     return pa.array([None if p is None or q is None else common_area(p, q) for p, q in pairs], pa.float64())
@@ -400,7 +401,7 @@ def rings_are_simple(geom: Geometry) -> bool:
     return True
 
 
-@F.arrow_udf("boolean")
+@F.arrow_udf(T.BooleanType())
 def _is_simple(geom: pa.Array) -> pa.Array:
     return pa.array([None if g is None else rings_are_simple(g) for g in unpack(geom)], pa.bool_())
 
@@ -448,7 +449,7 @@ def grown_hull(geom: Geometry, radius: float, in_metres: bool) -> Geometry:
     return [[convex_hull(disks.reshape(-1, 2))]]
 
 
-@F.arrow_udf(GEOM_TYPE)
+@F.arrow_udf(GEOM)
 def _grown_hull(geom: pa.Array, radius: pa.Array, in_metres: pa.Array) -> pa.Array:
     return _map_geometries(grown_hull, geom, radius, in_metres)
 
@@ -504,7 +505,7 @@ def draw_points(geom: Geometry, n: int, seed: int) -> np.ndarray:
     return np.concatenate(found)[:n]
 
 
-@F.arrow_udf(RING_TYPE)
+@F.arrow_udf(RING)
 def _draw(geom: pa.Array, n: pa.Array, seed: pa.Array) -> pa.Array:
     rows = zip(unpack(geom), n.to_pylist(), seed.to_pylist())
     return _pack_points([None if g is None else draw_points(g, k, s) for g, k, s in rows])

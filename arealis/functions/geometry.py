@@ -10,11 +10,12 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-POINT_TYPE = "struct<x:double,y:double>"
-RING_TYPE = f"array<{POINT_TYPE}>"
-GEOM_TYPE = f"array<array<{RING_TYPE}>>"
-EDGE_TYPE = "struct<x1:double,y1:double,x2:double,y2:double>"
+POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+RING = T.ArrayType(POINT)
+GEOM = T.ArrayType(T.ArrayType(RING))
+POINT_TYPE, RING_TYPE, GEOM_TYPE = POINT.simpleString(), RING.simpleString(), GEOM.simpleString()
 
 # Spherical mercator radius (EPSG:3857).
 MERCATOR_RADIUS = 6378137.0

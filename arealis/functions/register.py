@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from arealis.functions.arrow_geometry import _intersection_area, _is_simple, draw_points
-from arealis.functions.geometry import GEOM_TYPE, POINT_TYPE
+from arealis.functions.geometry import GEOM_TYPE, POINT, POINT_TYPE
 
 _VERTICES = "flatten(flatten(g))"
 _RING_AREA = (
@@ -56,7 +56,7 @@ SQL_FUNCTIONS = {
 }
 
 
-@F.udtf(returnType="x double, y double")
+@F.udtf(returnType=POINT)
 class RandomPoints:
     """``n`` random points strictly inside a polygon."""
 
