@@ -25,6 +25,12 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, fn) -> Column:
+    """``fn`` of a value worked out once: inside a lambda (or used twice) a plain
+    expression would be worked out again at every use."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 # --- points -----------------------------------------------------------------
 
 
@@ -53,11 +59,11 @@ def vertices(geom: Column | str) -> Column:
 
 
 def npoints(geom: Column | str) -> Column:
-    return F.size(vertices(geom))
+    return F.array_size(vertices(geom))
 
 
 def num_parts(geom: Column | str) -> Column:
-    return F.size(_col(geom))
+    return F.array_size(_col(geom))
 
 
 def is_empty(geom: Column | str) -> Column:
@@ -100,27 +106,31 @@ def with_bbox(df: DataFrame, geom: str = "geom") -> DataFrame:
 def ring_area(ring: Column) -> Column:
     """Signed area, positive when counter-clockwise. Coordinates are taken
     relative to the first vertex so small rings far from the origin keep digits."""
-    first = F.try_element_at(ring, F.lit(1))
     zero = F.lit(0.0)
     start = F.struct(zero.alias("px"), zero.alias("py"), zero.alias("s"))
 
-    def step(acc: Column, v: Column) -> Column:
-        vx = v["x"] - first["x"]
-        vy = v["y"] - first["y"]
-        return F.struct(
-            vx.alias("px"), vy.alias("py"), (acc["s"] + acc["px"] * vy - vx * acc["py"]).alias("s")
-        )
+    def doubled(r: Column) -> Column:
+        first = F.try_element_at(r, F.lit(1))
+
+        def step(acc: Column, v: Column) -> Column:
+            vx = v["x"] - first["x"]
+            vy = v["y"] - first["y"]
+            return F.struct(vx.alias("px"), vy.alias("py"), (acc["s"] + acc["px"] * vy - vx * acc["py"]).alias("s"))
+
+        return F.aggregate(r, start, step, lambda acc: acc["s"] / 2.0)
 
-    return F.aggregate(ring, start, step, lambda acc: acc["s"] / 2.0)
+    return _let(ring, doubled)
 
 
 def area(geom: Column | str) -> Column:
     """Planar area; holes (every ring after a part's first) subtract."""
 
-    def part_area(part: Column) -> Column:
-        sizes = F.transform(part, lambda r: F.abs(ring_area(r)))
+    def shell_less_holes(sizes: Column) -> Column:
         total = F.aggregate(sizes, F.lit(0.0), lambda acc, a: acc + a)
-        return F.when(F.size(part) > 0, 2.0 * F.get(sizes, F.lit(0)) - total).otherwise(0.0)
+        return F.coalesce(2.0 * F.get(sizes, F.lit(0)) - total, F.lit(0.0))
+
+    def part_area(part: Column) -> Column:
+        return _let(F.transform(part, lambda r: F.abs(ring_area(r))), shell_less_holes)
 
     return F.aggregate(F.transform(_col(geom), part_area), F.lit(0.0), lambda acc, a: acc + a)
 
@@ -163,18 +173,22 @@ def clean_rings(geom: Column | str) -> Column:
     Self-intersections are left as they are; ``is_simple`` flags them.
     """
 
+    def close(ring: Column) -> Column:
+        open_end = ~F.get(ring, F.lit(0)).eqNullSafe(F.get(ring, F.array_size(ring) - 1))
+        return F.when(open_end, F.concat(ring, F.slice(ring, 1, 1))).otherwise(ring)
+
     def tidy(ring: Column) -> Column:
         distinct = F.filter(ring, lambda v, i: (i == 0) | ~v.eqNullSafe(F.get(ring, i - 1)))
-        open_end = ~F.get(distinct, F.lit(0)).eqNullSafe(F.get(distinct, F.size(distinct) - 1))
-        return F.when(open_end, F.concat(distinct, F.slice(distinct, 1, 1))).otherwise(distinct)
+        return _let(distinct, close)
+
+    def drop_flat(part: Column) -> Column:
+        kept = F.filter(part, lambda r: (F.array_size(r) >= 4) & (ring_area(r) != 0))
+        return F.when(ring_area(F.get(part, F.lit(0))) != 0, kept).otherwise(F.slice(part, 1, 0))
 
     def tidy_part(part: Column) -> Column:
-        closed = F.transform(part, tidy)
-        shell_ok = ring_area(F.get(closed, F.lit(0))) != 0
-        kept = F.filter(closed, lambda r: (F.size(r) >= 4) & (ring_area(r) != 0))
-        return F.when(shell_ok, kept).otherwise(F.slice(kept, 1, 0))
+        return _let(F.transform(part, tidy), drop_flat)
 
-    parts = F.filter(F.transform(_col(geom), tidy_part), lambda part: F.size(part) > 0)
+    parts = F.filter(F.transform(_col(geom), tidy_part), lambda part: F.array_size(part) > 0)
     return orient_ccw(parts)
 
 
@@ -199,7 +213,7 @@ def dump_rings(df: DataFrame, geom: str = "geom") -> DataFrame:
 
 def ring_edges(ring: Column) -> Column:
     """Consecutive vertex pairs of one ring."""
-    n = F.greatest(F.size(ring) - 1, F.lit(0))
+    n = F.greatest(F.array_size(ring) - 1, F.lit(0))
     return F.zip_with(
         F.slice(ring, F.lit(1), n),
         F.slice(ring, F.lit(2), n),
@@ -228,7 +242,7 @@ def _side(e: Column, px: Column, py: Column) -> Column:
 def crossings(edge_list: Column, px: Column, py: Column) -> Column:
     """How many edges a rightward ray from the point meets. The cheap range test
     comes first: lambdas are interpreted, and most edges fail it."""
-    return F.size(
+    return F.array_size(
         F.filter(
             edge_list,
             lambda e: ((e["y1"] <= py) != (e["y2"] <= py)) & ((_side(e, px, py) > 0) == (e["y2"] > e["y1"])),
@@ -249,14 +263,16 @@ def on_edge(edge_list: Column, px: Column, py: Column) -> Column:
 
 def intersects(point: Column | str, geom: Column | str) -> Column:
     """Point in polygon, boundary included (even-odd over all rings)."""
-    lines = edges(geom)
-    return (crossings(lines, x(point), y(point)) % 2 == 1) | on_edge(lines, x(point), y(point))
+    px, py = x(point), y(point)
+    inside = _let(edges(geom), lambda lines: (crossings(lines, px, py) % 2 == 1) | on_edge(lines, px, py))
+    return F.when(px.isNotNull() & _col(geom).isNotNull(), inside)
 
 
 def contains(geom: Column | str, point: Column | str) -> Column:
     """Point strictly inside the polygon."""
-    lines = edges(geom)
-    return (crossings(lines, x(point), y(point)) % 2 == 1) & ~on_edge(lines, x(point), y(point))
+    px, py = x(point), y(point)
+    inside = _let(edges(geom), lambda lines: (crossings(lines, px, py) % 2 == 1) & ~on_edge(lines, px, py))
+    return F.when(px.isNotNull() & _col(geom).isNotNull(), inside)
 
 
 # --- coordinate systems -----------------------------------------------------
@@ -329,8 +345,8 @@ def to_wkt(geom: Column | str) -> Column:
         _col(geom), lambda p: F.concat(F.lit("("), F.array_join(F.transform(p, ring_text), ","), F.lit(")"))
     )
     return (
-        F.when(F.size(_col(geom)) == 0, F.lit("MULTIPOLYGON EMPTY"))
-        .when(F.size(_col(geom)) == 1, F.concat(F.lit("POLYGON"), F.get(part_texts, F.lit(0))))
+        F.when(F.array_size(_col(geom)) == 0, F.lit("MULTIPOLYGON EMPTY"))
+        .when(F.array_size(_col(geom)) == 1, F.concat(F.lit("POLYGON"), F.get(part_texts, F.lit(0))))
         .when(
             _col(geom).isNotNull(),
             F.concat(F.lit("MULTIPOLYGON("), F.array_join(part_texts, ","), F.lit(")")),

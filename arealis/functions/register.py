@@ -51,8 +51,8 @@ SQL_FUNCTIONS = {
         f"aggregate(transform(g, p -> aggregate(transform(p, r -> {_RING_AREA}), named_struct('i', 0, 's', 0D),"
         " (a, z) -> named_struct('i', a.i + 1, 's', if(a.i = 0, z, a.s - z)), a -> a.s)), 0D, (a, z) -> a + z)",
     ),
-    "st_intersects": (f"pt {POINT_TYPE}, g {GEOM_TYPE}", "BOOLEAN", f"transform(array({_STATE}), s -> s.on OR s.n % 2 = 1)[0]"),
-    "st_contains": (f"g {GEOM_TYPE}, pt {POINT_TYPE}", "BOOLEAN", f"transform(array({_STATE}), s -> NOT s.on AND s.n % 2 = 1)[0]"),
+    "st_intersects": (f"pt {POINT_TYPE}, g {GEOM_TYPE}", "BOOLEAN", f"if(pt.x IS NULL OR pt.y IS NULL OR g IS NULL, NULL, transform(array({_STATE}), s -> s.on OR s.n % 2 = 1)[0])"),
+    "st_contains": (f"g {GEOM_TYPE}, pt {POINT_TYPE}", "BOOLEAN", f"if(pt.x IS NULL OR pt.y IS NULL OR g IS NULL, NULL, transform(array({_STATE}), s -> NOT s.on AND s.n % 2 = 1)[0])"),
 }
 
 

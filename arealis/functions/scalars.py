@@ -84,7 +84,7 @@ def one_decimal(value: Column | str) -> Column:
 def number_text(value: Column | str, maptype: Column | str, stat_type: Column | str) -> Column:
     """Display text: thousands separators, ``$`` for ``$/`` types, ``%`` for percents."""
     v, kind = _col(value), _col(maptype)
-    grouped = F.format_number(F.round(v, 3), "#,##0.###")
+    grouped = F.call_function("format_number", F.round(v, 3), F.lit("#,##0.###"))
     money = F.when(F.instr(_col(stat_type), "$/") > 0, F.lit("$")).otherwise(F.lit(""))
     return F.when(kind == "values", F.concat(money, grouped)).otherwise(
         F.concat(one_decimal(v), F.lit("%"))

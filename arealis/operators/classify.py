@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,10 @@ from arealis.session import checkpointed
 
 # Fixed value: the iteration limit of the database's clustering function.
 MAX_ITERATIONS = 1000
+# Bins one aggregate may return to the driver, and how many bins on either side of
+# a class border are refined with it.
+MAX_BINS = 65536
+MARGIN = 256
 
 
 def _nearest(value: Column, centres: Sequence[float]) -> Column:
@@ -36,33 +41,95 @@ def _starting_centres(values: DataFrame, k: int) -> list[float]:
     return sorted(centres)
 
 
+class _Bins:
+    """Value ranges with their row counts and sums: a few megabytes at most.
+
+    ``values`` stay in Spark; a range is cut finer only where a class border
+    falls inside it, so class sums are exact at every iteration."""
+
+    def __init__(self, values: DataFrame, low: float, high: float) -> None:
+        self.values = values
+        self.table = self._count([(low, high)])
+
+    def _count(self, ranges: list[tuple[float, float]]) -> np.ndarray:
+        """Rows ``low, high, count, sum`` of the bins that the ranges are cut into."""
+        v, parts = F.col("v"), max(2, MAX_BINS // len(ranges))
+        key = None
+        for i, (low, high) in enumerate(ranges):
+            here = v.between(low, high)
+            slot = F.struct(F.lit(i).alias("range"), F.width_bucket(v, F.lit(low), F.lit(high), F.lit(parts)).alias("bin"))
+            key = F.when(here, slot) if key is None else key.when(here, slot)
+        bins = (
+            self.values.select("v", "w", key.alias("key"))
+            .filter(F.col("key").isNotNull())
+            .groupBy("key")
+            .agg(F.min("v").alias("low"), F.max("v"), F.sum("w").cast("double"), F.sum(F.col("v") * F.col("w")))
+            .drop("key")
+            .toPandas()
+        )
+        return bins.sort_values("low").to_numpy(dtype=float)
+
+    def class_sums(self, centres: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and value sums per class."""
+        while True:
+            low, high, count, total = self.table.T
+            cls = _nearest_index(low, centres)
+            split = np.flatnonzero(cls != _nearest_index(high, centres))
+            if not len(split):
+                k = len(centres)
+                return np.bincount(cls, count, k), np.bincount(cls, total, k)
+            self._refine(split)
+
+    def _refine(self, split: np.ndarray) -> None:
+        spans: list[list[int]] = []
+        for i in split:
+            first, last = max(0, i - MARGIN), min(len(self.table) - 1, i + MARGIN)
+            if spans and first <= spans[-1][1]:
+                spans[-1][1] = last
+            else:
+                spans.append([first, last])
+        finer = self._count([(float(self.table[a, 0]), float(self.table[b, 1])) for a, b in spans])
+        kept = np.ones(len(self.table), dtype=bool)
+        for a, b in spans:
+            kept[a : b + 1] = False
+        merged = np.vstack([self.table[kept], finer])
+        self.table = merged[np.argsort(merged[:, 0])]
+
+
+def _nearest_index(values: np.ndarray, centres: Sequence[float]) -> np.ndarray:
+    """The rule of ``_nearest`` on an array."""
+    gaps = np.abs(values[:, None] - np.asarray(centres))
+    return (gaps[:, 1:] < gaps[:, :-1]).sum(axis=1)
+
+
 def kmeans_centres(df: DataFrame, value: Column | str, k: int, max_iterations: int = MAX_ITERATIONS) -> list[float]:
     """Centres of a 1-D k-means with farthest-first starts, run to a standstill.
 
     Rows are first reduced to distinct values with weights, so a value holding
-    most of the rows is one row; the reduced table is checkpointed and every
-    iteration is one map-side-combined aggregate that returns k rows.
+    most of the rows is one row; the reduced table is checkpointed. An iteration
+    needs only each class's count and sum. Those come from a bounded histogram
+    that Spark refines around the class borders when they move, so most
+    iterations need no pass over the values at all, and none is approximate.
     """
     v = F.col(value) if isinstance(value, str) else value
     values = checkpointed(
         df.select(v.cast("double").alias("v")).filter(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("w"))
     )
     centres = _starting_centres(values, k)
-    held: dict[int, int] = {}
+    if k == 1:
+        total = values.agg(F.sum(F.col("v") * F.col("w")) / F.sum("w")).first()
+        return [total[0]]
+    bins = _Bins(values, centres[0], centres[-1])
+    held = None
     for _ in range(max_iterations):
-        sums = (
-            values.groupBy(_nearest(F.col("v"), centres).alias("c"))
-            .agg((F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias("mean"), F.sum("w").alias("rows"))
-            .collect()
-        )
+        rows, sums = bins.class_sums(centres)
         # classes are contiguous, so equal row counts mean no value changed class
-        rows = {r["c"]: r["rows"] for r in sums}
-        if rows == held:
+        if held is not None and np.array_equal(rows, held):
             break
         held = rows
-        means = {r["c"]: r["mean"] for r in sums}
         # a class that lost all its values keeps its centre
-        centres = sorted(means.get(i, centres[i]) for i in range(k))
+        means = np.where(rows > 0, sums / np.maximum(rows, 1), centres)
+        centres = sorted(means.tolist())
     return centres
 
 

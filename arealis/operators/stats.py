@@ -243,7 +243,7 @@ def attributes(df: DataFrame, exclude: Sequence[str] = ("geom",)) -> DataFrame:
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
     """Row count with its display text."""
     return df.agg(F.count(F.lit(1)).alias(name)).withColumn(
-        f"{name}_text", F.format_number(F.col(name), "#,##0")
+        f"{name}_text", F.format_number(F.col(name), 0)
     )
 
 

@@ -41,14 +41,16 @@ def map_extract(
     features = percent_of(attach_stats(shown, numbers, bdy_key), "value", "population")
     bounds = map_range(features, maptype, min_population)
     low, high = (bounds.select(tenths(c)).scalar() for c in ("map_min", "map_max"))
-    number = map_value(maptype, "value", "percent")
+    # columns of their own: the ramp refers to each of them many times
+    scaled = features.withColumn("map_value", map_value(maptype, "value", "percent")).withColumns(
+        {"_t": tenths("map_value"), "_low": low, "_high": high}
+    )
     colour = F.when(F.col("population") <= min_population, F.lit(LOW_POP_COLOUR)).otherwise(
-        colour_ramp(tenths("map_value"), low, high, colours, on_flat="start")
+        colour_ramp("_t", "_low", "_high", colours, on_flat="start")
     )
     geometry = [c for c in ("geom",) if c in bdy.columns]
     return (
-        features.withColumn("map_value", number)
-        .withColumn("pop_class", pop_class("population", min_population))
+        scaled.withColumn("pop_class", pop_class("population", min_population))
         .withColumn("colour", colour)
         .select(F.col(bdy_key).alias("id"), F.col(name).alias("name"), "population", "value", "percent", "map_value", "pop_class", "colour", *geometry)
     )

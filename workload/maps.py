@@ -59,16 +59,16 @@ def extract_sql(maptype: str) -> str:
 
 
 def web_layer(spark, sf):
-    thin = thinning.thin_layer(ragged(spark, sf), 8)
+    thin = thinning.thin_layer(ragged(spark, sf), 5)
     return thin.select("code", G.npoints("geom").alias("n"))
 
 
-WEB_TOLERANCE_SQL = "7 * pow(156543.03390625::DOUBLE / 512, 2) / pow(2 * pi() * 6378137 / 360, 2)"
+WEB_TOLERANCE_SQL = "7 * pow(156543.03390625::DOUBLE / 64, 2) / pow(2 * pi() * 6378137 / 360, 2)"
 
 
 def thinning_ratio(spark, sf):
     before = ragged(spark, sf)
-    return A.thinning_report(before, thinning.thin_layer(before, 8), "code")
+    return A.thinning_report(before, thinning.thin_layer(before, 5), "code")
 
 
 def tile_rows(spark, sf):
@@ -202,13 +202,13 @@ QUERIES = {
     ),
     "c05_web_layer": (
         web_layer,
-        with_sql(RAGGED_SQL, body=f"SELECT code, CAST(CASE WHEN step * step / 8 < {WEB_TOLERANCE_SQL} THEN 5 ELSE 4 * steps + 1 END AS INT) AS n FROM raggeds"),
+        with_sql(RAGGED_SQL, body=f"SELECT code, CAST(CASE WHEN w * step / 256 < {WEB_TOLERANCE_SQL} THEN 5 ELSE 4 * steps + 1 END AS INT) AS n FROM raggeds"),
     ),
     "a12_thinning_report": (
         thinning_ratio,
         with_sql(
             RAGGED_SQL,
-            f"n AS (SELECT 4 * steps + 1 AS a, CASE WHEN step * step / 8 < {WEB_TOLERANCE_SQL} THEN 5 ELSE 4 * steps + 1 END AS b FROM raggeds)",
+            f"n AS (SELECT 4 * steps + 1 AS a, CASE WHEN w * step / 256 < {WEB_TOLERANCE_SQL} THEN 5 ELSE 4 * steps + 1 END AS b FROM raggeds)",
             body="""SELECT count(*) AS num_geoms, count(*) AS num_geoms_after, CAST(sum(a) AS BIGINT) AS points_before, CAST(sum(b) AS BIGINT) AS points_after,
               CAST(sum(b) AS BIGINT) * 100.0::DOUBLE / CAST(sum(a) AS BIGINT) AS percent_left FROM n""",
         ),

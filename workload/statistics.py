@@ -322,11 +322,11 @@ def texts(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", X.number_text("o_totalprice", kind, unit).alias("text"))
 
 
+# the exact decimal expansion of the double decides the tie
 _TENTHS_SQL = """
-exact AS (SELECT o_orderkey, o_totalprice AS v, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
-tenth AS (SELECT o_orderkey, v, cents, CASE WHEN cents % 10 < 5 THEN cents // 10 WHEN cents % 10 > 5 THEN cents // 10 + 1
-  WHEN v * 16 - (cents * 16) / 100.0::DOUBLE >= 0 AND CAST(v AS DECIMAL(38, 20)) >= CAST(cents AS DECIMAL(38, 20)) / 100 THEN cents // 10 + 1
-  ELSE cents // 10 END AS t FROM exact)
+exact AS (SELECT o_orderkey, o_totalprice AS v, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, printf('%.40f', o_totalprice) AS digits FROM orders),
+tenth AS (SELECT o_orderkey, v, cents, CAST(split_part(digits, '.', 1) AS BIGINT) * 10 + CAST(substr(split_part(digits, '.', 2), 1, 1) AS BIGINT)
+  + CASE WHEN substr(split_part(digits, '.', 2), 2, 1) >= '5' THEN 1 ELSE 0 END AS t FROM exact)
 """
 
 
