@@ -315,51 +315,81 @@ def simplify_arcs(geom: Column | str, nodes: Column | str, tolerance: float) ->
 # --- overlay area ----------------------------------------------------------------------------------------
 
 
-def _oriented_edges(geom: Geometry) -> np.ndarray:
-    fixed = [
-        [r if (signed_area(r) >= 0) == (i == 0) else r[::-1] for i, r in enumerate(part)] for part in geom
-    ]
-    return ring_edges(fixed)
-
-
-def common_area(a: Geometry, b: Geometry) -> float:
-    """Area shared by two polygons with holes.
+def oriented_edges(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a whole batch, shells counter-clockwise and holes clockwise, and
+    the row each belongs to; no loop over rows."""
+    parts, rings = column.values, column.values.values
+    points = rings.values
+    x, y = points.field("x").to_numpy(), points.field("y").to_numpy()
+    ring_at, part_at = rings.offsets.to_numpy(), parts.offsets.to_numpy()
+    row_at = column.offsets.to_numpy()
+    row_of_part = np.repeat(np.arange(len(column)), np.diff(row_at))
+    first_part, last_part = row_at[0], row_at[-1]
+    ring_counts = np.diff(part_at)[first_part:last_part]
+    part_of_ring = np.repeat(np.arange(first_part, last_part), ring_counts)
+    first_ring = part_at[first_part] if len(ring_counts) else 0
+    ring_ids = np.arange(first_ring, first_ring + len(part_of_ring))
+    sizes = np.maximum(ring_at[ring_ids + 1] - ring_at[ring_ids] - 1, 0)
+    of_ring = np.repeat(np.arange(len(ring_ids)), sizes)
+    at = np.arange(len(of_ring)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + ring_at[ring_ids][of_ring]
+    e = np.column_stack([x[at], y[at], x[at + 1], y[at + 1]])
+    origin = ring_at[ring_ids][of_ring]
+    ox, oy = x[origin], y[origin]
+    twice = (e[:, 0] - ox) * (e[:, 3] - oy) - (e[:, 2] - ox) * (e[:, 1] - oy)
+    signed = np.bincount(of_ring, twice, len(ring_ids))
+    is_shell = ring_ids == part_at[part_of_ring]
+    turn = ((signed >= 0) != is_shell)[of_ring]
+    e[turn] = e[turn][:, [2, 3, 0, 1]]
+    return e, row_of_part[part_of_ring - first_part][of_ring]
+
+
+# Edge pairs worked on at a time.
+PAIR_BLOCK = 1_000_000
+
+
+def common_areas(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Area shared by each row's two polygons.
 
     A polygon is the signed sum of the areas below its edges, so the overlap is
     the signed sum, over edge pairs, of the integral of the lower edge.
     """
-    ea, eb = _oriented_edges(a), _oriented_edges(b)
-    if not len(ea) or not len(eb):
-        return 0.0
-    base = min(ea[:, [1, 3]].min(), eb[:, [1, 3]].min())
-    ea, eb = ea[ea[:, 0] != ea[:, 2]], eb[eb[:, 0] != eb[:, 2]]
-
-    def line(e: np.ndarray) -> tuple:
-        slope = (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
-        return np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2]), np.sign(e[:, 2] - e[:, 0]), e[:, 0], e[:, 1] - base, slope
-
-    lo_b, hi_b, sign_b, x_b, y_b, m_b = line(eb)
-    total = 0.0
-    for block in np.array_split(ea, max(1, len(ea) * len(eb) // 1_000_000)):
-        lo_a, hi_a, sign_a, x_a, y_a, m_a = (v[:, None] for v in line(block))
-        lo, hi = np.maximum(lo_a, lo_b), np.minimum(hi_a, hi_b)
-        width = np.maximum(hi - lo, 0.0)
-        a0, a1 = y_a + m_a * (lo - x_a), y_a + m_a * (hi - x_a)
-        b0, b1 = y_b + m_b * (lo - x_b), y_b + m_b * (hi - x_b)
-        d0, d1 = a0 - b0, a1 - b1
-        low0, low1 = np.minimum(a0, b0), np.minimum(a1, b1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = np.where(d0 * d1 < 0, d0 / (d0 - d1), 0.0)
-        middle = np.where(d0 * d1 < 0, a0 + t * (a1 - a0), low0)
-        below = width * (t * (low0 + middle) + (1 - t) * (middle + low1)) / 2
-        total += float(np.sum(sign_a * sign_b * below))
-    return max(total, 0.0)
+    (ea, row_a), (eb, row_b) = oriented_edges(a), oriented_edges(b)
+    slanted_a, slanted_b = ea[:, 0] != ea[:, 2], eb[:, 0] != eb[:, 2]
+    ea, row_a, eb, row_b = ea[slanted_a], row_a[slanted_a], eb[slanted_b], row_b[slanted_b]
+    partners = np.bincount(row_b, minlength=len(a))
+    start = np.cumsum(partners) - partners
+    work = partners[row_a]
+    block = np.cumsum(work) // PAIR_BLOCK
+    areas = np.zeros(len(a))
+    for chosen in np.split(np.arange(len(ea)), np.flatnonzero(np.diff(block)) + 1):
+        n = work[chosen]
+        i = np.repeat(chosen, n)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + start[row_a[i]]
+        p, q = ea[i], eb[j]
+        lo = np.maximum(np.minimum(p[:, 0], p[:, 2]), np.minimum(q[:, 0], q[:, 2]))
+        hi = np.minimum(np.maximum(p[:, 0], p[:, 2]), np.maximum(q[:, 0], q[:, 2]))
+        meet = lo < hi
+        i, p, q, lo, hi = i[meet], p[meet], q[meet], lo[meet], hi[meet]
+        slope_p, slope_q = (p[:, 3] - p[:, 1]) / (p[:, 2] - p[:, 0]), (q[:, 3] - q[:, 1]) / (q[:, 2] - q[:, 0])
+        # heights above a vertex of the pair; any level cancels over closed rings
+        level = ea[np.searchsorted(row_a, row_a[i]), 1]
+        p0, p1 = p[:, 1] - level + slope_p * (lo - p[:, 0]), p[:, 1] - level + slope_p * (hi - p[:, 0])
+        q0, q1 = q[:, 1] - level + slope_q * (lo - q[:, 0]), q[:, 1] - level + slope_q * (hi - q[:, 0])
+        d0, d1 = p0 - q0, p1 - q1
+        low0, low1 = np.minimum(p0, q0), np.minimum(p1, q1)
+        crosses = d0 * d1 < 0
+        t = np.where(crosses, d0 / np.where(crosses, d0 - d1, 1.0), 0.0)
+        middle = np.where(crosses, p0 + t * (p1 - p0), low0)
+        below = (hi - lo) * (t * (low0 + middle) + (1 - t) * (middle + low1)) / 2
+        sign = np.sign(p[:, 2] - p[:, 0]) * np.sign(q[:, 2] - q[:, 0])
+        areas += np.bincount(row_a[i], sign * below, len(a))
+    return np.maximum(areas, 0.0)
 
 
 @F.arrow_udf(T.DoubleType())
 def _intersection_area(a: pa.Array, b: pa.Array) -> pa.Array:
-    pairs = zip(unpack(a), unpack(b))
-    return pa.array([None if p is None or q is None else common_area(p, q) for p, q in pairs], pa.float64())
+    missing = ~(a.is_valid().to_numpy(zero_copy_only=False) & b.is_valid().to_numpy(zero_copy_only=False))
+    return pa.array(common_areas(a, b), pa.float64(), mask=missing)
 
 
 def intersection_area(a: Column | str, b: Column | str) -> Column:

@@ -113,7 +113,7 @@ def kmeans_centres(df: DataFrame, value: Column | str, k: int, max_iterations: i
     """
     v = F.col(value) if isinstance(value, str) else value
     values = checkpointed(
-        df.select(v.cast("double").alias("v")).filter(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("w"))
+        df.select(v.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("v").agg(F.count(F.lit(1)).alias("w"))
     )
     centres = _starting_centres(values, k)
     if k == 1:
@@ -141,7 +141,7 @@ def kmeans_classes(df: DataFrame, value: Column | str, k: int, name: str = "clas
     """
     v = F.col(value) if isinstance(value, str) else value
     centres = kmeans_centres(df, v, k)
-    return df.withColumn(name, F.when(v.isNotNull(), _nearest(v.cast("double"), centres) + 1))
+    return df.withColumn(name, F.when(v.isNotNull() & ~F.isnan(v.cast("double")), _nearest(v.cast("double"), centres) + 1))
 
 
 def class_breaks(df: DataFrame, value: Column | str, k: int) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealis.functions import geometry as G
+from arealis.session import spread
 
 # Sides up to this many measured bytes are broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -67,14 +68,9 @@ def cell_cover(bdy: DataFrame, geom: str = "geom", metres: float = 0.0) -> DataF
     polygon with many vertices is not copied whole into every cell.
     """
     attrs = [c for c in bdy.columns if c != geom]
-    boxed = bdy.filter(F.col(geom).isNotNull() & (G.npoints(geom) > 0)).select(
-        *attrs,
-        G.edges(geom).alias("_edges"),
-        G.npoints(geom).alias("_n"),
-        G.xmin(geom).alias("_x0"),
-        G.ymin(geom).alias("_y0"),
-        G.xmax(geom).alias("_x1"),
-        G.ymax(geom).alias("_y1"),
+    known = spread(bdy.filter(F.col(geom).isNotNull() & (G.npoints(geom) > 0)))
+    boxed = G.with_bbox(known, geom, ("_x0", "_y0", "_x1", "_y1")).select(
+        *attrs, G.edges(geom).alias("_edges"), G.npoints(geom).alias("_n"), "_x0", "_y0", "_x1", "_y1"
     )
     if metres > 0:
         boxed = _degrees_grown(boxed, metres)
@@ -218,7 +214,7 @@ def tag_points(
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     attrs = [c for c in bdy.columns if c != geom]
-    joined = _cell_join(points, cell_cover(bdy, geom), px, py, broadcast_bytes, hot_rows)
+    joined = _cell_join(spread(points), cell_cover(bdy, geom), px, py, broadcast_bytes, hot_rows)
     tagged = joined.filter(_inside(px, py)).select(*points.columns, *attrs)
     if how == "inner":
         return tagged
@@ -263,7 +259,7 @@ def tag_points_within(
     with the region's attributes and ``distance`` (0 inside)."""
     attrs = [c for c in bdy.columns if c != geom]
     cover = cell_cover(bdy, geom, metres)
-    joined = _cell_join(points, cover, px, py, broadcast_bytes, hot_rows)
+    joined = _cell_join(spread(points), cover, px, py, broadcast_bytes, hot_rows)
     nearest = F.array_min(F.transform("_edges", lambda e: segment_metres(F.col(px), F.col(py), e)))
     measured = joined.withColumn("distance", F.when(_inside(px, py), F.lit(0.0)).otherwise(nearest))
     return measured.filter(F.col("distance") <= metres).select(*points.columns, *attrs, "distance")
@@ -290,13 +286,9 @@ def candidate_pairs(a: DataFrame, b: DataFrame, geom: str = "geom") -> DataFrame
     """
 
     def boxed(df: DataFrame, tag: str) -> DataFrame:
-        out = df.filter(F.col(geom).isNotNull() & (G.npoints(geom) > 0)).select(
-            *[F.col(c).alias(f"{tag}_{c}") for c in df.columns],
-            G.xmin(geom).alias(f"{tag}_x0"),
-            G.ymin(geom).alias(f"{tag}_y0"),
-            G.xmax(geom).alias(f"{tag}_x1"),
-            G.ymax(geom).alias(f"{tag}_y1"),
-        )
+        known = spread(df.filter(F.col(geom).isNotNull() & (G.npoints(geom) > 0)))
+        box = [f"{tag}_{side}" for side in ("x0", "y0", "x1", "y1")]
+        out = G.with_bbox(known, geom, box).select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns], *box)
         extent = F.greatest(F.col(f"{tag}_x1") - F.col(f"{tag}_x0"), F.col(f"{tag}_y1") - F.col(f"{tag}_y0"))
         return out.withColumn("_level", _grid_level(extent))
 

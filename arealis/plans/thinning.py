@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from arealis.functions import geometry as G
 from arealis.functions.arrow_geometry import simplify_arcs, simplify_vw, subdivided
 from arealis.functions.scalars import METRES_PER_DEGREE, zoom_tolerance
+from arealis.session import spread
 
 # Fixed value: area tolerance of the display layer, in squared degrees.
 WEB_TOLERANCE = 1e-7
@@ -16,7 +17,7 @@ WEB_TOLERANCE = 1e-7
 def subdivide(df: DataFrame, max_vertices: int = 256, geom: str = "geom") -> DataFrame:
     """Rows repeated per piece of at most ``max_vertices`` vertices."""
     others = [c for c in df.columns if c != geom]
-    return df.select(*others, F.explode(subdivided(geom, max_vertices)).alias(geom))
+    return spread(df).select(*others, F.explode(subdivided(geom, max_vertices)).alias(geom))
 
 
 def thin_layer(df: DataFrame, zoom: int | None = None, geom: str = "geom") -> DataFrame:
@@ -25,7 +26,7 @@ def thin_layer(df: DataFrame, zoom: int | None = None, geom: str = "geom") -> Da
         tolerance = F.lit(WEB_TOLERANCE)
     else:
         tolerance = zoom_tolerance(F.lit(zoom)) / (METRES_PER_DEGREE * METRES_PER_DEGREE)
-    return df.withColumn(geom, simplify_vw(geom, tolerance))
+    return spread(df).withColumn(geom, simplify_vw(geom, tolerance))
 
 
 def border_nodes(df: DataFrame, geom: str = "geom") -> DataFrame:

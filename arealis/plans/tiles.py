@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from arealis.functions import geometry as G
 from arealis.functions.arrow_geometry import strips
+from arealis.session import spread
 
 # Tile extent and the margin drawn around a tile, in tile pixels.
 EXTENT = 4096
@@ -38,7 +39,7 @@ def tile_features(df: DataFrame, zoom: int, geom: str = "geom") -> DataFrame:
         G.to_mercator(geom), lambda v: G.make_point((v["x"] + half) / size, (F.lit(half) - v["y"]) / size)
     )
     margin = BUFFER / EXTENT
-    columns = df.select(*others, F.explode(strips(units, 0, margin, count - 1)).alias("_s"))
+    columns = spread(df).select(*others, F.explode(strips(units, 0, margin, count - 1)).alias("_s"))
     columns = columns.select(*others, F.col("_s.i").alias("_tx"), F.col("_s.geom").alias("_g"))
     cells = columns.select(*others, "_tx", F.explode(strips("_g", 1, margin, count - 1)).alias("_s"))
     tiles = cells.select(

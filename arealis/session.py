@@ -58,3 +58,17 @@ def checkpointed(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+# Inputs up to this estimate are cheap to shuffle.
+SPREAD_BYTES = 1 << 30
+
+
+def spread(df):
+    """Give row-heavy work (geometry loops, exact tests) a task per core.
+
+    A small file arrives as one or two scan partitions however slow each row is;
+    anything larger already comes in enough of them and is left as it is.
+    """
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimate < SPREAD_BYTES else df

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealis.functions import geometry as G
+from arealis.functions.arrow_geometry import subdivided
 from arealis.operators.keys import key_bounds, with_row_id
-from arealis.plans.thinning import subdivide
+from arealis.session import spread
 from arealis.sources.files import discover
 
 BBOX = ("xmin", "ymin", "xmax", "ymax")
@@ -131,10 +132,12 @@ def export_table(df: DataFrame, name: str, path: str, spatial: bool | None = Non
 def spatial_layout(df: DataFrame, max_vertices: int = 256, with_wkt: bool = False, geom: str = "geom") -> DataFrame:
     """The rows a spatial export writes."""
     srid = G.get_srid(df, geom)
-    repaired = df.withColumn(geom, G.clean_rings(geom))
+    repaired = spread(df).withColumn(geom, G.clean_rings(geom))
     if srid is not None and srid != 4326:
         repaired = G.to_wgs84(repaired, geom, srid)
-    pieces = subdivide(G.dump_parts(repaired, geom).drop("part_no"), max_vertices, geom)
+    parts = G.dump_parts(repaired, geom).drop("part_no")
+    others = [c for c in parts.columns if c != geom]
+    pieces = parts.select(*others, F.explode(subdivided(geom, max_vertices)).alias(geom))
     boxed = G.with_bbox(pieces, geom)
     if with_wkt:
         boxed = boxed.withColumn("wkt_geom", G.to_wkt(geom))

@@ -60,7 +60,7 @@ def code(k: Column) -> Column:
     return F.concat(F.lit("R"), F.lpad(k.cast("string"), 9, "0"))
 
 
-def _template(parts) -> Column:
+def template(parts) -> Column:
     """A shape's offsets; Catalyst folds it into one literal."""
     return F.array(
         *[F.array(*[F.array(*[G.make_point(F.lit(float(dx)), F.lit(float(dy))) for dx, dy in ring]) for ring in part]) for part in parts]
@@ -80,11 +80,11 @@ def regions(spark: SparkSession, sf: str) -> DataFrame:
         cy.alias("cy"),
         half_width(k).alias("w"),
     )
-    template = F.when(F.col("shape") == "empty", F.array().cast(G.GEOM_TYPE))
+    offsets = F.when(F.col("shape") == "empty", F.array().cast(G.GEOM_TYPE))
     for shape, parts in SHAPES.items():
-        template = template.when(F.col("shape") == shape, _template(parts))
+        offsets = offsets.when(F.col("shape") == shape, template(parts))
     cx, cy, w = F.col("cx"), F.col("cy"), F.col("w")
-    geom = G.map_vertices(template, lambda v: G.make_point(cx + w * v["x"], cy + w * v["y"]))
+    geom = G.map_vertices(offsets, lambda v: G.make_point(cx + w * v["x"], cy + w * v["y"]))
     return base.select("k", "code", "name", "state", (F.col("w") * F.col("w") * 40000 + 1).alias("area_sqkm"), geom.alias("geom"))
 
 

@@ -16,13 +16,14 @@ from workload.derived import (
     PROFILE_SQL,
     RAGGED_SQL,
     REGIONS_SQL,
+    SQUARE,
     customer_points,
     lattice,
     order_points,
     ragged,
     region_profile,
     regions,
-    table,
+    template,
     with_sql,
 )
 
@@ -180,13 +181,13 @@ best AS (
 
 
 def _squares(spark, sf):
-    """Boxes of orders' points, for overlaps with known areas."""
+    """Boxes around customers' points, for overlaps with known areas."""
     k = F.col("c_custkey")
     half = (k % 8 + 1) / 8.0
     px, py = F.col("x"), F.col("y")
     pts = customer_points(spark, sf).withColumnRenamed("point_id", "c_custkey")
-    corners = [(px - half, py - half), (px + half, py - half), (px + half, py + half), (px - half, py + half), (px - half, py - half)]
-    return pts.select(k.alias("box_id"), F.array(F.array(F.array(*[G.make_point(a, b) for a, b in corners]))).alias("geom"))
+    geom = G.map_vertices(template([[SQUARE]]), lambda v: G.make_point(px + half * v["x"], py + half * v["y"]))
+    return pts.select(k.alias("box_id"), geom.alias("geom"))
 
 
 def overlaps(spark, sf):
