@@ -519,6 +519,8 @@ def draw_points(geom: Geometry, n: int, seed: int) -> np.ndarray:
     edges = ring_edges(geom)
     if n <= 0:
         return np.empty((0, 2))
+    if not len(edges):
+        raise ValueError("an empty polygon has no points in it")
     low, high = edges[:, :2].min(axis=0), edges[:, :2].max(axis=0)
     filled = sum(abs(signed_area(r)) * (1 if i == 0 else -1) for part in geom for i, r in enumerate(part))
     share = filled / float(np.prod(high - low)) if np.prod(high - low) > 0 else 0.0

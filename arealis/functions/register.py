@@ -58,9 +58,11 @@ SQL_FUNCTIONS = {
 
 @F.udtf(returnType=POINT)
 class RandomPoints:
-    """``n`` random points strictly inside a polygon."""
+    """``n`` random points strictly inside a polygon; none for an empty one."""
 
     def eval(self, geom: list, n: int, seed: int) -> Iterator[tuple[float, float]]:
+        if not geom:
+            return
         shape = [[np.array([(v["x"], v["y"]) for v in ring]) for ring in part] for part in geom]
         for px, py in draw_points(shape, n, seed):
             yield float(px), float(py)
