@@ -149,13 +149,22 @@ def range_chunks(df: DataFrame, key: str, n: int) -> DataFrame:
     )
 
 
+def sorted_ranges(df: DataFrame, columns: Sequence[Column], partitions: int | None = None) -> DataFrame:
+    """Range partitions in the order of ``columns``, sorted inside.
+
+    The row's position breaks ties, so a value that many rows share, even as
+    exact copies, spreads over several partitions and stays in order.
+    """
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    by = [*columns, F.col("_tie")]
+    ranged = tied.repartitionByRange(partitions, *by) if partitions else tied.repartitionByRange(*by)
+    return ranged.sortWithinPartitions(*columns).drop("_tie")
+
+
 def cluster_by(df: DataFrame, key: str | Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Key-clustered layout: range partitions, sorted inside, so that Parquet
-    min/max statistics prune by key."""
+    """Key-clustered layout, so that Parquet min/max statistics prune by key."""
     keys = [key] if isinstance(key, str) else list(key)
-    columns = [F.col(k) for k in keys]
-    ranged = df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
-    return ranged.sortWithinPartitions(*columns)
+    return sorted_ranges(df, [F.col(k) for k in keys], partitions)
 
 
 def analyze_table(spark: SparkSession, name: str) -> None:

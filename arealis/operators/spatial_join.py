@@ -77,49 +77,38 @@ def cell_cover(bdy: DataFrame, geom: str = "geom", metres: float = 0.0) -> DataF
     else:
         boxed = boxed.withColumns({"_gx": F.lit(0.0), "_gy": F.lit(0.0)})
     extent = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
-    levelled = boxed.withColumn("_level", _grid_level(extent, F.col("_n")))
-    level = F.col("_level")
+    levelled = boxed.withColumn("_level", _grid_level(extent, F.col("_n"))).withColumn("_size", cell_size(F.col("_level")))
+    size = F.col("_size")
 
-    bands = levelled.withColumn(
-        "_cj", F.explode(F.sequence(_index(F.col("_y0"), level), _index(F.col("_y1"), level)))
-    )
-    # bounds become columns of their own, or every lambda call would work them out again
-    bands = bands.withColumns({"_low": F.col("_cj") * cell_size(level), "_high": (F.col("_cj") + 1) * cell_size(level)})
-    low, high, gy = F.col("_low"), F.col("_high"), F.col("_gy")
-    bands = bands.withColumn(
+    def steps(low: str, high: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(low) / size).cast("long"), F.floor(F.col(high) / size).cast("long")))
+
+    bands = levelled.withColumn("_cj", steps("_y0", "_y1"))
+    low, high, gy = F.col("_cj") * size, (F.col("_cj") + 1) * size, F.col("_gy")
+    in_band = F.filter(
         "_edges",
-        F.filter(
-            "_edges",
-            lambda e: (F.greatest(e["y1"], e["y2"]) >= low - gy) & (F.least(e["y1"], e["y2"]) <= high + gy),
-        ),
-    )
-    cells = bands.withColumn(
-        "_ci", F.explode(F.sequence(_index(F.col("_x0"), level), _index(F.col("_x1"), level)))
+        lambda e: (F.greatest(e["y1"], e["y2"]) >= low - gy) & (F.least(e["y1"], e["y2"]) <= high + gy),
     )
-    cells = cells.withColumns({"_left": F.col("_ci") * cell_size(level), "_right": (F.col("_ci") + 1) * cell_size(level)})
-    left, right, gx = F.col("_left"), F.col("_right"), F.col("_gx")
+    cells = bands.withColumn("_edges", in_band).withColumn("_ci", steps("_x0", "_x1"))
+    left, right, gx = F.col("_ci") * size, (F.col("_ci") + 1) * size, F.col("_gx")
 
-    def past(e: Column) -> Column:
-        return F.least(e["x1"], e["x2"]) > right + gx
-
-    def spans(e: Column) -> Column:
-        return (F.least(e["y1"], e["y2"]) <= low) & (F.greatest(e["y1"], e["y2"]) >= high)
+    def always_met(e: Column) -> Column:
+        past = F.least(e["x1"], e["x2"]) > right + gx
+        return past & (F.least(e["y1"], e["y2"]) <= low) & (F.greatest(e["y1"], e["y2"]) >= high)
 
     # edges left of the cell are never met; edges past it that span its band always are
+    def content(reachable: Column) -> Column:
+        return F.struct(
+            (F.size(F.filter(reachable, always_met)) % 2).alias("_parity"),
+            F.filter(reachable, lambda e: ~always_met(e)).alias("_edges"),
+        )
+
     reachable = F.filter("_edges", lambda e: F.greatest(e["x1"], e["x2"]) >= left - gx)
-    split = cells.withColumn("_edges", reachable)
-    return split.select(
-        *attrs,
-        "_level",
-        "_ci",
-        "_cj",
-        "_x0",
-        "_y0",
-        "_x1",
-        "_y1",
-        (F.size(F.filter("_edges", lambda e: past(e) & spans(e))) % 2).alias("_parity"),
-        F.filter("_edges", lambda e: ~(past(e) & spans(e))).alias("_edges"),
-    ).filter((F.size("_edges") > 0) | (F.col("_parity") == 1))
+    # cells wholly outside are dropped inside the generator, which works each cell out once
+    kept = F.filter(
+        F.transform(F.array(reachable), content), lambda c: (F.size(c["_edges"]) > 0) | (c["_parity"] == 1)
+    )
+    return cells.select(*attrs, "_level", "_ci", "_cj", "_x0", "_y0", "_x1", "_y1", F.inline(kept))
 
 
 def _row_bytes(df: DataFrame) -> Column:

@@ -41,6 +41,8 @@ def tile_features(df: DataFrame, zoom: int, geom: str = "geom") -> DataFrame:
     margin = BUFFER / EXTENT
     columns = spread(df).select(*others, F.explode(strips(units, 0, margin, count - 1)).alias("_s"))
     columns = columns.select(*others, F.col("_s.i").alias("_tx"), F.col("_s.geom").alias("_g"))
+    # the columns of a very large feature go to many tasks
+    columns = columns.repartition("_tx", *[c for c, kind in df.dtypes if c != geom and "map<" not in kind])
     cells = columns.select(*others, "_tx", F.explode(strips("_g", 1, margin, count - 1)).alias("_s"))
     tiles = cells.select(
         F.lit(zoom).alias("z"),

@@ -55,11 +55,14 @@ def parse_profile(lines: DataFrame, schema: T.StructType, line: str = "line") ->
     parsed = cleaned.withColumn("_row", F.from_csv("_text", ddl, options))
 
     width = len(schema.fields)
-    cells = F.size(F.split(F.regexp_replace("_text", '"[^"]*"', "q"), ","))
+    # commas counted by length, compiled; only lines with quotes need the regular expression
+    plain = F.when(F.col("_text").contains('"'), F.regexp_replace("_text", '"[^"]*"', "q")).otherwise(F.col("_text"))
+    parsed = parsed.withColumn("_cells", F.length(plain) - F.length(F.translate(plain, ",", "")) + 1)
+    cells, text = F.col("_cells"), F.col("_text")
     error = (
         F.when(cells < width, F.lit("missing data for a column"))
         .when(cells > width, F.lit("extra data after the last column"))
-        .when(F.col("_text").rlike(",(,|$)"), F.lit("empty cell where a number belongs"))
+        .when(text.contains(",,") | text.endswith(","), F.lit("empty cell where a number belongs"))
         .when(F.col("_row._corrupt").isNotNull(), F.lit("malformed number"))
         .when(F.col(f"_row.{schema.fields[0].name}").isNull(), F.lit("region id is null"))
     )
@@ -72,10 +75,9 @@ def read_profile_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.
     rows = parse_profile(read_lines(spark, paths), schema)
     if not strict:
         return rows
-    checked = F.when(
-        F.col("_error").isNotNull(), F.raise_error(F.concat_ws(": ", "file", "_error")).cast("string")
-    ).otherwise(F.col(REGION_ID))
-    return rows.withColumn(REGION_ID, checked).drop("file", "_error")
+    # a filter, so that no later column pruning can lose the check
+    refuse = F.raise_error(F.concat_ws(": ", "file", "_error")).cast("boolean")
+    return rows.filter(F.when(F.col("_error").isNotNull(), refuse).otherwise(F.lit(True))).drop("file", "_error")
 
 
 def file_report(rows: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from arealis.functions import geometry as G
 from arealis.functions.arrow_geometry import subdivided
-from arealis.operators.keys import key_bounds, with_row_id
+from arealis.operators.keys import key_bounds, sorted_ranges, with_row_id
 from arealis.session import spread
 from arealis.sources.files import discover
 
@@ -106,7 +106,7 @@ def read_partitioned(df: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART
 def geohash_sort(df: DataFrame, precision: int = 5, geom: str = "geom") -> DataFrame:
     """Range-partition and sort by geohash, so that near features share files."""
     hashed = df.withColumn("_gh", G.geohash(geom, precision))
-    return hashed.repartitionByRange("_gh").sortWithinPartitions("_gh").drop("_gh")
+    return sorted_ranges(hashed, [F.col("_gh")]).drop("_gh")
 
 
 def export_table(df: DataFrame, name: str, path: str, spatial: bool | None = None, compression: str = "snappy", block_bytes: int | None = None, key: str | None = None, max_vertices: int = 256, with_wkt: bool = False) -> str:

@@ -69,6 +69,8 @@ def test_strict_read_raises(spark, stats, tmp_path):
     (tmp_path / "a.csv").write_text("h,h\nA,bad\n")
     with pytest.raises(Exception, match="malformed number"):
         datapack.read_profile_csv(spark, str(tmp_path), M.profile_schema(stats, "g02")).collect()
+    with pytest.raises(Exception, match="malformed number"):
+        datapack.read_profile_csv(spark, str(tmp_path), M.profile_schema(stats, "g02")).select("region_id").collect()
 
 
 def test_load_all(spark, stats, tmp_path):
