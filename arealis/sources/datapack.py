@@ -52,7 +52,8 @@ def parse_profile(lines: DataFrame, schema: T.StructType, line: str = "line") ->
     cleaned = lines.withColumn("_text", clean_line(line)).filter(F.col("_text") != "")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ", _corrupt string"
     options = {"nullValue": NULL_CELL, "columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
-    parsed = cleaned.withColumn("_row", F.from_csv("_text", ddl, options))
+    # a generated column: the optimizer would parse again for every filter on the result
+    parsed = cleaned.withColumn("_row", F.explode(F.array(F.from_csv("_text", ddl, options))))
 
     width = len(schema.fields)
     # commas counted by length, compiled; only lines with quotes need the regular expression

@@ -138,7 +138,9 @@ def spatial_layout(df: DataFrame, max_vertices: int = 256, with_wkt: bool = Fals
     parts = G.dump_parts(repaired, geom).drop("part_no")
     others = [c for c in parts.columns if c != geom]
     pieces = parts.select(*others, F.explode(subdivided(geom, max_vertices)).alias(geom))
-    boxed = G.with_bbox(pieces, geom)
+    # the sort below samples its input before it runs; kept in a shuffle, the
+    # geometry work is not done a second time for that
+    boxed = G.with_bbox(pieces.hint("rebalance"), geom)
     if with_wkt:
         boxed = boxed.withColumn("wkt_geom", G.to_wkt(geom))
     return G.set_srid(geohash_sort(boxed, 5, geom), 4326, geom)

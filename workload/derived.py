@@ -61,10 +61,15 @@ def code(k: Column) -> Column:
 
 
 def template(parts) -> Column:
-    """A shape's offsets; Catalyst folds it into one literal."""
-    return F.array(
-        *[F.array(*[F.array(*[G.make_point(F.lit(float(dx)), F.lit(float(dy))) for dx, dy in ring]) for ring in part]) for part in parts]
-    )
+    """A shape's offsets as one literal."""
+
+    def array(items) -> str:
+        return f"array({', '.join(items)})"
+
+    def point(p) -> str:
+        return f"named_struct('x', {float(p[0])}D, 'y', {float(p[1])}D)"
+
+    return F.expr(array(array(array(point(p) for p in ring) for ring in part) for part in parts))
 
 
 def regions(spark: SparkSession, sf: str) -> DataFrame:
