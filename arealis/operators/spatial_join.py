@@ -3,10 +3,9 @@
 A theta join on a geometry predicate would be a nested loop. Instead every
 polygon is covered by the cells of a power-of-four grid whose level follows its
 size, so it takes a bounded number of cells however large it is, and a point is
-looked up once per level in use. Each cell carries only the polygon edges that a
-ray from inside the cell can still meet, plus the parity of those it always
-meets: the exact test touches a handful of edges, and a cell inside the polygon
-needs no test at all.
+looked up once per level in use. Each cell carries only the polygon edges near it,
+and for the edges beyond it whether a ray meets an odd number of them: the exact
+test touches a handful of edges, and a cell inside the polygon needs none.
 """
 
 from __future__ import annotations
@@ -61,8 +60,8 @@ def _degrees_grown(df: DataFrame, metres: float) -> DataFrame:
 
 
 def cell_cover(bdy: DataFrame, geom: str = "geom", metres: float = 0.0) -> DataFrame:
-    """Boundary attributes per grid cell: ``_level, _ci, _cj, _parity, _edges``
-    and the box ``_x0, _y0, _x1, _y1``.
+    """Boundary attributes per grid cell: ``_level, _ci, _cj, _parity, _flips,
+    _edges`` and the box ``_x0, _y0, _x1, _y1``.
 
     Rows of cells are exploded first and keep only the edges of their band, so a
     polygon with many vertices is not copied whole into every cell.
@@ -92,28 +91,46 @@ def cell_cover(bdy: DataFrame, geom: str = "geom", metres: float = 0.0) -> DataF
     cells = bands.withColumn("_edges", in_band).withColumn("_ci", steps("_x0", "_x1"))
     left, right, gx = F.col("_ci") * size, (F.col("_ci") + 1) * size, F.col("_gx")
 
-    def always_met(e: Column) -> Column:
-        past = F.least(e["x1"], e["x2"]) > right + gx
-        return past & (F.least(e["y1"], e["y2"]) <= low) & (F.greatest(e["y1"], e["y2"]) >= high)
+    def past(e: Column) -> Column:
+        return F.least(e["x1"], e["x2"]) > right + gx
 
-    # edges left of the cell are never met; edges past it that span its band always are
+    def odd_only(values: Column) -> Column:
+        """Values met an odd number of times, ascending."""
+        none = F.array().cast("array<double>")
+
+        def step(acc: Column, y: Column) -> Column:
+            seen = F.try_element_at(acc, F.lit(-1)).eqNullSafe(y)
+            return F.when(seen, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(F.array_append(acc, y))
+
+        return F.aggregate(F.array_sort(values), none, step)
+
+    # A ray meets an edge past the cell exactly while the point's y is in the edge's
+    # y range. How many it meets, odd or even, is known at the foot of the band and
+    # flips at the end of an edge, where the next edge mostly flips it back: a
+    # boundary passing by leaves no flip at all.
     def content(reachable: Column) -> Column:
+        far = F.filter(reachable, past)
+        ends = F.concat(F.transform(far, lambda e: e["y1"]), F.transform(far, lambda e: e["y2"]))
+        at_foot = F.filter(far, lambda e: (F.least(e["y1"], e["y2"]) <= low) & (F.greatest(e["y1"], e["y2"]) > low))
         return F.struct(
-            (F.size(F.filter(reachable, always_met)) % 2).alias("_parity"),
-            F.filter(reachable, lambda e: ~always_met(e)).alias("_edges"),
+            (F.size(at_foot) % 2).alias("_parity"),
+            odd_only(F.filter(ends, lambda y: (y > low) & (y < high))).alias("_flips"),
+            F.filter(reachable, lambda e: ~past(e)).alias("_edges"),
         )
 
+    # edges left of the cell are never met
     reachable = F.filter("_edges", lambda e: F.greatest(e["x1"], e["x2"]) >= left - gx)
     # cells wholly outside are dropped inside the generator, which works each cell out once
     kept = F.filter(
-        F.transform(F.array(reachable), content), lambda c: (F.size(c["_edges"]) > 0) | (c["_parity"] == 1)
+        F.transform(F.array(reachable), content),
+        lambda c: (F.size(c["_edges"]) > 0) | (F.size(c["_flips"]) > 0) | (c["_parity"] == 1),
     )
     return cells.select(*attrs, "_level", "_ci", "_cj", "_x0", "_y0", "_x1", "_y1", F.inline(kept))
 
 
 def _row_bytes(df: DataFrame) -> Column:
     """Estimated bytes of a cover row in a hash table."""
-    total = F.lit(128) + F.size("_edges") * 40
+    total = F.lit(144) + F.size("_edges") * 40 + F.size("_flips") * 8
     for name, kind in df.dtypes:
         if name.startswith("_"):
             continue
@@ -180,7 +197,10 @@ def _cell_join(points: DataFrame, cover: DataFrame, px: str, py: str, broadcast_
 def _inside(px: str, py: str) -> Column:
     """Exact test on a candidate: parity first, borders only for points outside."""
     lines, x, y = F.col("_edges"), F.col(px), F.col(py)
-    return ((G.crossings(lines, x, y) + F.col("_parity")) % 2 == 1) | G.on_edge(lines, x, y)
+    flips = F.size(F.filter("_flips", lambda at: at <= y))
+    inside = ((G.crossings(lines, x, y) + flips + F.col("_parity")) % 2 == 1) | G.on_edge(lines, x, y)
+    plain = (F.size("_edges") == 0) & (F.size("_flips") == 0)
+    return F.when(plain, F.col("_parity") == 1).otherwise(inside)
 
 
 def tag_points(
