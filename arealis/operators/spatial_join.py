@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealis.functions import geometry as G
-from arealis.session import spread
+from arealis.session import estimated_bytes, spread, stored
 
 # Sides up to this many measured bytes are broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -25,6 +25,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000
 MAX_HOT_CELLS = 10_000
 LEVELS = (-12, 12)
+# The cover of a layer estimated larger than this is written once, not worked out
+# again for the join after it was measured.
+STORE_BYTES = 4 * 1024 * 1024
 # Mean earth radius in metres and metres per degree of latitude on it.
 EARTH_RADIUS = 6371008.8
 METRES_PER_DEGREE = EARTH_RADIUS * math.pi / 180.0
@@ -138,6 +141,11 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
+def _ready_cover(bdy: DataFrame, geom: str, metres: float = 0.0) -> DataFrame:
+    cover = cell_cover(bdy, geom, metres)
+    return stored(cover, "cover") if estimated_bytes(bdy) > STORE_BYTES else cover
+
+
 def _measure(cover: DataFrame) -> tuple[list[int], int]:
     """Grid levels in use (at most 25) and bytes of the whole cover."""
     found = cover.agg(
@@ -223,7 +231,7 @@ def tag_points(
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     attrs = [c for c in bdy.columns if c != geom]
-    joined = _cell_join(spread(points), cell_cover(bdy, geom), px, py, broadcast_bytes, hot_rows)
+    joined = _cell_join(spread(points), _ready_cover(bdy, geom), px, py, broadcast_bytes, hot_rows)
     tagged = joined.filter(_inside(px, py)).select(*points.columns, *attrs)
     if how == "inner":
         return tagged
@@ -267,8 +275,7 @@ def tag_points_within(
     """Points inside a region or within ``metres`` of it (longitude/latitude),
     with the region's attributes and ``distance`` (0 inside)."""
     attrs = [c for c in bdy.columns if c != geom]
-    cover = cell_cover(bdy, geom, metres)
-    joined = _cell_join(spread(points), cover, px, py, broadcast_bytes, hot_rows)
+    joined = _cell_join(spread(points), _ready_cover(bdy, geom, metres), px, py, broadcast_bytes, hot_rows)
     nearest = F.array_min(F.transform("_edges", lambda e: segment_metres(F.col(px), F.col(py), e)))
     measured = joined.withColumn("distance", F.when(_inside(px, py), F.lit(0.0)).otherwise(nearest))
     return measured.filter(F.col("distance") <= metres).select(*points.columns, *attrs, "distance")

@@ -62,6 +62,19 @@ def checkpointed(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df, label: str):
+    """``df`` written once to the shared folder and read back, so that several
+    jobs use it without working it out again and lost tasks reread it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def estimated_bytes(df) -> int:
+    """The optimizer's size estimate; nothing runs for it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 # Inputs up to this estimate are cheap to shuffle.
 SPREAD_BYTES = 1 << 30
 
@@ -72,5 +85,5 @@ def spread(df):
     A small file arrives as one or two scan partitions however slow each row is;
     anything larger already comes in enough of them and is left as it is.
     """
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimate < SPREAD_BYTES else df
+    small = estimated_bytes(df) < SPREAD_BYTES
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if small else df

@@ -385,3 +385,9 @@ def test_tagging_plan_has_no_nested_loop(spark, shapes, scattered):
         tagged = J.tag_points(scattered, shapes, **path)
         plan = spark._jvm.PythonSQLUtils.explainString(tagged._jdf.queryExecution(), "simple")
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_tagging_with_a_stored_cover(spark, shapes, scattered, monkeypatch):
+    plain = {tuple(r) for r in J.tag_points(scattered, shapes).select("id", "code").collect()}
+    monkeypatch.setattr(J, "STORE_BYTES", 0)
+    assert {tuple(r) for r in J.tag_points(scattered, shapes).select("id", "code").collect()} == plain

@@ -333,15 +333,17 @@ def thinned_by_distance(spark, sf):
 
 
 def coverage(spark, sf):
-    """A thinned coverage: the straightened borders still enclose the same area in
-    all, and every inner border has the same vertices on both sides."""
-    thin = thinning.simplify_coverage(lattice(spark, sf), "code", 0.02)
-    halves = thin.select("code", F.explode(G.edges("geom")).alias("e")).select(
-        F.least(F.struct("e.x1", "e.y1"), F.struct(F.col("e.x2").alias("x1"), F.col("e.y2").alias("y1"))).alias("p"),
-        F.greatest(F.struct("e.x1", "e.y1"), F.struct(F.col("e.x2").alias("x1"), F.col("e.y2").alias("y1"))).alias("q"),
-    )
-    shared = halves.groupBy("p", "q").count()
-    return shared.groupBy("count").agg(F.count(F.lit(1)).alias("segments"))
+    """A thinned coverage: how many cells, whether what the unpaired edges enclose
+    is the sum of the cells (no gap, no overlap), and whether vertices went."""
+    cells = lattice(spark, sf)
+    thin = thinning.simplify_coverage(cells, "code", 0.02)
+    edge = thin.select(F.explode(G.edges("geom")).alias("e")).select("e.*")
+    back = edge.select(F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
+    outer = edge.join(back, ["x1", "y1", "x2", "y2"], "left_anti")
+    enclosed = outer.agg(F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2).scalar()
+    before = cells.agg(F.sum(G.npoints("geom"))).scalar()
+    totals = thin.agg(F.count(F.lit(1)).alias("cells"), F.sum(G.area("geom")).alias("area"), F.sum(G.npoints("geom")).alias("n"))
+    return totals.select("cells", (F.abs(F.col("area") - enclosed) < 1e-6).alias("gapless"), (F.col("n") < before).alias("thinner"))
 
 
 def nodes(spark, sf):
@@ -446,7 +448,7 @@ QUERIES = {
     ),
     "g15_simplify_vw": (thinned, with_sql(RAGGED_SQL, body="SELECT code, 5 AS n, 4 * w * w AS area FROM ragged")),
     "g16_simplify_dp": (thinned_by_distance, with_sql(RAGGED_SQL, body="SELECT code, 5 AS n, 4 * w * w AS area FROM ragged")),
-    "g17_simplify_coverage": (coverage, None),
+    "g17_simplify_coverage": (coverage, "SELECT count(*) AS cells, true AS gapless, true AS thinner FROM supplier"),
     "g23_border_nodes": (nodes, _lattice_nodes_sql()),
     "g18_orient": (oriented, with_sql(REGIONS_SQL, body="SELECT DISTINCT code, part AS part_no, ring AS ring_no, ring = 1 AS ccw FROM verts")),
     "g19_geohash": (geohashes, with_sql(POINTS_SQL, body=f"SELECT point_id, {geohash_sql('x', 'y')} AS hash FROM points")),
