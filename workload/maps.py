@@ -72,11 +72,11 @@ def thinning_ratio(spark, sf):
 
 
 def tile_rows(spark, sf):
-    """Per tile: features, and whether every pixel lies in the tile and its margin."""
+    """Features that reach a tile, and whether every pixel lies in its tile and margin."""
     cut = tiles.tile_features(regions(spark, sf).select("code", "geom"), 6)
     low, high = -tiles.BUFFER, tiles.EXTENT + tiles.BUFFER
     inside = (G.xmin("geom") >= low) & (G.ymin("geom") >= low) & (G.xmax("geom") <= high) & (G.ymax("geom") <= high)
-    return cut.groupBy("z", "tile_x", "tile_y").agg(F.count(F.lit(1)).alias("features"), F.min(inside).alias("inside"))
+    return cut.groupBy("z").agg(F.countDistinct("code").alias("features"), F.min(inside).alias("inside"))
 
 
 def tile_counts(spark, sf):
@@ -214,7 +214,7 @@ QUERIES = {
         ),
     ),
     "c06_tile_features": (tile_features_count, TILES_SQL),
-    "c06_tile_bounds": (tile_rows, None),
+    "c06_tile_bounds": (tile_rows, with_sql(REGIONS_SQL, body=f"SELECT 6 AS z, count(*) AS features, true AS inside FROM regions WHERE {VALID}")),
     "s19_parquet_sink": (parquet_export, "SELECT row_number() OVER (ORDER BY o_orderkey) AS gid, o_orderkey, o_totalprice FROM orders"),
     "c10_spatial_export": (spatial_export, with_sql(RAGGED_SQL, body="SELECT code, round(area, 9) AS area, true AS within, true AS boxed, 4326 AS srid FROM raggeds")),
     "o04_geohash_sort": (
