@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from arealis.llm import exact_dedup
+from arealis.llm import exact_dedup, mixing
 
 QUERIES = {
     "op2_exact_dedup": (exact_dedup.op2_exact_dedup, exact_dedup.ORACLE),
+    "op6_mix_sources": (mixing.op6_mix_sources, mixing.ORACLE),
 }
