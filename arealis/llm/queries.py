@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from arealis.llm import exact_dedup, mixing
+from arealis.llm import bpe, exact_dedup, mixing, token_index
 
 QUERIES = {
     "op2_exact_dedup": (exact_dedup.op2_exact_dedup, exact_dedup.ORACLE),
     "op6_mix_sources": (mixing.op6_mix_sources, mixing.ORACLE),
+    "op4_token_index": (token_index.op4_token_index, None),
+    "op9_bpe_round_trip": (bpe.op9_bpe_round_trip, None),
 }
