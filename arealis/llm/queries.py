@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from arealis.llm import bpe, exact_dedup, mixing, token_index
+from arealis.llm import bpe, exact_dedup, language_id, mixing, token_index
 
 QUERIES = {
+    "op1_language_id": (language_id.op1_language_id, None),
     "op2_exact_dedup": (exact_dedup.op2_exact_dedup, exact_dedup.ORACLE),
     "op6_mix_sources": (mixing.op6_mix_sources, mixing.ORACLE),
     "op4_token_index": (token_index.op4_token_index, None),
