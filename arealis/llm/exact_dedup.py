@@ -67,6 +67,9 @@ def retained(spark, ledger: str, files_per_batch: int = 1000) -> DataFrame:
         ("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"),
         ("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true"),
         ("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "200"),
+        # many small stores: no disk set aside for each, no count of rows kept
+        ("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false"),
+        ("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false"),
     ):
         session.conf.set(name, value)
     arrived = session.readStream.schema(LEDGER).option("maxFilesPerTrigger", files_per_batch).parquet(ledger)
