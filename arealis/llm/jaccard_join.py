@@ -11,7 +11,7 @@ that only one of the sets has, which bounds the overlap from above - and only pa
 that pass are intersected as sorted arrays.
 
 Links are found in two rounds, so that large groups of near copies never make all
-their pairs: first every class meets the one class that leads most of its tiles, then
+their pairs: first every class meets the class that leads most of its tiles, then
 only pairs whose components still differ are tried. No pair is left out.
 
 Defined cases: null and empty texts and texts of white space have empty sets and link
@@ -33,6 +33,7 @@ from arealis.llm.shingles import shingle_set
 THRESHOLD = 80  # per cent
 COUNTERS = 1 << 20  # two tables of so many counters order the shingles
 SLICE = 1 << 14
+COARSE = 512  # bits of the bitmaps that tiles carry
 
 
 # --- the common order -------------------------------------------------------------------------
@@ -84,9 +85,9 @@ def prefix_length(size: int, threshold: int = THRESHOLD) -> int:
 
 
 def parity_bits(hashes: np.ndarray) -> bytes:
-    """A bitmap of at least two bits per shingle, 256 at least and a power of two, in
-    which each shingle flips one bit."""
-    bits = max(256, 1 << int(2 * len(hashes) - 1).bit_length())
+    """A bitmap of at least four bits per shingle, COARSE at least and a power of two,
+    in which each shingle flips one bit."""
+    bits = max(COARSE, 1 << int(4 * len(hashes) - 1).bit_length())
     flips = np.bincount((hashes >> np.uint64(32)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
 
@@ -117,7 +118,7 @@ def match(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     return 100 * overlap >= threshold * (len(a) + len(b) - overlap) > 0
 
 
-SETS = "file string, row long, id long, size int, cls long, prefix array<long>, bitmap binary"
+SETS = "file string, row long, id long, size int, cls long, prefix array<long>, bitmap binary, coarse binary"
 
 
 def shingle_sets(docs: DataFrame, text: str, key: str, threshold: int) -> DataFrame:
@@ -132,7 +133,7 @@ def shingle_sets(docs: DataFrame, text: str, key: str, threshold: int) -> DataFr
         level = np.frombuffer(levels.value, np.uint8).reshape(2, COUNTERS)
         seen: set[int] = set()
         for batch in batches:
-            size, cls, prefix, bitmap = [], [], [], []
+            size, cls, prefix, bitmap, coarse = [], [], [], [], []
             for value in batch.column(3):
                 hashes = shingle_set(value.as_py())
                 name = np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).astype(np.int64).item()
@@ -144,12 +145,13 @@ def shingle_sets(docs: DataFrame, text: str, key: str, threshold: int) -> DataFr
                     order = np.lexsort((hashes, np.minimum(level[0][one], level[1][two])))
                     prefix.append(hashes[order[: prefix_length(len(hashes), threshold)]].view(np.int64))
                     bitmap.append(parity_bits(hashes))
+                    coarse.append(folded(np.frombuffer(bitmap[-1], np.uint64), COARSE // 64).tobytes())
                 else:
-                    prefix.append(None)
-                    bitmap.append(None)
+                    for column in (prefix, bitmap, coarse):
+                        column.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(size, pa.int32()), pa.array(cls, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(bitmap, pa.binary())],
-                names=["file", "row", "id", "size", "cls", "prefix", "bitmap"],
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(size, pa.int32()), pa.array(cls, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(bitmap, pa.binary()), pa.array(coarse, pa.binary())],
+                names=["file", "row", "id", "size", "cls", "prefix", "bitmap", "coarse"],
             )
 
     meta = docs.metadataColumn("_metadata")
@@ -160,51 +162,53 @@ def shingle_sets(docs: DataFrame, text: str, key: str, threshold: int) -> DataFr
 # --- pairs ------------------------------------------------------------------------------------
 
 
+def banded(key, cls, size, comp, bits, threshold: int):
+    """Pairs of positions in the same tile whose sizes fit, whose components differ
+    and whose coarse bitmaps leave room for the overlap, in portions. Rows come by key
+    and size; each meets its next, second next ... neighbour while the size fits."""
+    at, step = np.arange(len(key)), 1
+    while len(at):
+        at = at[at + step < len(key)]
+        at = at[(key[at + step] == key[at]) & (size[at + step] * threshold <= size[at] * 100)]
+        one = at[comp[at] != comp[at + step]]
+        two = one + step
+        apart = np.bitwise_count(bits[one] ^ bits[two]).sum(axis=1, dtype=np.int64)
+        both = size[one] + size[two]
+        overlap = (both - apart) // 2
+        fits = 100 * overlap >= threshold * (both - overlap)
+        if fits.any():
+            a, b = cls[one[fits]], cls[two[fits]]
+            yield np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
+        step += 1
+
+
 def tile_pairs(tiles: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of classes in one tile (key) whose sizes fit and whose components
-    differ. A tile is read in order of size; each class meets the band above it."""
+    """Pairs (a, b) of classes that may match, over all tiles."""
 
     def run(batches):
         import pyarrow as pa
 
-        def pairs(cls, size, comp):
-            top = np.searchsorted(size, size * 100 // threshold, "right")
-            for i in range(len(cls)):
-                other = np.flatnonzero(comp[i + 1 : top[i]] != comp[i]) + i + 1
-                if len(other):
-                    yield np.minimum(cls[i], cls[other]), np.maximum(cls[i], cls[other])
-
-        def given(held):
-            columns = [np.concatenate([h[k] for h in held]) for k in range(3)]
-            waiting, n = [], 0
-            for pair in pairs(*columns):
-                waiting.append(pair)
-                n += len(pair[0])
-                if n > 100_000:
-                    yield batch_of(waiting)
-                    waiting, n = [], 0
-            if waiting:
-                yield batch_of(waiting)
-
-        def batch_of(waiting):
-            return pa.RecordBatch.from_pydict({"a": pa.array(np.concatenate([w[0] for w in waiting])), "b": pa.array(np.concatenate([w[1] for w in waiting]))})
-
-        key, held = None, []
+        def given(columns):
+            found = list(banded(*columns, threshold))
+            if found:
+                pairs = np.unique(np.concatenate(found), axis=0)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+        held = None
         for batch in batches:
-            keys, *columns = (batch.column(i).to_numpy() for i in range(4))
-            cuts = np.flatnonzero(np.diff(keys)) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(keys)], strict=True):
-                if hi == lo:
-                    continue
-                if held and keys[lo] != key:
-                    yield from given(held)
-                    held = []
-                key = keys[lo]
-                held.append([c[lo:hi] for c in columns])
+            columns = [batch.column(i).to_numpy().astype(np.int64) for i in range(4)]
+            columns.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, COARSE // 64))
+            if held:
+                columns = [np.concatenate(pair) for pair in zip(held, columns, strict=True)]
+            if not len(columns[0]):
+                continue
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last tile may go on
+            yield from given([c[:cut] for c in columns])
+            held = [c[cut:] for c in columns]
         if held:
             yield from given(held)
 
-    ordered = tiles.select("key", "cls", "size", "comp").repartition("key").sortWithinPartitions("key", "size", "cls")
+    ordered = tiles.select("key", "cls", "size", "comp", "coarse").repartition("key").sortWithinPartitions("key", "size", "cls")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -254,15 +258,21 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold:
     sets = shingle_sets(docs, text, key, threshold)
     tile = Window.partitionBy("key")
     entries = sets.where("prefix is not null").select(F.explode("prefix").alias("key"), "cls", "size")
-    entries = entries.withColumn("lead", F.min("cls").over(tile)).withColumn("top", F.max("cls").over(tile)).where("lead <> top")
-    entries = stored(entries.select("key", "cls", "size", "lead"), "tiles")
-
-    met = entries.where("cls <> lead").groupBy("cls", "lead").agg(F.count("*").alias("n"))
+    entries = entries.withColumn("low", F.min("cls").over(tile)).withColumn("high", F.max("cls").over(tile)).withColumn("n", F.count("*").over(tile))
+    entries = stored(entries.where("low <> high").select("key", "cls", "size", "n"), "tiles")
+
+    # a copy's edits cost it tiles, so the text that a group was copied from has the
+    # highest rank and leads the group's tiles
+    ranks = entries.groupBy("cls").agg(F.sum("n").alias("rank"))
+    led = entries.join(ranks, "cls").withColumn("lead", F.max(F.struct("rank", "cls")).over(tile)["cls"])
+    met = led.where("cls <> lead").groupBy("cls", "lead").agg(F.count("*").alias("n"))
     met = met.groupBy("cls").agg(F.max(F.struct("n", "lead")).alias("best")).select(F.col("best.lead").alias("a"), F.col("cls").alias("b"))
     links = matching(met, sets, docs, text, threshold)
     named = stored(components(links), "named")
 
-    tiles = entries.distinct().join(named.withColumnRenamed("id", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
+    coarse = sets.where("coarse is not null").groupBy("cls").agg(F.first("coarse").alias("coarse"))
+    coarse = coarse.join(named.withColumnRenamed("id", "cls"), "cls", "left").select("cls", "coarse", F.coalesce("component", "cls").alias("comp"))
+    tiles = entries.join(coarse, "cls")
     tiles = tiles.withColumn("low", F.min("comp").over(tile)).withColumn("high", F.max("comp").over(tile)).where("low <> high")
     rest = matching(stored(tile_pairs(tiles, threshold), "pairs"), sets, docs, text, threshold)
     named = stored(components(links.unionByName(rest)), "named").withColumnRenamed("id", "cls")
