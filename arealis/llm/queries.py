@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from arealis.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, token_index
+from arealis.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, token_index, vector_join
 
 QUERIES = {
     "op1_language_id": (language_id.op1_language_id, None),
     "op2_exact_dedup": (exact_dedup.op2_exact_dedup, exact_dedup.ORACLE),
     "op5_jaccard_join": (jaccard_join.op5_jaccard_join, jaccard_join.ORACLE),
     "op6_mix_sources": (mixing.op6_mix_sources, mixing.ORACLE),
+    "op3_vector_join": (vector_join.op3_vector_join, vector_join.ORACLE),
     "op4_token_index": (token_index.op4_token_index, None),
     "op9_bpe_round_trip": (bpe.op9_bpe_round_trip, None),
 }
