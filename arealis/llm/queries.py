@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from arealis.llm import bpe, exact_dedup, jaccard_join, language_id, main_text, mixing, private_data, token_index, vector_join
+from arealis.llm import bpe, exact_dedup, jaccard_join, language_id, main_text, mixing, passages, private_data, token_index, vector_join
 
 QUERIES = {
     "op1_language_id": (language_id.op1_language_id, None),
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_mix_sources": (mixing.op6_mix_sources, mixing.ORACLE),
     "op3_vector_join": (vector_join.op3_vector_join, vector_join.ORACLE),
     "op4_token_index": (token_index.op4_token_index, None),
+    "op7_repeated_passages": (passages.op7_repeated_passages, None),
     "op8_main_text": (main_text.op8_main_text, main_text.ORACLE),
     "op9_bpe_round_trip": (bpe.op9_bpe_round_trip, None),
     "op10_private_data": (private_data.op10_private_data, None),
