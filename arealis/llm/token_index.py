@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from arealis.llm.bpe import tokenizer_path
 from arealis.llm.common import documents, per_worker, scratch_path, stored
+from arealis.llm.exact_dedup import located
 from arealis.llm.words import ChunkEncoder, special_tokens
 from arealis.session import estimated_bytes
 
@@ -332,7 +333,7 @@ def build(docs: DataFrame, path: str | None = None, folder: str | None = None, t
     """Encode, write the shards, index them."""
     from pyspark.sql import Window
 
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, located(docs)  # files tell their size
     folder = folder or scratch_path(spark, "tokens")
     path = path or tokenizer_path()
     files, root = filesystem(folder)
