@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -12,10 +13,8 @@ from arealis.session import checkpointed
 
 # Fixed value: the iteration limit of the database's clustering function.
 MAX_ITERATIONS = 1000
-# Bins one aggregate may return to the driver, and how many bins on either side of
-# a class border are refined with it.
+# Bins one aggregate may return to the driver.
 MAX_BINS = 65536
-MARGIN = 256
 
 
 def _nearest(value: Column, centres: Sequence[float]) -> Column:
@@ -31,6 +30,8 @@ def _starting_centres(values: DataFrame, k: int) -> list[float]:
     """The two extremes, then again and again the value farthest from its nearest
     centre (the lowest such value on a tie). One small aggregate per centre."""
     lo, hi, distinct = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    if distinct and not math.isfinite(hi - lo):
+        raise ValueError(f"classes need finite values, found {lo} to {hi}")
     if distinct < k:
         raise ValueError(f"{k} classes need at least {k} distinct values, found {distinct}")
     centres = [lo, hi][:k]
@@ -42,10 +43,12 @@ def _starting_centres(values: DataFrame, k: int) -> list[float]:
 
 
 class _Bins:
-    """Value ranges with their row counts and sums: a few megabytes at most.
+    """Value ranges with their row counts and sums.
 
     ``values`` stay in Spark; a range is cut finer only where a class border
-    falls inside it, so class sums are exact at every iteration."""
+    falls inside it, so class sums are exact at every iteration. A cut range
+    reaches from its least to its greatest value, so these two part at every cut
+    and the range shrinks by the number of bins: far outliers only cost a few cuts."""
 
     def __init__(self, values: DataFrame, low: float, high: float) -> None:
         self.values = values
@@ -81,18 +84,8 @@ class _Bins:
             self._refine(split)
 
     def _refine(self, split: np.ndarray) -> None:
-        spans: list[list[int]] = []
-        for i in split:
-            first, last = max(0, i - MARGIN), min(len(self.table) - 1, i + MARGIN)
-            if spans and first <= spans[-1][1]:
-                spans[-1][1] = last
-            else:
-                spans.append([first, last])
-        finer = self._count([(float(self.table[a, 0]), float(self.table[b, 1])) for a, b in spans])
-        kept = np.ones(len(self.table), dtype=bool)
-        for a, b in spans:
-            kept[a : b + 1] = False
-        merged = np.vstack([self.table[kept], finer])
+        finer = self._count([(float(self.table[i, 0]), float(self.table[i, 1])) for i in split])
+        merged = np.vstack([np.delete(self.table, split, axis=0), finer])
         self.table = merged[np.argsort(merged[:, 0])]
 
 
@@ -130,6 +123,8 @@ def kmeans_centres(df: DataFrame, value: Column | str, k: int, max_iterations: i
         # a class that lost all its values keeps its centre
         means = np.where(rows > 0, sums / np.maximum(rows, 1), centres)
         centres = sorted(means.tolist())
+    else:
+        raise RuntimeError(f"classes still change after {max_iterations} iterations")
     return centres
 
 

@@ -23,7 +23,6 @@ from arealis.session import estimated_bytes, spread, stored
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A cell with more points than this is split over several tasks.
 HOT_ROWS = 1_000_000
-MAX_HOT_CELLS = 10_000
 LEVELS = (-12, 12)
 # The cover of a layer estimated larger than this is written once, not worked out
 # again for the join after it was measured.
@@ -164,26 +163,24 @@ def _with_cells(points: DataFrame, levels: Sequence[int], px: str, py: str) -> D
     return probed.withColumns({"_ci": _index(F.col(px), level), "_cj": _index(F.col(py), level)})
 
 
-def _split_hot_cells(probed: DataFrame, cover: DataFrame, salt_from: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
+def _split_hot_cells(probed: DataFrame, cover: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
     """Spread cells holding more than ``hot_rows`` points over several tasks.
 
-    The fullest cells (never more than ``MAX_HOT_CELLS``, so they broadcast) get
-    a salt; their polygons are repeated once per salt. Results do not change.
+    Such cells get as many salts as their points need; a point's salt comes from its
+    position, so equal points spread too, and their polygons are repeated once per
+    salt. Results do not change.
     """
     keys = ["_level", "_ci", "_cj"]
     hot = (
         probed.groupBy(*keys)
         .count()
-        .orderBy(F.col("count").desc())
-        .limit(MAX_HOT_CELLS)
         .filter(F.col("count") > hot_rows)
         .select(*keys, F.ceil(F.col("count") / hot_rows).cast("int").alias("_salts"))
     )
     salts = F.coalesce("_salts", F.lit(1))
-    left = probed.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*salt_from), salts).cast("int")
-    )
-    right = cover.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    placed = probed.withColumn("_row", F.monotonically_increasing_id())
+    left = placed.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64("_row"), salts).cast("int")).drop("_row")
+    right = cover.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return left.drop("_salts"), right.drop("_salts")
 
 
@@ -196,7 +193,7 @@ def _cell_join(points: DataFrame, cover: DataFrame, px: str, py: str, broadcast_
     if size <= broadcast_bytes:
         joined = probed.join(F.broadcast(cover), keys)
     else:
-        probed, cover = _split_hot_cells(probed, cover, points.columns, hot_rows)
+        probed, cover = _split_hot_cells(probed, cover, hot_rows)
         joined = probed.join(cover, [*keys, "_salt"]).drop("_salt")
     # compiled box test, so that the interpreted one sees few candidates
     return joined.filter(F.col(px).between(F.col("_x0"), F.col("_x1")) & F.col(py).between(F.col("_y0"), F.col("_y1")))

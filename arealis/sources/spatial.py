@@ -210,31 +210,38 @@ def write_geojsonl(df: DataFrame, path: str, geom: str = "geom", feature_id: str
     to_geojson_feature(df, geom, feature_id).write.mode("overwrite").text(path)
 
 
-def feature_collection(df: DataFrame, geom: str = "geom", max_features: int = 10_000) -> str:
-    """The features of an extract as one document; larger results must be written
-    line by line instead."""
-    features = [r[0] for r in to_geojson_feature(df, geom).limit(max_features + 1).collect()]
-    if len(features) > max_features:
-        raise ValueError(f"more than {max_features} features: use write_geojsonl")
-    return '{"type":"FeatureCollection","features":[' + ",".join(features) + "]}"
-
-
-def read_geojsonl(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """Polygon and MultiPolygon features, one per line; ``properties`` is a DDL
-    schema. Each part is ``[[ [x, y], ... ], ...]``."""
-    head = spark.read.text(path).select(
-        F.from_json("value", f"type string, properties struct<{_as_struct(properties)}>, geometry struct<type:string,coordinates:string>").alias("f")
+def read_geojsonl(spark: SparkSession, path: str, properties: str, broken: str | None = None) -> DataFrame:
+    """Features, one per line; ``properties`` is a DDL schema. A part of ``geom`` is
+    ``[[ [x, y], ... ], ...]``; a point is a part of one vertex and a line a part of
+    one open ring, so every kind comes in the same form. Blank lines are skipped. A
+    malformed line, one that is no feature and an unknown kind of geometry fail the
+    read; with ``broken`` they are kept, in a column of this name."""
+    lines = spark.read.text(path).filter(F.trim("value") != "").select(
+        "value", F.from_json("value", f"type string, properties struct<{_as_struct(properties)}>, geometry struct<type:string,coordinates:string>").alias("f")
     )
-    numbers = "array<array<array<double>>>"
     text, kind = F.col("f.geometry.coordinates"), F.col("f.geometry.type")
-    parts = F.when(kind == "Polygon", F.array(F.from_json(text, numbers))).when(
-        kind == "MultiPolygon", F.from_json(text, f"array<{numbers}>")
+
+    def at(form: str, name: str) -> Column:
+        return F.when(kind == name, F.from_json(text, form))
+
+    point, line, rings = "array<double>", "array<array<double>>", "array<array<array<double>>>"
+    parts = F.coalesce(
+        at(f"array<{rings}>", "MultiPolygon"),
+        F.when(kind == "Polygon", F.array(at(rings, "Polygon"))),
+        F.when(kind == "LineString", F.array(F.array(at(line, "LineString")))),
+        F.when(kind == "Point", F.array(F.array(F.array(at(point, "Point"))))),
+        F.transform(at(rings, "MultiLineString"), lambda x: F.array(x)),
+        F.transform(at(line, "MultiPoint"), lambda x: F.array(F.array(x))),
     )
     geom = F.transform(
         parts, lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: G.make_point(F.get(p, F.lit(0)), F.get(p, F.lit(1)))))
     )
-    features = head.filter(F.col("f.type") == "Feature").select("f.properties.*", geom.alias("geom"))
-    return features
+    lines = lines.withColumn("geom", geom)
+    fine = F.coalesce(F.col("f.type") == "Feature", F.lit(False)) & (F.col("f.geometry").isNull() | F.col("geom").isNotNull())
+    if broken:
+        return lines.select("f.properties.*", "geom", F.when(~fine, F.col("value")).alias(broken))
+    checked = F.when(fine, F.col("geom")).otherwise(F.raise_error(F.concat(F.lit("malformed feature: "), F.col("value"))))
+    return lines.select("f.properties.*", checked.alias("geom"))
 
 
 def _as_struct(ddl: str) -> str:

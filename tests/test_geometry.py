@@ -354,9 +354,21 @@ def test_layers_from_files(spark, shapes, tmp_path):
     want = {r["code"]: r["geom"] for r in kept.collect()}
     for layer in loaded.values():
         assert {r["code"]: r["geom"] for r in layer.select("code", "geom").collect()} == want
-    assert S.feature_collection(kept).count('"Feature"') == 5
-    with pytest.raises(ValueError):
-        S.feature_collection(kept, max_features=2)
+
+
+def test_geojson_kinds(spark, tmp_path):
+    feature = '{"type":"Feature","properties":{"code":"%s"},"geometry":{"type":"%s","coordinates":%s}}'
+    lines = [feature % k for k in (("p", "Point", "[1,2]"), ("m", "MultiPoint", "[[1,2],[3,4]]"), ("l", "LineString", "[[0,0],[1,1]]"), ("k", "MultiLineString", "[[[0,0],[1,1]],[[5,5],[6,6]]]"))]
+    lines.append('{"type":"Feature","properties":{"code":"n"},"geometry":null}')
+    (tmp_path / "good").write_text("\n".join([*lines, ""]))
+    found = {r["code"]: r["geom"] for r in S.read_geojsonl(spark, str(tmp_path / "good"), "code string").collect()}
+    plain = {k: v and [[[tuple(p) for p in ring] for ring in part] for part in v] for k, v in found.items()}
+    assert plain == {"p": [[[(1, 2)]]], "m": [[[(1, 2)]], [[(3, 4)]]], "l": [[[(0, 0), (1, 1)]]], "k": [[[(0, 0), (1, 1)]], [[(5, 5), (6, 6)]]], "n": None}
+    (tmp_path / "bad").write_text("\n".join([lines[0], '{"type":"Feature","prop']))
+    with pytest.raises(Exception, match="malformed"):
+        S.read_geojsonl(spark, str(tmp_path / "bad"), "code string").collect()
+    kept = S.read_geojsonl(spark, str(tmp_path / "bad"), "code string", broken="_broken").collect()
+    assert [r["_broken"] is None for r in kept] == [True, False]
 
 
 def test_spatial_export(spark, shapes, tmp_path):

@@ -138,10 +138,9 @@ def lloyd(values, k):
     return centres
 
 
-@pytest.mark.parametrize("bins, margin", [(65536, 256), (16, 1)])
-def test_kmeans_matches_plain_lloyd(spark, monkeypatch, bins, margin):
+@pytest.mark.parametrize("bins", [65536, 16])
+def test_kmeans_matches_plain_lloyd(spark, monkeypatch, bins):
     monkeypatch.setattr(C, "MAX_BINS", bins)
-    monkeypatch.setattr(C, "MARGIN", margin)
     rng = random.Random(5)
     # a third of all rows hold one value
     values = [7.0] * 300 + [round(rng.expovariate(0.02), 3) for _ in range(600)]
@@ -150,6 +149,22 @@ def test_kmeans_matches_plain_lloyd(spark, monkeypatch, bins, margin):
         assert C.kmeans_centres(df, "v", k) == pytest.approx(lloyd(values, k), rel=1e-9)
 
 
+@pytest.mark.parametrize("far", [[5e11, 7e11, 1e12], [10.0**e for e in range(3, 60, 6)]])
+def test_kmeans_far_outliers(spark, far):
+    rng = random.Random(3)
+    values = [rng.random() for _ in range(1000)] + far
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert C.kmeans_centres(df, "v", 7) == pytest.approx(lloyd(values, 7), rel=1e-9)
+
+
+def test_kmeans_refuses(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(50)] + [(math.inf,)], "v double")
+    with pytest.raises(ValueError, match="finite"):
+        C.kmeans_centres(df, "v", 5)
+    with pytest.raises(RuntimeError):
+        C.kmeans_centres(df.filter("v < 100"), "v", 5, max_iterations=1)
+
+
 def test_kmeans_separated_groups(spark):
     values = [1.0, 1.1, 1.2, 50.0, 51.0, 900.0, 901.5]
     df = spark.createDataFrame([(v,) for v in values] + [(None,), (math.nan,)], "v double")

@@ -187,7 +187,7 @@ def geometry_kinds(spark, sf):
 def zoomed_extract(spark, sf):
     """Every order's view: boundary level by zoom and its population floor."""
     asked = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 30 - 5).cast("int").alias("zoom"))
-    return A.with_boundary_level(asked, zoom_levels(spark), override="sa1").select("o_orderkey", "boundary", "min_population")
+    return A.with_boundary_level(asked, zoom_levels(spark), override="sa1", override_min=250).select("o_orderkey", "boundary", "min_population")
 
 
 _ZOOMS = ", ".join(f"({z + 4}, {10 * (z + 1)})" for z, _ in enumerate(ZOOM_NAMES))
@@ -197,7 +197,7 @@ QUERIES = {
     "c08_map_extract_percent": (lambda spark, sf: extract(spark, sf, "percent"), extract_sql("percent")),
     "p11_boundary_override": (
         zoomed_extract,
-        f"""WITH zooms(z, m) AS (VALUES {_ZOOMS}) SELECT o_orderkey, 'sa1' AS boundary, m AS min_population FROM orders
+        f"""WITH zooms(z, m) AS (VALUES {_ZOOMS}) SELECT o_orderkey, 'sa1' AS boundary, 250 AS min_population FROM orders
           JOIN zooms ON z = least(greatest(CAST(o_orderkey % 30 - 5 AS INT), 4), 16)""",
     ),
     "c05_web_layer": (

@@ -70,7 +70,9 @@ def density_from_text(spark, sf):
     cells = [F.col("region_id"), *[F.concat(F.lit(" "), F.col(f"g{i}").cast("string")) for i in range(1, 7)]]
     lines = profile.select(F.concat(F.concat_ws(",", *cells), F.lit("\u001a")).alias("line"))
     schema = T.StructType([T.StructField("region_id", T.StringType())] + [T.StructField(f"g{i}", T.DoubleType()) for i in range(1, 7)])
-    typed = parse_profile(lines, schema).filter(F.col("_error").isNull()).drop("_error")
+    typed = parse_profile(lines, schema)
+    broken = F.raise_error(F.concat(F.lit("malformed line: "), F.col("_error")))
+    typed = typed.withColumn("region_id", F.when(F.col("_error").isNull(), F.col("region_id")).otherwise(broken)).drop("_error")
     joined = A.attach_stats(bdy(spark, sf), typed, "code")
     return A.density(joined, "g1", "area_sqkm").select("code", "name", "g1", "area_sqkm", "density").orderBy("code")
 
@@ -208,6 +210,13 @@ def ratio_classes(spark, sf):
     return C.kmeans_classes(rated, "value", 6).groupBy("class_id").agg(F.count(F.lit(1)).alias("rows"), F.max("value").alias("break"))
 
 
+def outlier_classes(spark, sf):
+    """Classes of prices of which a few are ten million times as large."""
+    price = F.when(F.col("o_orderkey") % 997 == 0, F.col("o_totalprice") * 10_000_000).otherwise(F.col("o_totalprice"))
+    priced = table(spark, sf, "orders").select(price.alias("v"))
+    return C.kmeans_classes(priced, "v", 7).groupBy("class_id").agg(F.count(F.lit(1)).alias("rows"), F.max("v").alias("break"))
+
+
 def kmeans_sql(source: str, k: int, final: str) -> str:
     """The same k-means as recursive SQL over ``source`` (columns ``v, w``)."""
     nearest = f"list_sum([CASE WHEN abs(v - c[i]) < abs(v - c[i - 1]) THEN 1 ELSE 0 END FOR i IN range(2, {k + 1})])"
@@ -231,6 +240,7 @@ classed AS (SELECT v, w, CAST({nearest} + 1 AS INT) AS class_id FROM vals, final
 """
 
 
+OUTLIER_VALUES = "vals AS (SELECT CASE WHEN o_orderkey % 997 = 0 THEN o_totalprice * 10000000 ELSE o_totalprice END AS v, count(*) AS w FROM orders GROUP BY 1)"
 EVENT_VALUES = "vals AS (SELECT value AS v, count(*) AS w FROM events GROUP BY value)"
 RATED_VALUES = f"""{REGIONS_SQL.strip()}, {PROFILE_SQL.strip()},
 vals AS (SELECT g1 / (w * w * 40000 + 1) AS v, count(*) AS w FROM regions JOIN profile ON code = region_id GROUP BY 1)"""
@@ -285,7 +295,7 @@ def sample(spark, sf):
 
 def tagged_union(spark, sf):
     customers = table(spark, sf, "customer")
-    pick = {s.title(): customers.filter(F.col("c_mktsegment") == s).select("c_custkey", "c_acctbal") for s in ("HOUSEHOLD", "MACHINERY", "FURNITURE")}
+    pick = {s.title(): customers.filter(F.col("c_mktsegment") == s).select("c_custkey", "c_acctbal") for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")}
     return A.union_tagged(pick, "segment")
 
 
@@ -431,6 +441,7 @@ QUERIES = {
     ),
     "p11_boundary_for_zoom": (boundary_levels, BOUNDARY_LEVELS_SQL),
     "a09_class_breaks": (breaks, kmeans_sql(EVENT_VALUES, 7, "SELECT class_id, max(v) AS break FROM classed GROUP BY class_id")),
+    "c01_kmeans_outliers": (outlier_classes, kmeans_sql(OUTLIER_VALUES, 7, "SELECT class_id, CAST(sum(w) AS BIGINT) AS rows, max(v) AS break FROM classed GROUP BY class_id")),
     "c01_kmeans_classes": (classes, kmeans_sql(EVENT_VALUES, 6, "SELECT event_id, value, class_id FROM events JOIN classed ON value = v")),
     "w04_cluster_window": (ratio_classes, kmeans_sql(RATED_VALUES, 6, "SELECT class_id, CAST(sum(w) AS BIGINT) AS rows, max(v) AS break FROM classed GROUP BY class_id")),
     "w01_run_rank": (class_runs, RUNS_SQL),
@@ -457,9 +468,7 @@ QUERIES = {
     "o03_random_rows": (sample, None),
     "o05_union_tagged": (
         tagged_union,
-        """SELECT 'Household' AS segment, c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'HOUSEHOLD'
-          UNION ALL SELECT 'Machinery', c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'MACHINERY'
-          UNION ALL SELECT 'Furniture', c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'FURNITURE'""",
+        "SELECT left(c_mktsegment, 1) || lower(substr(c_mktsegment, 2)) AS segment, c_custkey, c_acctbal FROM customer",
     ),
     "o07_first_per_key": (
         first_order,
