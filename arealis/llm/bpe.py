@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -70,7 +71,7 @@ class Vocabulary:
         self.automaton.make_automaton()
         where = {token: rank for rank, token in enumerate(tokens)}
         self.shorter = [next((where[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in where), -1) for t in tokens]
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}  # by left << 20 | right
         # special tokens are not in the alphabet of bytes; they decode to their own text
         content = {at: raw.get(t, t.encode()) for t, at in vocab.items()} | {x["id"]: x["content"].encode() for x in given["added_tokens"]}
         ordered = [content.get(i, b"") for i in range(max(content) + 1)]
@@ -120,9 +121,9 @@ class Vocabulary:
             while token >= 0:
                 end = at + lengths[token]
                 if open_at[end]:
-                    fits = last < 0 or compatible.get((last, token))
+                    fits = last < 0 or compatible.get(last << 20 | token)
                     if fits is None:
-                        fits = compatible[last, token] = self._may_follow(last, token)
+                        fits = compatible[last << 20 | token] = self._may_follow(last, token)
                     if fits:
                         ranks.append(token)
                         at, last = end, token
@@ -139,7 +140,7 @@ class Vocabulary:
 
     def encode_chunks(self, texts: list[str]) -> list[list[int]]:
         """Ids of texts that the pattern keeps apart, all pre-tokenised in one go."""
-        if len(self.compatible) > 1_000_000:
+        if len(self.compatible) > 400_000:
             self.compatible.clear()
         if len(self.known) > 200_000:
             self.known.clear()
@@ -173,16 +174,16 @@ class Codec:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.encoder = ChunkEncoder(lambda texts: map(self._packed, self.vocabulary.encode_chunks(texts)), special_tokens(path), lambda at: self._packed([at]))
-
-    @staticmethod
-    def _packed(ids: list[int]) -> tuple[bytes, str]:
-        return np.array(ids, np.uint32).tobytes(), ",".join(map(str, ids))
+        self.decimals = list(map(str, range(len(self.vocabulary.sizes))))
+        self.kind = np.uint16 if len(self.decimals) <= 1 << 16 else np.uint32
+        code = "H" if self.kind is np.uint16 else "I"
+        packed = lambda ids: array(code, ids).tobytes()
+        self.encoder = ChunkEncoder(lambda texts: map(packed, self.vocabulary.encode_chunks(texts)), special_tokens(path), lambda at: packed([at]))
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """The ids, and the same in decimal joined by commas."""
-        found = self.encoder.values(text)
-        return np.frombuffer(b"".join([x[0] for x in found]), np.uint32), ",".join([x[1] for x in found])
+        ids = np.frombuffer(b"".join(self.encoder.values(text)), self.kind)
+        return ids, ",".join(map(self.decimals.__getitem__, ids.tolist()))
 
 
 def codec(path: str) -> Codec:

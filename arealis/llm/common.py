@@ -19,11 +19,13 @@ def documents(spark, sf_dir: str, table: str = "documents") -> DataFrame:
 
 def per_worker(key, make):
     """``make()`` once per Python worker: functions are shipped by value, so a
-    module's own globals start anew with every task."""
+    module's own globals start anew with every task. A worker keeps one such thing
+    at a time, so that operators that run in turn don't add up their caches."""
     kept = sys.modules.setdefault("_llm_per_worker", types.ModuleType("_llm_per_worker")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    if kept.get("key") != key:
+        kept.clear()
+        kept.update(key=key, value=make())
+    return kept["value"]
 
 
 def components(edges: DataFrame) -> DataFrame:
