@@ -190,20 +190,21 @@ def codec(path: str) -> Codec:
     return per_worker(("codec", path), lambda: Codec(path))
 
 
+SLICE = 500
 # decoding works on this many ids at a time, so a long text needs little more than itself
 STRETCH = 1_000_000
 
 
 def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", key: str = "doc_id", texts: bool = False) -> DataFrame:
     """Encode and decode each text: doc_id, n_tokens, ids_sha256, decoded_sha256, and
-    with ``texts`` also ids (array) and decoded."""
+    with ``texts`` also ids (array) and decoded. ``SLICE`` rows go out at a time."""
     path = path or tokenizer_path()
 
     def run(batches):
         import pyarrow as pa
 
         own = codec(path)
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, len(b), SLICE)):
             rows = {"doc_id": batch.column(0), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
             for value in batch.column(1):
                 ids, decimal = own.encode(value.as_py() or "")

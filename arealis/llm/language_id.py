@@ -19,6 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -153,8 +154,6 @@ def document_frequencies(texts: DataFrame, buckets: int = BUCKETS) -> tuple[np.n
     """In how many of all rows (text) each bucket occurs, and the rows with letters."""
 
     def run(batches):
-        import pyarrow as pa
-
         total = np.zeros(buckets + 1, np.int64)
         for batch in batches:
             for value in batch.column(0):
@@ -191,8 +190,6 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     code = {label: i for i, label in enumerate(labels)}
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
             found = []
             for value, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
@@ -217,31 +214,25 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (they replace columns of these names)."""
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    place = len(kept)
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            predicted, score = [], []
-            for value in batch.column(place):
-                counts = counted(value.as_py(), len(model.idf)) if model else None
-                if counts is None:
-                    predicted.append(UNKNOWN)
-                    score.append(0.0)
-                else:
-                    p = model.probabilities(*damped(counts))
-                    predicted.append(model.labels[int(p.argmax())])
-                    score.append(float(min(1.0, p.max())))
-            columns = [batch.column(i) for i in range(place)] + [pa.array(predicted, pa.string()), pa.array(score, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(place)] + ["lang_pred", "score"])
-
-    rows = docs.select(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(kept)], docs[text].alias("text_read"))
-    schema = ", ".join([f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(kept)] + ["lang_pred string", "score double"])
-    found = rows.mapInArrow(run, schema)
-    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "lang_pred", "score")
+    """``docs`` with lang_pred and score (they replace columns of these names). Only
+    the text goes to Python."""
+
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def predicted(texts: pa.Array) -> pa.Array:
+        label, score = [], []
+        for value in texts:
+            counts = counted(value.as_py(), len(model.idf)) if model else None
+            if counts is None:
+                label.append(UNKNOWN)
+                score.append(0.0)
+            else:
+                p = model.probabilities(*damped(counts))
+                label.append(model.labels[int(p.argmax())])
+                score.append(float(min(1.0, p.max())))
+        return pa.StructArray.from_arrays([pa.array(label, pa.string()), pa.array(score, pa.float64())], names=["lang_pred", "score"])
+
+    whole = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns if c not in ("lang_pred", "score")])
+    return docs.select(whole.alias("whole"), predicted(docs[text]).alias("found")).select("whole.*", "found.*")
 
 
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
