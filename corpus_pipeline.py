@@ -10,8 +10,9 @@ from __future__ import annotations
 from arealis.llm import bpe, exact_dedup, jaccard_join, language_id, mixing
 from arealis.llm.common import documents, stored
 
-# a text whose likeliest language is less likely than not is rejected
-SURE = 0.5
+# a text none of whose languages is this likely is rejected; short and mixed texts of
+# known languages come out above it
+SURE = 0.4
 
 
 def known_language(spark, docs, sf_dir):
