@@ -235,7 +235,7 @@ def thin_line(line: Ring, tolerance: float, keep: int) -> Ring:
 
 @F.arrow_udf(GEOM)
 def _simplify_vw(geom: pa.Array, tolerance: pa.Array) -> pa.Array:
-    return _map_geometries(lambda g, tol: [[thin_line(r, tol, 2) for r in part] for part in g], geom, tolerance)
+    return _map_geometries(lambda g, tol: [[thin_line(r, tol, 2) for r in part] for part in g], geom, tolerance.cast(pa.float64()))
 
 
 def simplify_vw(geom: Column | str, tolerance: Column | float) -> Column:
@@ -270,7 +270,7 @@ def _dp_part(part: list[Ring], tolerance: float) -> list[Ring]:
 
 @F.arrow_udf(GEOM)
 def _simplify_dp(geom: pa.Array, tolerance: pa.Array) -> pa.Array:
-    return _map_geometries(lambda g, tol: [p for p in (_dp_part(part, tol) for part in g) if p], geom, tolerance)
+    return _map_geometries(lambda g, tol: [p for p in (_dp_part(part, tol) for part in g) if p], geom, tolerance.cast(pa.float64()))
 
 
 def simplify_dp(geom: Column | str, tolerance: float) -> Column:

@@ -364,6 +364,13 @@ def point_wkt(point: Column | str) -> Column:
     )
 
 
+def line_wkt(line: Column | str) -> Column:
+    pairs = F.transform(_col(line), lambda v: F.concat_ws(" ", v["x"].cast("string"), v["y"].cast("string")))
+    return F.when(F.array_size(_col(line)) == 0, F.lit("LINESTRING EMPTY")).otherwise(
+        F.concat(F.lit("LINESTRING("), F.array_join(pairs, ","), F.lit(")"))
+    )
+
+
 def from_wkt(text: Column | str) -> Column:
     """POLYGON, MULTIPOLYGON, LINESTRING or POINT text to the nested-array form."""
     body = F.regexp_replace(F.upper(_col(text)), r"^\s*[A-Z]+\s*Z?\s*", "")

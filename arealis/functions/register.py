@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from arealis.functions.arrow_geometry import _intersection_area, _is_simple, draw_points
+from arealis.functions.arrow_geometry import _intersection_area, _is_simple, _simplify_dp, _simplify_vw, _subdivide, draw_points
 from arealis.functions.geometry import GEOM_TYPE, POINT, POINT_TYPE
 
 _VERTICES = "flatten(flatten(g))"
@@ -33,6 +33,11 @@ _STATE = (
     " AND pt.y BETWEEN least(e.p.y, e.q.y) AND greatest(e.p.y, e.q.y))))"
 )
 
+_PART_TEXTS = (
+    "transform(g, p -> concat('(', array_join(transform(p, r -> concat('(', array_join(transform(r,"
+    " v -> concat_ws(' ', CAST(v.x AS STRING), CAST(v.y AS STRING))), ','), ')')), ','), ')'))"
+)
+
 # name -> (parameters, result type, body)
 SQL_FUNCTIONS = {
     "st_makepoint": ("px DOUBLE, py DOUBLE", POINT_TYPE, "named_struct('x', px, 'y', py)"),
@@ -45,6 +50,22 @@ SQL_FUNCTIONS = {
     "st_ymin": (f"g {GEOM_TYPE}", "DOUBLE", f"array_min({_VERTICES}.y)"),
     "st_xmax": (f"g {GEOM_TYPE}", "DOUBLE", f"array_max({_VERTICES}.x)"),
     "st_ymax": (f"g {GEOM_TYPE}", "DOUBLE", f"array_max({_VERTICES}.y)"),
+    "st_envelope": (
+        f"g {GEOM_TYPE}",
+        GEOM_TYPE,
+        "transform(array(named_struct('x0', array_min(flatten(flatten(g)).x), 'y0', array_min(flatten(flatten(g)).y),"
+        " 'x1', array_max(flatten(flatten(g)).x), 'y1', array_max(flatten(flatten(g)).y))), b -> if(b.x0 IS NULL, NULL,"
+        " array(array(array(named_struct('x', b.x0, 'y', b.y0), named_struct('x', b.x0, 'y', b.y1), named_struct('x', b.x1, 'y', b.y1),"
+        " named_struct('x', b.x1, 'y', b.y0), named_struct('x', b.x0, 'y', b.y0))))))[0]",
+    ),
+    "st_astext": (
+        f"g {GEOM_TYPE}",
+        "STRING",
+        f"CASE WHEN size(g) = 0 THEN 'MULTIPOLYGON EMPTY' WHEN size(g) = 1 THEN concat('POLYGON', {_PART_TEXTS}[0])"
+        f" WHEN g IS NOT NULL THEN concat('MULTIPOLYGON(', array_join({_PART_TEXTS}, ','), ')') END",
+    ),
+    # the parts, for LATERAL VIEW explode
+    "st_dump": (f"g {GEOM_TYPE}", f"ARRAY<{GEOM_TYPE}>", "transform(g, p -> array(p))"),
     "st_area": (
         f"g {GEOM_TYPE}",
         "DOUBLE",
@@ -74,4 +95,7 @@ def register(spark: SparkSession) -> None:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {result} RETURN {body}")
     spark.udf.register("st_intersection_area", _intersection_area)
     spark.udf.register("st_issimple", _is_simple)
+    spark.udf.register("st_simplify", _simplify_dp)
+    spark.udf.register("st_simplifyvw", _simplify_vw)
+    spark.udf.register("st_subdivide", _subdivide)
     spark.udtf.register("st_randompointsinpolygon", RandomPoints)

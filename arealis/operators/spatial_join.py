@@ -131,12 +131,17 @@ def cell_cover(bdy: DataFrame, geom: str = "geom", metres: float = 0.0) -> DataF
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Estimated bytes of a cover row in a hash table."""
+    """Estimated bytes of a cover row in a hash table; a nested attribute counts
+    four bytes for each of its JSON text's."""
     total = F.lit(144) + F.size("_edges") * 40 + F.size("_flips") * 8
     for name, kind in df.dtypes:
         if name.startswith("_"):
             continue
-        total = total + (F.coalesce(F.octet_length(name), F.lit(0)) + 16 if kind == "string" else F.lit(16))
+        total = total + 16
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0)) * 4
     return total
 
 
@@ -221,20 +226,23 @@ def tag_points(
 ) -> DataFrame:
     """Points with the attributes of every region they meet, borders included.
 
-    A point on a shared border gets one row per region. ``how='left'`` keeps
-    points outside all regions and needs ``point_id``.
+    A point on a shared border gets one row per region. ``how='left'`` also keeps
+    points outside all regions or without coordinates: the distinct positions are
+    tagged and looked up by every point, so points that share an id or a position
+    keep their rows. ``point_id`` is not needed for it and has no effect.
     """
     clash = set(points.columns) & set(bdy.columns) - {geom}
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
+    if how not in ("inner", "left"):
+        raise ValueError("how is 'inner' or 'left'")
     attrs = [c for c in bdy.columns if c != geom]
-    joined = _cell_join(spread(points), _ready_cover(bdy, geom), px, py, broadcast_bytes, hot_rows)
-    tagged = joined.filter(_inside(px, py)).select(*points.columns, *attrs)
+    asked = spread(points) if how == "inner" else points.select(px, py).distinct()
+    joined = _cell_join(asked, _ready_cover(bdy, geom), px, py, broadcast_bytes, hot_rows)
+    tagged = joined.filter(_inside(px, py)).select(*asked.columns, *attrs)
     if how == "inner":
         return tagged
-    if how != "left" or point_id is None:
-        raise ValueError("how is 'inner', or 'left' with a point_id")
-    return points.join(tagged.select(point_id, *attrs), point_id, "left")
+    return points.join(tagged, [px, py], "left").select(*points.columns, *attrs)
 
 
 # --- within a distance ------------------------------------------------------------------
@@ -327,9 +335,7 @@ def match_by_overlap(a: DataFrame, b: DataFrame, share: float = 0.5, geom: str =
 
     pairs = candidate_pairs(a, b, geom)
     keep = [c for c in pairs.columns if c not in (f"a_{geom}", f"b_{geom}")]
-    measured = pairs.select(
-        *keep,
-        intersection_area(f"a_{geom}", f"b_{geom}").alias("common_area"),
-        G.area(f"b_{geom}").alias("_area"),
-    )
+    # behind a generator no filter can repeat the area's work
+    areas = F.struct(intersection_area(f"a_{geom}", f"b_{geom}").alias("common_area"), G.area(f"b_{geom}").alias("_area"))
+    measured = pairs.select(*keep, F.inline(F.array(areas)))
     return measured.withColumn("overlap", F.try_divide("common_area", "_area")).filter(F.col("overlap") > share).drop("_area")

@@ -119,9 +119,10 @@ def histogram(df: DataFrame, value: Column | str, lo: float | None = None, hi: f
     """
     v = _col(value)
     if lo is None or hi is None:
-        bounds = df.agg(F.min(v).cast("double").alias("lo"), F.max(v).cast("double").alias("hi"))
-        low = bounds.select("lo").scalar() if lo is None else F.lit(float(lo))
-        high = bounds.select("hi").scalar() if hi is None else F.lit(float(hi))
+        # one subquery for both ends, so the table is read once for them
+        bounds = df.agg(F.struct(F.min(v).cast("double").alias("lo"), F.max(v).cast("double").alias("hi"))).scalar()
+        low = bounds["lo"] if lo is None else F.lit(float(lo))
+        high = bounds["hi"] if hi is None else F.lit(float(hi))
     else:
         low, high = lo, hi
     bucketed = with_bucket(df, v, low, high, n)
@@ -188,12 +189,13 @@ def geometry_summary(df: DataFrame, id_col: str, geom: str = "geom") -> DataFram
 def thinning_report(before: DataFrame, after: DataFrame, id_col: str, geom: str = "geom") -> DataFrame:
     """Vertex totals before and after thinning, and the percent that is left."""
     a = geometry_summary(before, id_col, geom).select("num_geoms", F.col("points").alias("points_before"))
-    b = geometry_summary(after, id_col, geom)
+    # one subquery for both figures, so the layer is thinned once for them
+    b = geometry_summary(after, id_col, geom).select(F.struct("num_geoms", "points")).scalar()
     return a.select(
         "num_geoms",
-        b.select("num_geoms").scalar().alias("num_geoms_after"),
+        b["num_geoms"].alias("num_geoms_after"),
         "points_before",
-        b.select("points").scalar().alias("points_after"),
+        b["points"].alias("points_after"),
     ).withColumn("percent_left", F.try_divide(F.col("points_after") * 100.0, F.col("points_before")))
 
 

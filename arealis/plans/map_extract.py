@@ -40,10 +40,11 @@ def map_extract(
     numbers = stats.select("region_id", F.col(stat).alias("value"), F.col(population).alias("population"))
     features = percent_of(attach_stats(shown, numbers, bdy_key), "value", "population")
     bounds = map_range(features, maptype, min_population)
-    low, high = (bounds.select(tenths(c)).scalar() for c in ("map_min", "map_max"))
+    # one subquery for both ends
+    domain = bounds.select(F.struct(tenths("map_min").alias("low"), tenths("map_max").alias("high"))).scalar()
     # columns of their own: the ramp refers to each of them many times
     scaled = features.withColumn("map_value", map_value(maptype, "value", "percent")).withColumns(
-        {"_t": tenths("map_value"), "_low": low, "_high": high}
+        {"_t": tenths("map_value"), "_low": domain["low"], "_high": domain["high"]}
     )
     colour = F.when(F.col("population") <= min_population, F.lit(LOW_POP_COLOUR)).otherwise(
         colour_ramp("_t", "_low", "_high", colours, on_flat="start")

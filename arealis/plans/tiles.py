@@ -14,6 +14,8 @@ from arealis.session import spread
 # Tile extent and the margin drawn around a tile, in tile pixels.
 EXTENT = 4096
 BUFFER = 256
+# Latitude at which the mercator map is as high as it is wide.
+MAX_LATITUDE = math.degrees(2 * math.atan(math.exp(math.pi)) - math.pi / 2)
 
 
 def _whole_pixels(geom: Column, tile_x: Column, tile_y: Column) -> Column:
@@ -28,15 +30,16 @@ def tile_features(df: DataFrame, zoom: int, geom: str = "geom") -> DataFrame:
     """One row per feature and tile it meets: ``z, x, y``, attributes and the
     geometry clipped to the tile (plus its margin) in integer pixels.
 
-    Longitude/latitude in. A feature is cut into columns first and each column
+    Longitude/latitude in; latitudes beyond the square map's are held to its edge. A feature is cut into columns first and each column
     into tiles, halving as it goes, so pieces shrink and are never copied whole
     per tile. Rows stay flat: a tile may hold any number of features.
     """
     others = [c for c in df.columns if c != geom]
     count = 2**zoom
     half, size = math.pi * G.MERCATOR_RADIUS, 2 * math.pi * G.MERCATOR_RADIUS / count
+    held = G.map_vertices(geom, lambda v: G.make_point(v["x"], F.greatest(F.least(v["y"], F.lit(MAX_LATITUDE)), F.lit(-MAX_LATITUDE))))
     units = G.map_vertices(
-        G.to_mercator(geom), lambda v: G.make_point((v["x"] + half) / size, (F.lit(half) - v["y"]) / size)
+        G.to_mercator(held), lambda v: G.make_point((v["x"] + half) / size, (F.lit(half) - v["y"]) / size)
     )
     margin = BUFFER / EXTENT
     columns = spread(df).select(*others, F.explode(strips(units, 0, margin, count - 1)).alias("_s"))

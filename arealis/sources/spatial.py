@@ -112,16 +112,16 @@ def geohash_sort(df: DataFrame, precision: int = 5, geom: str = "geom") -> DataF
 def export_table(df: DataFrame, name: str, path: str, spatial: bool | None = None, compression: str = "snappy", block_bytes: int | None = None, key: str | None = None, max_vertices: int = 256, with_wkt: bool = False) -> str:
     """Write a table as Parquet and return where.
 
-    A spatial table is dumped to parts, repaired, subdivided, taken to
-    longitude/latitude, given bounding-box columns and sorted by geohash. Rows
-    get a ``gid`` when there is none and a ``key`` to number them by is given.
+    A spatial table is taken to longitude/latitude, given bounding-box columns and
+    sorted by geohash; polygons are dumped to parts, repaired and subdivided first.
+    Rows get a ``gid`` when there is none and a ``key`` to number them by is given.
     """
     spatial = is_spatial(df) if spatial is None else spatial
     if key and "gid" not in df.columns:
         df = with_row_id(df, key)
     target = f"{path.rstrip('/')}/{name.replace(DATUM_SUFFIX, '') if spatial else name}"
     if spatial:
-        df = spatial_layout(df, max_vertices, with_wkt)
+        df = spatial_layout(df, max_vertices, with_wkt, geometry_columns(df)[0]["column"])
     writer = df.write.mode("overwrite").option("compression", compression)
     if block_bytes:
         writer = writer.option("parquet.block.size", block_bytes)
@@ -130,9 +130,16 @@ def export_table(df: DataFrame, name: str, path: str, spatial: bool | None = Non
 
 
 def spatial_layout(df: DataFrame, max_vertices: int = 256, with_wkt: bool = False, geom: str = "geom") -> DataFrame:
-    """The rows a spatial export writes."""
+    """The rows a spatial export writes.
+
+    Polygons become one row per piece, so NULL and empty ones go. Points and lines
+    stay the rows and the type they are; a NULL one has a NULL box and sorts first.
+    """
     srid = G.get_srid(df, geom)
-    repaired = spread(df).withColumn(geom, G.clean_rings(geom))
+    kind = next(c["kind"] for c in geometry_columns(df) if c["column"] == geom)
+    if kind in ("POINT", "LINESTRING"):
+        return _unpolygonal_layout(df, geom, kind, srid, with_wkt)
+    repaired = spread(df).withColumn(geom, G.clean_rings(nested(geom, kind)))
     if srid is not None and srid != 4326:
         repaired = G.to_wgs84(repaired, geom, srid)
     parts = G.dump_parts(repaired, geom).drop("part_no")
@@ -146,6 +153,35 @@ def spatial_layout(df: DataFrame, max_vertices: int = 256, with_wkt: bool = Fals
     return G.set_srid(geohash_sort(boxed, 5, geom), 4326, geom)
 
 
+# array levels between a geometry of a kind and a multipolygon's
+_LEVELS_UP = {"MULTIPOLYGON": 0, "POLYGON": 1, "LINESTRING": 2, "POINT": 3}
+
+
+def nested(geom: str, kind: str) -> Column:
+    """A geometry of any kind in the form of a multipolygon."""
+    lifted = F.col(geom)
+    for _ in range(_LEVELS_UP[kind]):
+        lifted = F.array(lifted)
+    return F.when(F.col(geom).isNotNull(), lifted)
+
+
+def _unpolygonal_layout(df: DataFrame, geom: str, kind: str, srid: int | None, with_wkt: bool) -> DataFrame:
+    """Points or lines with their boxes, sorted by geohash. The nested form lends
+    them the polygons' expressions and is given up again."""
+    lifted = df.withColumn(geom, nested(geom, kind))
+    if srid is not None and srid != 4326:
+        lifted = G.to_wgs84(lifted, geom, srid)
+    boxed = G.with_bbox(lifted, geom)
+    hashed = boxed.withColumn("_gh", G.geohash_xy((F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2))
+    back = F.col(geom)
+    for _ in range(_LEVELS_UP[kind]):
+        back = F.get(back, F.lit(0))
+    flat = hashed.withColumn(geom, back)
+    if with_wkt:
+        flat = flat.withColumn("wkt_geom", G.point_wkt(geom) if kind == "POINT" else G.line_wkt(geom))
+    return G.set_srid(sorted_ranges(flat, [F.col("_gh")]).drop("_gh"), 4326, geom)
+
+
 def read_spatial(spark: SparkSession, path: str, srid: int | None = None) -> DataFrame:
     """A spatial Parquet table; its SRID comes from the column metadata."""
     df = spark.read.parquet(path)

@@ -256,11 +256,60 @@ def test_tagging_matches_every_pair(spark, shapes, scattered, path):
 
 
 def test_tagging_keeps_outside(spark, shapes, scattered):
-    kept = J.tag_points(scattered, shapes, "left", point_id="id")
+    kept = J.tag_points(scattered, shapes, "left")
     assert kept.select("id").distinct().count() == 2251
     assert kept.filter("id = 9999").first()["code"] is None
 
 
+def test_left_tagging_keeps_points_that_share_an_id_or_a_place(spark):
+    bdy = frame(spark, a=polygon([SQUARE]))
+    points = spark.createDataFrame([(1, 1.0, 1.0), (1, 99.0, 99.0), (2, 1.0, 1.0), (2, 1.0, 1.0), (3, None, 1.0)], "id int, x double, y double")
+    kept = J.tag_points(points, bdy, "left").select("id", "x", "code").collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, 1.0, "a"), (1, 99.0, None), (2, 1.0, "a"), (2, 1.0, "a"), (3, None, None)], key=str)
+
+
+def test_a_cover_with_nested_attributes_is_measured(spark):
+    bdy = frame(spark, a=polygon([SQUARE]))
+    small = J._measure(J.cell_cover(bdy))[1]
+    tags = F.transform(F.sequence(F.lit(1), F.lit(10_000)), lambda i: i.cast("string"))
+    assert J._measure(J.cell_cover(bdy.withColumn("tags", tags)))[1] > small + 40_000
+    assert J._measure(J.cell_cover(bdy.withColumn("wkb", F.encode(F.repeat(F.lit("x"), 50_000), "utf-8"))))[1] > small + 40_000
+
+
+@pytest.mark.parametrize("kind", ["point", "line", "polygon"])
+def test_export_of_every_kind(spark, tmp_path, kind):
+    value = {"point": "named_struct('x', 150D, 'y', -30D)", "line": "array(named_struct('x', 150D, 'y', -30D), named_struct('x', 151D, 'y', -31D))"}
+    value["polygon"] = "array(array(named_struct('x', 150D, 'y', -30D), named_struct('x', 151D, 'y', -30D), named_struct('x', 150D, 'y', -29D), named_struct('x', 150D, 'y', -30D)))"
+    layer = spark.sql(f"SELECT 1 AS id, {value[kind]} AS shape UNION ALL SELECT 2, NULL")
+    target = S.export_table(layer, "t", str(tmp_path), key="id") if kind != "line" else None
+    back = S.spatial_layout(layer, geom="shape", with_wkt=True) if target is None else spark.read.parquet(target)
+    rows = {r["id"]: r for r in back.collect()}
+    assert (rows[1]["xmin"], rows[1]["xmax"]) == (150.0, 150.0 if kind == "point" else 151.0)
+    if kind == "polygon":
+        assert set(rows) == {1}
+    else:
+        assert back.schema["shape"].dataType.simpleString() == layer.schema["shape"].dataType.simpleString()
+        assert rows[2]["shape"] is None and rows[2]["xmin"] is None
+    if kind == "line":
+        assert rows[1]["wkt_geom"] == "LINESTRING(150.0 -30.0,151.0 -31.0)"
+
+
+def test_tiles_reach_the_pole(spark):
+    south = frame(spark, a=polygon([[(10, -90), (40, -90), (40, -70), (10, -70), (10, -90)]]))
+    cut = tiles.tile_features(south, 2).select("tile_x", "tile_y").collect()
+    assert {tuple(r) for r in cut} == {(2, 3)}
+
+
+def test_sql_names(spark, shapes):
+    register(spark)
+    shapes.createOrReplaceTempView("sql_shapes")
+    got = spark.sql("SELECT st_astext(geom) AS t, st_envelope(geom) AS e, size(st_dump(geom)) AS n, st_simplifyvw(geom, 0.1) AS v, st_simplify(geom, 0.1) AS d, st_subdivide(geom, 16) AS p FROM sql_shapes")
+    want = shapes.select(
+        G.to_wkt("geom").alias("t"), G.envelope("geom").alias("e"), F.size("geom").alias("n"), R.simplify_vw("geom", 0.1).alias("v"), R.simplify_dp("geom", 0.1).alias("d"), R.subdivided("geom", 16).alias("p")
+    )
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def haversine(ax, ay, b):
     la, lb = math.radians(ay), np.radians(b[:, 1])
     h = np.sin((lb - la) / 2) ** 2 + math.cos(la) * np.cos(lb) * np.sin(np.radians(b[:, 0] - ax) / 2) ** 2

@@ -12,9 +12,11 @@ from arealis.plans import thinning, tiles
 from arealis.session import scratch_path
 from arealis.sources import spatial as S
 from workload.derived import (
+    POINTS_SQL,
     PROFILE_SQL,
     RAGGED_SQL,
     REGIONS_SQL,
+    order_points,
     ragged,
     region_profile,
     regions,
@@ -121,6 +123,21 @@ def spatial_export(spark, sf):
     return checked.withColumn("srid", F.lit(G.get_srid(back)))
 
 
+def point_export(spark, sf):
+    """Points under a name of their own: boxed, sorted by geohash, written, read back."""
+    layer = order_points(spark, sf).select("point_id", G.make_point("x", "y").alias("place"))
+    target = S.export_table(G.set_srid(layer, 4283, "place"), "orders_2021_aust_gda94", scratch_path(spark, "export"))
+    back = S.read_spatial(spark, target)
+    return back.select(
+        "point_id",
+        G.x("place").alias("px"),
+        G.y("place").alias("py"),
+        ((F.col("xmin") == G.x("place")) & (F.col("ymax") == G.y("place"))).alias("boxed"),
+        F.lit(S.geometry_columns(back)[0]["kind"]).alias("kind"),
+        F.lit(G.get_srid(back, "place")).alias("srid"),
+    )
+
+
 def geohash_layout(spark, sf):
     kept = A.valid_geom(regions(spark, sf).select("code", "geom"))
     return S.geohash_sort(kept).select("code", G.geohash("geom", 5).alias("hash"))
@@ -131,6 +148,8 @@ def export_job(spark, sf):
         "orders": table(spark, sf, "orders").select("o_orderkey", "o_totalprice"),
         "parts": table(spark, sf, "part"),
         "regions_gda94": A.valid_geom(regions(spark, sf).select("code", "geom")).transform(lambda d: G.set_srid(d, 4283)),
+        "places": order_points(spark, sf).select("point_id", G.make_point("x", "y").alias("place")).transform(lambda d: G.set_srid(d, 4283, "place")),
+        "outlines": A.valid_geom(regions(spark, sf)).select("code", F.get(F.get("geom", F.lit(0)), F.lit(0)).alias("outline")).transform(lambda d: G.set_srid(d, 4283, "outline")),
         "nothing": table(spark, sf, "orders").filter(F.col("o_orderkey") < 0),
     }
     return S.export_all(tables, scratch_path(spark, "job")).select("table_name", "spatial", "rows", "status")
@@ -141,6 +160,8 @@ EXPORT_JOB_SQL = with_sql(
     body="""SELECT 'orders' AS table_name, false AS spatial, count(*) AS rows, 'SUCCESS' AS status FROM orders
     UNION ALL SELECT 'parts', false, count(*), 'SUCCESS' FROM part
     UNION ALL SELECT 'regions_gda94', true, count(*), 'SUCCESS' FROM (SELECT DISTINCT k, part FROM verts)
+    UNION ALL SELECT 'places', true, count(*), 'SUCCESS' FROM orders
+    UNION ALL SELECT 'outlines', true, count(*), 'SUCCESS' FROM (SELECT DISTINCT k FROM verts)
     UNION ALL SELECT 'nothing', false, 0, 'EMPTY'""",
 )
 
@@ -217,6 +238,10 @@ QUERIES = {
     "c06_tile_bounds": (tile_rows, with_sql(REGIONS_SQL, body=f"SELECT 6 AS z, count(*) AS features, true AS inside FROM regions WHERE {VALID}")),
     "s19_parquet_sink": (parquet_export, "SELECT row_number() OVER (ORDER BY o_orderkey) AS gid, o_orderkey, o_totalprice FROM orders"),
     "c10_spatial_export": (spatial_export, with_sql(RAGGED_SQL, body="SELECT code, round(area, 9) AS area, true AS within, true AS boxed, 4326 AS srid FROM raggeds")),
+    "c10_point_export": (
+        point_export,
+        with_sql(POINTS_SQL, body="SELECT point_id, x AS px, y AS py, true AS boxed, 'POINT' AS kind, 4326 AS srid FROM points"),
+    ),
     "o04_geohash_sort": (
         geohash_layout,
         with_sql(REGIONS_SQL, body=f"SELECT code, {geohash_sql('((xmin + xmax) / 2)', '((ymin + ymax) / 2)')} AS hash FROM boxes"),

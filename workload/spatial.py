@@ -133,7 +133,7 @@ def strictly_within(spark, sf):
 
 
 def kept_points(spark, sf):
-    return J.tag_points(order_points(spark, sf), shapes(spark, sf).select("code", "geom"), "left", point_id="point_id").select("point_id", "code")
+    return J.tag_points(order_points(spark, sf), shapes(spark, sf).select("code", "geom"), "left").select("point_id", "code")
 
 
 def shuffled_tags(spark, sf):
