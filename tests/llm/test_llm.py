@@ -344,6 +344,28 @@ def test_passages(spark, none, odd):
     assert passages.repeated(odd).count() > 0
 
 
+def test_passages_of_frequent_lines(spark):
+    """Passages whose lines are all frequent by themselves."""
+    rng = random.Random(21)
+    lines = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(25)) for _ in range(50)]
+    texts = [" ".join(" ".join(rng.choice(lines) for _ in range(1)) + f" f{i}a{j} f{i}b{j}" for j in range(6)) for i in range(400)]
+    planted = []
+    for n in range(10):
+        three = " ".join(rng.sample(lines, 3))
+        for at in rng.sample(range(400), 2):
+            texts[at] += f" g{n} h{at} " + three
+            planted.append((at, three))
+    found = passages.repeated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+    places = defaultdict(list)
+    for r in found:
+        places[r["doc_id"]].append((r["start"], r["end"]))
+        places[r["other_id"]].append((r["other_start"], r["other_end"]))
+    for at, three in planted:
+        words, part = texts[at].split(), three.split()
+        start = next(i for i in range(len(words)) if words[i : i + 75] == part)
+        assert any(lo <= start and start + 75 <= hi for lo, hi in places[at])
+
+
 def test_chains():
     rng = random.Random(1)
     for _ in range(60):
