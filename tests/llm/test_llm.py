@@ -366,6 +366,20 @@ def test_passages_of_frequent_lines(spark):
         assert any(lo <= start and start + 75 <= hi for lo, hi in places[at])
 
 
+def test_passages_down_to_alike(spark):
+    """Words changed at even distances, down to 0.8 alike: every pair is found."""
+    rng = random.Random(22)
+    rows, wanted = [], set()
+    for n in range(200):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([50, 60, 80]))]
+        every = rng.choice([5, 6, 8, 10])
+        worn = [f"x{n}x{i}" if i % every == every // 2 else w for i, w in enumerate(words)]
+        rows += [(2 * n, " ".join(["a", str(n), *words, f"b{n}"])), (2 * n + 1, " ".join([f"c{n}", *worn, "d", f"e{n}"]))]
+        wanted.add((2 * n, 2 * n + 1))
+    found = passages.repeated(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {tuple(sorted((r["doc_id"], r["other_id"]))) for r in found} == wanted
+
+
 def test_chains():
     rng = random.Random(1)
     for _ in range(60):
