@@ -185,6 +185,10 @@ def geojson_text(spark, sf):
     return S.to_geojson_feature(pts.filter(G.npoints("geom") == 5))
 
 
+def geojson_text_all(spark, sf):
+    return S.to_geojson_feature(regions(spark, sf).select("code", "geom"))
+
+
 def layer_set(spark, sf):
     """Two layers written as files, found by datum and loaded."""
     root = scratch_path(spark, "layers")
@@ -267,5 +271,17 @@ QUERIES = {
           string_agg('[' || CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) || ']', ',' ORDER BY seq) || ']]]}}' AS feature
           FROM verts JOIN regions USING (k, code) WHERE shape IN ('square', 'diamond') GROUP BY code"""),
     ),
+    "s23_geojson_text_all": (
+        geojson_text_all,
+        with_sql(
+            REGIONS_SQL,
+            """ring_texts AS (SELECT k, part, ring, '[' || string_agg('[' || CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) || ']', ',' ORDER BY seq) || ']' AS t
+              FROM verts GROUP BY k, part, ring)""",
+            "part_texts AS (SELECT k, part, '[' || string_agg(t, ',' ORDER BY ring) || ']' AS t FROM ring_texts GROUP BY k, part)",
+            "texts AS (SELECT k, string_agg(t, ',' ORDER BY part) AS t FROM part_texts GROUP BY k)",
+            body="""SELECT '{"type":"Feature","properties":{"code":"' || code || '"},"geometry":' || CASE WHEN shape IS NULL THEN 'null'
+              ELSE '{"type":"MultiPolygon","coordinates":[' || coalesce(t, '') || ']}' END || '}' AS feature FROM regions LEFT JOIN texts USING (k)""",
+        ),
+    ),
     "s24_layer_set": (layer_set, with_sql(REGIONS_SQL, body="SELECT code, area AS from_wkt, area AS from_parquet FROM areas JOIN regions USING (k)")),
 }
