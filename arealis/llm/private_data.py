@@ -3,10 +3,10 @@
 Only DataFrame functions. Base patterns give the seeds: e-mail and IP addresses, card
 and phone numbers. The words beside a seed are lexical patterns; other digit-bearing
 tokens that stand in the same contexts are candidate instances. Patterns and instances
-form a graph that is scored in turn for each kind: a pattern's confidence is the scored
+form a graph that is scored in turn for each kind, until no more instances are accepted: a pattern's confidence is the scored
 share of the distinct instances it meets, an instance's score the chance that not all
 its patterns err. Instances that confident patterns, each supported by several distinct
-seeds, score high enough become spans of that kind, unless they touch a base span.
+seeds or instances accepted before, score high enough become spans of that kind, unless they touch a base span.
 
 The regular expressions are written so that no text makes them backtrack; they match
 what the plain forms in the comments match, leftmost and without overlap.
@@ -37,13 +37,15 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    # digit groups, bare or in brackets, with at most one space, point or hyphen between
+    "group": r"(?<![A-Za-z0-9@._%+/:-])(?:\([0-9]++\)|[0-9]++(?![._-]?[A-Za-z@_%+/:]))(?:[\x20.-]?(?:\([0-9]++\)|[0-9]++(?![._-]?[A-Za-z@_%+/:])))++",
     # a run of identifier characters with a digit
     "token": r"(?<![A-Za-z0-9@._%+/:-])[A-Za-z@._%+/:-]*+[0-9][A-Za-z0-9@._%+/:-]*+",
 }
 MARKS = {"email": "@", "phone": "+", "ip": "."}  # a match holds this character
 CONTEXT = 80  # characters of context looked at
-ROUNDS = 3
-SUPPORT = 3  # distinct seeds a pattern needs
+ROUNDS = 3  # at least
+SUPPORT = 3  # distinct seeds or accepted instances a pattern needs
 CONFIDENT = 0.6  # for a pattern to score instances
 ACCEPTED = 0.8  # for an instance to become a span
 SHORTEST, DIGITS = 6, 4  # of an instance
@@ -62,6 +64,7 @@ def valid(kind: Column, value: Column) -> Column:
         F.when(kind == "ip", small)
         .when(kind == "card", F.length(digits).between(13, 19) & F.call_function("luhn_check", digits))
         .when(kind == "phone", F.length(digits).between(9, 15))
+        .when(kind == "group", value.rlike(r"[\x20()]") & (F.length(value) >= SHORTEST) & (F.length(digits) >= DIGITS))
         .when(kind == "token", (F.length(value) >= SHORTEST) & (F.length(digits) >= DIGITS))
         .otherwise(F.lit(True))
     )
@@ -90,7 +93,8 @@ def matches(docs: DataFrame, text: str) -> DataFrame:
     # what a token ends with is punctuation of the sentence
     core = F.when(F.col("kind") == "token", F.regexp_replace("value", "[@._%+/:-]+$", "")).otherwise(F.col("value"))
     found = found.withColumn("value", core).withColumn("end", F.col("start") + F.length("value"))
-    return found.where(valid(F.col("kind"), F.col("value"))).select("file", "row", "kind", "value", "start", "end", "before", "after")
+    found = found.where(valid(F.col("kind"), F.col("value"))).replace("group", "token", "kind")
+    return found.select("file", "row", "kind", "value", "start", "end", "before", "after")
 
 
 def contexts(before: Column, after: Column) -> Column:
@@ -123,19 +127,23 @@ def discovered(found: DataFrame) -> DataFrame:
     sizes = edges.groupBy("pattern").agg(F.countDistinct("value").alias("meets"))
     seeds = edges.where("seed is not null").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
     open_edges = edges.where("seed is null").select("pattern", "value")
-    supported = edges.where("seed is not null").groupBy("pattern", F.col("seed").alias("kind")).agg(F.countDistinct("value").alias("support")).where(F.col("support") >= SUPPORT)
-    graph = stored(supported.join(sizes, "pattern"), "patterns")
-    if graph.isEmpty():
-        return places.where(F.lit(False)).select("file", "row", "kind", "start", "end")
-    scores = seeds
-    for _ in range(ROUNDS):
-        weight = edges.join(scores, "value").where("seed is null or seed = kind").groupBy("pattern", "kind").agg(F.sum("score").alias("weight"))
-        confident = graph.join(weight, ["pattern", "kind"]).select("pattern", "kind", (F.col("weight") / (F.col("meets") + 0.5)).alias("confidence")).where(F.col("confidence") >= CONFIDENT)
+    sizes = stored(sizes, "sizes")
+    scores, rounds, most, accepted = seeds, 0, -1, 0
+    while rounds < ROUNDS or accepted > most:
+        rounds, most = rounds + 1, max(most, accepted)
+        told = edges.join(scores, "value").where("seed is null or seed = kind").groupBy("pattern", "kind")
+        support = F.countDistinct(F.when(F.col("score") >= ACCEPTED, F.col("value")))
+        graph = told.agg(F.sum("score").alias("weight"), support.alias("support")).where(F.col("support") >= SUPPORT)
+        confident = graph.join(sizes, "pattern").select("pattern", "kind", (F.col("weight") / (F.col("meets") + 0.5)).alias("confidence")).where(F.col("confidence") >= CONFIDENT)
         doubt = F.least("confidence", F.lit(0.99))
         fresh = open_edges.join(confident, "pattern").groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log(1 - doubt)))).alias("score"))
         scores = stored(seeds.unionByName(fresh.join(seeds.select("value"), "value", "left_anti")), "scores")
+        accepted = scores.where(F.col("score") >= ACCEPTED).count()
     chosen = scores.where(F.col("score") >= ACCEPTED).groupBy("value").agg(F.max(F.struct("score", "kind")).alias("best")).select("value", F.col("best.kind").alias("as_kind"))
-    return places.where("kind = 'token'").join(chosen, "value").select("file", "row", F.col("as_kind").alias("kind"), "start", "end")
+    taken = places.where("kind = 'token'").join(chosen, "value").select("file", "row", F.col("as_kind").alias("kind"), "start", "end")
+    # a token inside a span of several digit groups is part of it
+    wider = Window.partitionBy("file", "row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    return taken.withColumn("so_far", F.max("end").over(wider)).where("so_far is null or end > so_far").drop("so_far")
 
 
 def spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -456,6 +456,33 @@ def test_bootstrapping(spark):
     assert found.where("base").count() == 12
 
 
+def fresh_spans(spark, texts):
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, located = private_data.spans(table)
+    meta = located.select("doc_id", located.metadataColumn("_metadata").getField("file_path").alias("file"), located.metadataColumn("_metadata").getField("row_index").alias("row"))
+    return {(r["doc_id"], texts[r["doc_id"]][r["start"] : r["end"]], r["kind"]) for r in found.where("not base").join(meta, ["file", "row"]).collect()}
+
+
+def test_bootstrapping_groups(spark):
+    texts = [f"please dial +1 {200 + i} 555 {1000 + i} for help" for i in range(12)]
+    texts += ["please dial 743 555 3824 for help", "please dial (743) 555-3825 for help", "please dial 74355538 for help", "1 " * 40_000 + "x"]
+    assert fresh_spans(spark, texts) == {(12, "743 555 3824", "phone"), (13, "(743) 555-3825", "phone"), (14, "74355538", "phone")}
+
+
+def test_bootstrapping_rounds(spark):
+    """Found instances bring in the pattern that they stand in elsewhere, and so on."""
+    texts = [f"please dial +1 {200 + i} 555 {1000 + i} for help" for i in range(90)]
+    wanted, sizes = set(), (45, 22, 11, 5, 2)
+    frames = ["please dial {} for help", "kindly ring {} right away", "never fax {} without notice", "always text {} before noon", "simply page {} after dark", "again call {} at last"]
+    for step in range(len(frames) - 1):
+        for i in range(sizes[step]):
+            number = f"7{step}3 555 {4000 + i}"
+            for frame in frames[step : step + 2]:
+                wanted.add((len(texts), number, "phone"))
+                texts.append(frame.format(number))
+    assert fresh_spans(spark, texts) == wanted
+
+
 def test_private_cases(none, odd):
     assert private_data.spans(none)[0].count() == 0
     assert private_data.spans(odd)[0].count() == 0
