@@ -2,7 +2,11 @@
 
 A page is cut into text nodes, each with the path of tags from the root to it. Parts
 that are never article text (navigation, headers, footers, asides, forms, scripts,
-notices, adverts, comments of readers ...) go by their tags and class words. For every
+notices, adverts, comments of readers ...) go by their tags and class words. Names never
+speak against html, body, main and article, nor against a container with most of the
+page's text or punctuation (unless its whole name says so and an article element holds
+text beside it). Where only part of a name is on the list, the container goes if its
+ratio is low against the rest of the page. For every
 path the length and the punctuation of its nodes are added up; a path's ratio is its
 text per node, weighted by punctuation. The ratios are smoothed along the page, fused
 with the path's share of the page's text, and the paths above a threshold mark content.
@@ -32,12 +36,16 @@ OUTSIDE = {"nav", "header", "footer", "aside", "form", "button", "select", "dial
 OUTSIDE_WORDS = set(
     "ad ads advert adverts advertisement advertising advertorial banner promo promotion sponsor sponsored sidebar side notice notices notification alert cookie cookies consent gdpr newsletter subscribe subscription signup login share sharing social related recommended comment comments reply replies disqus breadcrumb breadcrumbs menu nav navbar navigation footer header masthead popup modal overlay widget pagination pager toolbar skip contentinfo complementary search".split()
 )
+# words that add nothing to a name
+NEUTRAL = set("area block bottom box bar container content inner item left list main outer page panel right section site top wrap wrapper".split())
+WHOLE = {"html", "body", "main", "article"}  # no name counts for these
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br"}
 # an opening tag of these ends an open one of the same set's row
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？]")
 THRESHOLD = 0.15
+PART = 0.5  # of the page's ratio, for a container with part of a name on the list
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*+>|\Z)"
     r"|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
@@ -47,28 +55,59 @@ _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+
 _WORD = re.compile(r"[a-z]+")
 
 
-def outside(tag: str, attributes: str) -> bool:
-    if tag in OUTSIDE:
-        return True
+def named(tag: str, attributes: str) -> int:
+    """2 if a whole name of the element is on the list, 1 if the first or last word of one."""
+    best = 0
+    if tag in WHOLE:
+        return best
     for found in _NAMES.findall(attributes) if "=" in attributes else ():
         for name in "".join(found).split():
             words = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
             if words and (words[0] in OUTSIDE_WORDS or words[-1] in OUTSIDE_WORDS):
-                return True
-    return False
+                if all(w in OUTSIDE_WORDS or w in NEUTRAL for w in words):
+                    return 2
+                best = 1
+    return best
+
+
+def weighed(found: list[tuple[tuple[str, ...], str, tuple[tuple[int, int], ...]]]) -> list[tuple[tuple[str, ...], str]]:
+    """The blocks without those of containers whose names speak against them."""
+    totals: dict[tuple[int, int], list[int]] = {}
+    page, free = [0, 0, 0], [0, 0, 0]
+    for _, text, held in found:
+        size = len(text), len(PUNCTUATION.findall(text)), len(text) ** 2
+        for total in (page, *(totals.setdefault(h, [0, 0, 0]) for h in held), *(() if held else (free,))):
+            for i in range(3):
+                total[i] += size[i]
+    if not totals:
+        return [(path, text) for path, text, _ in found]
+    article = any(not held and ("article" in path or "main" in path) for path, _, held in found)
+
+    def ratio(total):
+        """As in content(), of the block that a character of the container is in on average."""
+        block = total[2] / total[0] if total[0] else 0.0
+        return block * math.log1p(1 + total[1] / total[0] * block) if total[0] else 0.0
+
+    gone = set()
+    for at, total in totals.items():
+        most = 2 * total[0] > page[0] or 2 * total[1] > page[1]
+        if at[1] == 2 and (article or not most) or at[1] == 1 and not most and ratio(total) < PART * ratio(free):
+            gone.add(at)
+    return [(path, text) for path, text, held in found if not gone.intersection(held)]
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
     """The page's blocks in order: container path and text."""
-    path: list[tuple[str, bool]] = []  # tag, whether it or one above is outside
-    found: list[tuple[tuple[str, ...], str]] = []
+    # tag, whether it or one above is outside, containers around with a name on the list
+    path: list[tuple[str, bool, tuple[tuple[int, int], ...]]] = []
+    found = []
     parts: list[str] = []
 
     def flush():
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text and not (path and path[-1][1]):
-            found.append((tuple(t for t, _ in path if t not in INLINE), text))
+            found.append((tuple(t for t, *_ in path if t not in INLINE), text, path[-1][2] if path else ()))
 
     def shut(at: int):
         flush()
@@ -82,7 +121,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
         if raw or not tag:
             continue
         tag = tag.lower()
-        if tag in INLINE and not (not closing and outside(tag, attributes)):
+        if tag in INLINE and not (not closing and named(tag, attributes) == 2):
             if tag == "br":
                 parts.append(" ")
                 continue
@@ -91,7 +130,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
             # an outside inline element takes its text with it
             if closing:
                 where = next((i for i in range(len(path) - 1, -1, -1) if path[i][0] == tag), None)
-                if where is not None and all(t in INLINE for t, _ in path[where:]) and path[where][1] and not (where and path[where - 1][1]):
+                if where is not None and all(t in INLINE for t, *_ in path[where:]) and path[where][1] and not (where and path[where - 1][1]):
                     parts.clear()
                     del path[where:]
             continue
@@ -113,12 +152,14 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
                 break
             if path[i][0] in ("ul", "ol", "dl", "table", "article", "section", "div", "main", "body", "html", "td", "th"):
                 break
-        if tag in ("body", "html") and any(t == tag for t, _ in path):
+        if tag in ("body", "html") and any(t == tag for t, *_ in path):
             continue
-        path.append((tag, outside(tag, attributes) or bool(path and path[-1][1])))
+        gone, held = path[-1][1:] if path else (False, ())
+        name = named(tag, attributes)
+        path.append((tag, gone or tag in OUTSIDE or tag in INLINE, held + ((token.start(), name),) if name else held))
     parts.append(page[at:])
     flush()
-    return found
+    return weighed(found)
 
 
 def content(found: list[tuple[tuple[str, ...], str]]) -> list[str]:

@@ -410,6 +410,32 @@ def test_main_text(spark):
     assert found[4]["n_chars"] == 20_000 * len("Long, text.\n") - 1
 
 
+def test_main_text_names():
+    """Names on the list that do not speak against the article."""
+    text = "".join(f"<p>Paragraph {i} of the story, with commas, and a point at its end.</p>" for i in range(6))
+    want = main_text.main_text(f"<body>{text}</body>")
+    assert want.count("\n") == 5
+    for page in (
+        f"<body class='home no-sidebar'>{text}</body>",
+        f"<body><div class='content with-sidebar'>{text}</div></body>",
+        f"<article class='post has-comments'>{text}</article>",
+        f"<body><div class='sidebar'>{text}</div><p>More.</p></body>",
+    ):
+        assert want in main_text.main_text(page), page
+    for name in ("related-work", "side-effects", "search-algorithms", "social-impact"):
+        more = "<h2>Title</h2><p>A section of its own, with words, as long as the others are.</p>"
+        assert "A section of its own" in main_text.main_text(f"<article>{text}<section id='{name}'>{more}</section></article>")
+    assert main_text.main_text(f"<body><article>{text}</article><div id='comments'>{text * 3}</div><div class='social-links'><p>Like</p><p>Pin</p></div></body>") == want
+
+
+def test_main_text_ratios():
+    """Without article or main the ratios choose the container."""
+    text = "".join(f"<p>Paragraph {i} of the story, with commas, and a point at its end.</p>" for i in range(6))
+    links = "".join(f"<ul><li><a href=x>link {i}</a></li></ul>" for i in range(8))
+    found = main_text.main_text(f"<body><div><div>{links}</div></div><section>{text}<p>Short</p></section></body>")
+    assert found.startswith("Paragraph 0") and found.endswith("\nShort") and "link" not in found
+
+
 # --- private data -----------------------------------------------------------------------------
 
 PLAIN = {
