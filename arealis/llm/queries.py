@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from arealis.llm import bpe, exact_dedup, jaccard_join, language_id, main_text, mixing, passages, private_data, token_index, vector_join
+from arealis.llm import bpe, centroids, exact_dedup, jaccard_join, language_id, main_text, mixing, passages, private_data, sharding, token_index, turns, vector_join
 
 QUERIES = {
     "op1_language_id": (language_id.op1_language_id, None),
@@ -15,4 +15,7 @@ QUERIES = {
     "op8_main_text": (main_text.op8_main_text, main_text.ORACLE),
     "op9_bpe_round_trip": (bpe.op9_bpe_round_trip, None),
     "op10_private_data": (private_data.op10_private_data, None),
+    "op11_centroids": (centroids.op11_centroids, centroids.ORACLE),
+    "op12_turns": (turns.op12_turns, turns.ORACLE),
+    "op13_shards": (sharding.op13_shards, sharding.ORACLE),
 }
