@@ -43,8 +43,8 @@ from arealis.llm.token_index import filesystem
 DIMENSIONS = 64
 SCALE = 64.0
 LARGEST = 1 << 26  # of an integer component
-BITS = 5  # of a cell
-SPREAD = 3.0  # standard deviations that the inner cells cover on either side
+BITS = 6  # of a cell
+SPREAD = 3.5  # standard deviations that the inner cells cover on either side
 FILE_ROWS = 1 << 18  # of a vector file
 GAP = 128  # unwanted rows that are read rather than starting a new read
 ROW = "file long, row long, vec_id long, cells binary, label int, distance long, totals array<long>"
