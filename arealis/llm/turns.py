@@ -52,6 +52,8 @@ _INITIALS = ("s", "u", "a", "")  # the last one stands for all others
 # a row's code: 0 to 3 its initial, plus 4 if truncated; 8 if it must go
 GONE = 8
 FAR = 1 << 40
+# more than a detour to any other state costs: two rows inserted, or one deleted and one inserted
+BEHIND = 6
 
 
 # --- one conversation -------------------------------------------------------------------------
@@ -97,29 +99,32 @@ class Solver:
     def __init__(self):
         self.ahead, self.back = {}, {}
 
-    def _ahead(self, vector, code):
-        """Costs and ranks after one more row; the costs' least is taken out."""
-        known = self.ahead.get((vector, code))
+    def _ahead(self, vector, code, early):
+        """Costs and ranks after one more row, less the least cost. States that can't be
+        on a cheapest way are given up, so that vectors repeat: if the stretch is to end
+        before any user row (``early``), those after one; else those that cost more than
+        ``BEHIND`` above the least, as the others can follow any way from there for that."""
+        known = self.ahead.get((vector, code, early))
         if known is None:
             best = {}
             for state, (cost, rank) in enumerate(vector):
                 if cost < FAR:
                     for after, more, letters in EDITS[code][state]:
-                        best[after] = min(best.get(after, (FAR, 0, "")), (cost + more, rank, letters))
-            order = sorted((way[1:], state) for state, way in best.items())
-            ranks = {state: at for at, (_, state) in enumerate(order)}
+                        if not (early and after > 1):
+                            best[after] = min(best.get(after, (FAR, 0, "")), (cost + more, rank, letters))
             least = min(way[0] for way in best.values())
-            after = tuple((best[s][0] - least, ranks[s]) if s in best else (FAR, 0) for s in STATES)
-            known = self.ahead[vector, code] = (after, least)
+            order = sorted((way[1:], state) for state, way in best.items() if way[0] <= least + BEHIND)
+            ranked = {state: (best[state][0] - least, rank) for rank, (_, state) in enumerate(order)}
+            known = self.ahead[vector, code, early] = tuple(ranked.get(s, (FAR, 0)) for s in STATES)
         return known
 
     def _back(self, vector, code):
-        """Costs to the end before one more row; the costs' least is taken out."""
+        """Costs to the end before one more row, less the least."""
         known = self.back.get((vector, code))
         if known is None:
             costs = [min((more + vector[after] for after, more, _ in EDITS[code][state]), default=FAR) for state in STATES]
             least = min(costs)
-            known = self.back[vector, code] = (tuple(c - least if c < FAR else FAR for c in costs), least)
+            known = self.back[vector, code] = tuple(c - least if c < FAR else FAR for c in costs)
         return known
 
     def _stretch(self, codes, low, high, start, goal, out):
@@ -130,12 +135,13 @@ class Solver:
             out.append(letters)
             return state
         middle = (low + high) // 2
+        early = goal[2] >= FAR and goal[3] >= FAR
         ahead = tuple((0, 0) if s == start else (FAR, 0) for s in STATES)
         for at in range(low, middle):
-            ahead = self._ahead(ahead, codes[at])[0]
+            ahead = self._ahead(ahead, codes[at], early)
         back = goal
         for at in range(high - 1, middle - 1, -1):
-            back = self._back(back, codes[at])[0]
+            back = self._back(back, codes[at])
         crossing = min((ahead[s][0] + back[s], ahead[s][1], s) for s in STATES)[2]
         self._stretch(codes, low, middle, start, tuple(0 if s == crossing else FAR for s in STATES), out)
         return self._stretch(codes, middle, high, crossing, goal, out)
