@@ -399,36 +399,72 @@ def intersection_area(a: Column | str, b: Column | str) -> Column:
 # --- validity ------------------------------------------------------------------------------------------
 
 
+# Pairs of edges looked at in one go.
+NEAR_BLOCK = 1_000_000
+
+
+def near_pairs(e: np.ndarray):
+    """Blocks of index pairs of edges whose boxes meet."""
+    x_low, x_high = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2])
+    y_low, y_high = np.minimum(e[:, 1], e[:, 3]), np.maximum(e[:, 1], e[:, 3])
+    order = np.argsort(x_low, kind="stable")
+    reach = np.searchsorted(x_low[order], x_high[order], side="right")
+    count = reach - np.arange(len(e)) - 1
+    for chosen in np.split(np.arange(len(e)), np.flatnonzero(np.diff(np.cumsum(count) // NEAR_BLOCK)) + 1):
+        n = count[chosen]
+        i = np.repeat(chosen, n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        i, j = order[i], order[j]
+        meet = (y_low[i] <= y_high[j]) & (y_low[j] <= y_high[i])
+        yield i[meet], j[meet]
+
+
+def side_of(p: np.ndarray, q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Positive where r is to the left of the way from p to q, 0 on its line."""
+    return (q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0])
+
+
 def rings_are_simple(geom: Geometry) -> bool:
-    """True when no two edges meet except neighbours at their shared vertex."""
-    pieces = [(np.hstack([r[:-1], r[1:]]), k) for k, r in enumerate(r for part in geom for r in part) if len(r) > 3]
-    if not pieces:
+    """True when no two edges meet except neighbours at their shared vertex, and rings
+    that touch at a vertex of both without crossing there."""
+    rings = [r for part in geom for r in part if len(r) > 3]
+    if not rings:
         return True
-    e = np.concatenate([p for p, _ in pieces])
-    ring = np.concatenate([np.full(len(p), k) for p, k in pieces])
-    place = np.concatenate([np.arange(len(p)) for p, _ in pieces])
-    count = np.concatenate([np.full(len(p), len(p)) for p, _ in pieces])
-    order = np.argsort(np.minimum(e[:, 0], e[:, 2]), kind="stable")
-    e, ring, place, count = e[order], ring[order], place[order], count[order]
-    start = np.minimum(e[:, 0], e[:, 2])
-    reach = np.searchsorted(start, np.maximum(e[:, 0], e[:, 2]), side="right")
-
-    def side(p, q, r):
-        return np.sign((q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0]))
-
-    for i in range(len(e)):
-        others = e[i + 1 : reach[i]]
-        if not len(others):
-            continue
-        gap = (place[i + 1 : reach[i]] - place[i]) % count[i]
-        near = (ring[i + 1 : reach[i]] == ring[i]) & ((gap == 1) | (gap == count[i] - 1))
-        others = others[~near]
-        a, b, c, d = e[i, :2], e[i, 2:], others[:, :2], others[:, 2:]
-        apart = (np.maximum(c[:, 1], d[:, 1]) < min(a[1], b[1])) | (np.minimum(c[:, 1], d[:, 1]) > max(a[1], b[1]))
-        meet = (side(a, b, c) * side(a, b, d) <= 0) & (side(c, d, a) * side(c, d, b) <= 0) & ~apart
-        if meet.any():
-            return False
-    return True
+    e = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings])
+    count = np.concatenate([np.full(len(r) - 1, len(r) - 1) for r in rings])
+    ring = np.concatenate([np.full(len(r) - 1, k) for k, r in enumerate(rings)])
+    place = np.concatenate([np.arange(len(r) - 1) for r in rings])
+    touching = set()
+    for i, j in near_pairs(e):
+        gap = (place[i] - place[j]) % count[i]
+        apart = (ring[i] != ring[j]) | ((gap != 1) & (gap != count[i] - 1))
+        i, j = i[apart], j[apart]
+        a, b, c, d = e[i, :2], e[i, 2:], e[j, :2], e[j, 2:]
+        one, other = np.sign(side_of(a, b, c)) * np.sign(side_of(a, b, d)), np.sign(side_of(c, d, a)) * np.sign(side_of(c, d, b))
+        meet = np.flatnonzero((one <= 0) & (other <= 0))
+        for i, j in zip(i[meet].tolist(), j[meet].tolist()):
+            ends = [(x, y) for x in (0, 1) for y in (0, 1) if (e[i, 2 * x : 2 * x + 2] == e[j, 2 * y : 2 * y + 2]).all()]
+            if ring[i] == ring[j] or len(ends) != 1:
+                return False
+            x, y = ends[0]
+            p = e[i, 2 * x : 2 * x + 2]
+            mine, its = e[i, 2 - 2 * x : 4 - 2 * x] - p, e[j, 2 - 2 * y : 4 - 2 * y] - p
+            if mine[0] * its[1] == mine[1] * its[0] and (mine * its).sum() > 0:
+                return False
+            touching.add((int(ring[i]), int(place[i] + x), int(ring[j]), int(place[j] + y)))
+    return not any(_cross_at(rings[a], p, rings[b], q) for a, p, b, q in touching)
+
+
+def _cross_at(one: Ring, p: int, other: Ring, q: int) -> bool:
+    """Whether two rings that share vertex p of one and q of the other cross there."""
+    angles = []
+    for r, at in ((one, p), (other, q)):
+        v = r[:-1]
+        at %= len(v)
+        for way in (v[at - 1] - v[at], v[(at + 1) % len(v)] - v[at]):
+            angles.append(np.arctan2(way[1], way[0]))
+    width, first, second = ((angles[k] - angles[0]) % (2 * np.pi) for k in (1, 2, 3))
+    return bool((first < width) != (second < width))
 
 
 @F.arrow_udf(T.BooleanType())

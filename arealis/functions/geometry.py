@@ -174,7 +174,8 @@ def orient_ccw(geom: Column | str) -> Column:
 def clean_rings(geom: Column | str) -> Column:
     """Close rings, drop repeated vertices and rings without area, orient the rest.
 
-    Self-intersections are left as they are; ``is_simple`` flags them.
+    Self-intersections are left as they are; ``is_simple`` flags them and
+    ``arrangement.make_valid`` rebuilds them.
     """
 
     def close(ring: Column) -> Column:

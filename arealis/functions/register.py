@@ -12,8 +12,9 @@ import numpy as np
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from arealis.functions.arrangement import _buffer, _repair
 from arealis.functions.arrow_geometry import _intersection_area, _is_simple, _simplify_dp, _simplify_vw, _subdivide, draw_points
-from arealis.functions.geometry import GEOM_TYPE, POINT, POINT_TYPE
+from arealis.functions.geometry import GEOGRAPHIC_SRIDS, GEOHASH_ALPHABET, GEOM_TYPE, MERCATOR_RADIUS, POINT, POINT_TYPE
 
 _VERTICES = "flatten(flatten(g))"
 _RING_AREA = (
@@ -76,6 +77,45 @@ SQL_FUNCTIONS = {
     "st_contains": (f"g {GEOM_TYPE}, pt {POINT_TYPE}", "BOOLEAN", f"if(pt.x IS NULL OR pt.y IS NULL OR g IS NULL, NULL, transform(array({_STATE}), s -> NOT s.on AND s.n % 2 = 1)[0])"),
 }
 
+_EARTH = f"{MERCATOR_RADIUS}D"
+_GEOGRAPHIC = ", ".join(map(str, GEOGRAPHIC_SRIDS))
+# bit k of a geohash of n characters: longitude and latitude in turn, highest bits first
+_HASH_BIT = (
+    "(shiftright(if(k % 2 = 0, c.lon, c.lat), if(k % 2 = 0, (5 * n + 1) DIV 2, 5 * n DIV 2) - 1 - k DIV 2) & 1)"
+)
+_PARSED = (
+    r"transform(split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(upper(t), r'^\s*[A-Z]+\s*Z?\s*', ''),"
+    r" r'\s*([(),])\s*', '$1'), r'\s+', ' '), r'^\(+|\)+$', ''), r'\)\),\(\('), p -> transform(split(p, r'\),\('), r -> transform(split(r, ','),"
+    r" v -> named_struct('x', CAST(get(split(v, ' '), 0) AS DOUBLE), 'y', CAST(get(split(v, ' '), 1) AS DOUBLE)))))"
+)
+
+# these use functions that are registered before them
+LATE_FUNCTIONS = {
+    "st_geomfromtext": ("t STRING", GEOM_TYPE, f"CASE WHEN contains(upper(t), 'EMPTY') THEN CAST(array() AS {GEOM_TYPE}) WHEN t IS NOT NULL THEN {_PARSED} END"),
+    "st_geohash": (
+        f"g {GEOM_TYPE}, n INT",
+        "STRING",
+        "transform(array(named_struct("
+        "'lon', greatest(least(CAST(floor((st_xmin(g) + st_xmax(g) + 360D) / 720D * power(2D, (5 * n + 1) DIV 2)) AS BIGINT), CAST(power(2D, (5 * n + 1) DIV 2) AS BIGINT) - 1), 0L),"
+        " 'lat', greatest(least(CAST(floor((st_ymin(g) + st_ymax(g) + 180D) / 360D * power(2D, 5 * n DIV 2)) AS BIGINT), CAST(power(2D, 5 * n DIV 2) AS BIGINT) - 1), 0L))),"
+        " c -> if(c.lon IS NULL, NULL, array_join(transform(sequence(0, n - 1), i -> substr('" + GEOHASH_ALPHABET + "', CAST(aggregate(sequence(5 * i, 5 * i + 4), 0L, (a, k) -> a * 2 + "
+        + _HASH_BIT
+        + ") AS INT) + 1, 1)), '')))[0]",
+    ),
+    "st_transform": (
+        f"g {GEOM_TYPE}, source INT, target INT",
+        GEOM_TYPE,
+        f"CASE WHEN source = target OR (source IN ({_GEOGRAPHIC}) AND target IN ({_GEOGRAPHIC})) THEN g"
+        f" WHEN source IN ({_GEOGRAPHIC}) AND target = 3857 THEN transform(g, p -> transform(p, r -> transform(r, v -> named_struct("
+        f"'x', radians(v.x) * {_EARTH}, 'y', ln(tan(pi() / 4 + radians(v.y) / 2)) * {_EARTH}))))"
+        f" WHEN source = 3857 AND target IN ({_GEOGRAPHIC}) THEN transform(g, p -> transform(p, r -> transform(r, v -> named_struct("
+        f"'x', degrees(v.x / {_EARTH}), 'y', degrees(2 * atan(exp(v.y / {_EARTH})) - pi() / 2)))))"
+        f" ELSE CAST(raise_error(concat('no transformation from SRID ', source, ' to ', target)) AS {GEOM_TYPE}) END",
+    ),
+    "st_buffer": (f"g {GEOM_TYPE}, away DOUBLE", GEOM_TYPE, "st_bufferwith(g, away, false)"),
+    "st_buffermetres": (f"g {GEOM_TYPE}, metres DOUBLE", GEOM_TYPE, "st_bufferwith(g, metres, true)"),
+}
+
 
 @F.udtf(returnType=POINT)
 class RandomPoints:
@@ -98,4 +138,8 @@ def register(spark: SparkSession) -> None:
     spark.udf.register("st_simplify", _simplify_dp)
     spark.udf.register("st_simplifyvw", _simplify_vw)
     spark.udf.register("st_subdivide", _subdivide)
+    spark.udf.register("st_makevalid", _repair)
+    spark.udf.register("st_bufferwith", _buffer)
+    for name, (parameters, result, body) in LATE_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {result} RETURN {body}")
     spark.udtf.register("st_randompointsinpolygon", RandomPoints)
