@@ -546,30 +546,66 @@ def strictly_inside(points: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return (crossing.sum(axis=1) % 2 == 1) & ~on_edge.any(axis=1)
 
 
-# A polygon that fills less of its box than this would take forever by rejection.
-MIN_COMPACTNESS = 1e-7
+# Vertices of a piece that is cut into trapezoids.
+SLABS = 64
+# Draws for a place that rounding put on a border before a polygon counts as too thin.
+TRIES = 64
+
+
+def trapezoids(geom: Geometry) -> np.ndarray:
+    """The shape as trapezoids between two vertical lines: x0, x1, and the heights of the
+    lower and of the upper side at both, as rows x0, x1, low0, low1, high0, high1."""
+    found = [np.empty((0, 6))]
+    for piece in (piece for part in geom if part for piece in _halve(part, SLABS)):
+        e = ring_edges(piece)
+        e = np.where((e[:, 0] > e[:, 2])[:, None], e[:, [2, 3, 0, 1]], e)
+        e = e[e[:, 0] < e[:, 2]]
+        if not len(e):
+            continue
+        xs = np.unique(e[:, [0, 2]])
+        x0, x1 = xs[:-1, None], xs[1:, None]
+        slope = (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
+        spans = (e[:, 0] <= x0) & (e[:, 2] >= x1)
+        at0, at1 = e[:, 1] + slope * (x0 - e[:, 0]), e[:, 1] + slope * (x1 - e[:, 0])
+        order = np.argsort(np.where(spans, at0 + at1, np.inf), axis=1, kind="stable")
+        at0, at1 = np.take_along_axis(at0, order, 1), np.take_along_axis(at1, order, 1)
+        most = int(spans.sum(axis=1).max()) // 2
+        paired = np.arange(most) < spans.sum(axis=1)[:, None] // 2
+        low, high = (slice(0, 2 * most, 2), slice(1, 2 * most, 2))
+        across = [np.broadcast_to(x, (len(xs) - 1, most)) for x in (x0, x1)]
+        found.append(np.stack([*across, at0[:, low], at1[:, low], at0[:, high], at1[:, high]], axis=2)[paired])
+    return np.concatenate(found)
 
 
 def draw_points(geom: Geometry, n: int, seed: int) -> np.ndarray:
-    """``n`` uniform points strictly inside, by rejection from the box."""
+    """``n`` uniform points strictly inside: a trapezoid by its share of the area, then a
+    place in it. Nothing depends on how much of its box the polygon fills."""
     edges = ring_edges(geom)
     if n <= 0:
         return np.empty((0, 2))
     if not len(edges):
         raise ValueError("an empty polygon has no points in it")
-    low, high = edges[:, :2].min(axis=0), edges[:, :2].max(axis=0)
-    filled = sum(abs(signed_area(r)) * (1 if i == 0 else -1) for part in geom for i, r in enumerate(part))
-    share = filled / float(np.prod(high - low)) if np.prod(high - low) > 0 else 0.0
-    if share < MIN_COMPACTNESS:
-        raise ValueError(f"polygon fills {share:.2g} of its bounding box, too little to draw points in")
+    x0, x1, low0, low1, high0, high1 = trapezoids(geom).T
+    left, right = np.maximum(high0 - low0, 0), np.maximum(high1 - low1, 0)
+    upto = np.cumsum((x1 - x0) * (left + right) / 2)
     rng = np.random.default_rng(seed & 0x7FFFFFFFFFFFFFFF)
     found, have = [], 0
-    most = max(1, 2_000_000 // max(len(edges), 1))
-    while have < n:
-        tries = rng.random((min(most, int((n - have) / share * 1.1) + 16), 2)) * (high - low) + low
-        hits = tries[strictly_inside(tries, edges)]
+    block = max(1, 2_000_000 // len(edges))
+    for _ in range(TRIES + n // block):
+        if not len(upto) or not upto[-1] > 0 or have >= n:
+            break
+        size = min(n - have, block)
+        k = np.minimum(np.searchsorted(upto, rng.random(size) * upto[-1], "right"), len(upto) - 1)
+        u, v = rng.random((2, size))
+        # breadth grows evenly from one side to the other: the inverse of its share
+        s = u * (left[k] + right[k]) / np.maximum(left[k] + np.sqrt(left[k] ** 2 + u * (right[k] ** 2 - left[k] ** 2)), 1e-300)
+        bottom, top = low0[k] + s * (low1[k] - low0[k]), high0[k] + s * (high1[k] - high0[k])
+        drawn = np.column_stack([x0[k] + s * (x1[k] - x0[k]), bottom + v * (top - bottom)])
+        hits = drawn[strictly_inside(drawn, edges)]
         found.append(hits)
         have += len(hits)
+    if have < n:
+        raise ValueError("the polygon is too thin for points strictly inside")
     return np.concatenate(found)[:n]
 
 

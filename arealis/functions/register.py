@@ -1,20 +1,17 @@
 """The geometry functions under SQL names.
 
-The scalar ones are SQL functions, so Catalyst inlines their bodies into the
-query; the set-returning one is a Python table function.
+Most are SQL functions, so Catalyst inlines their bodies into the query, the
+set-returning one too; the others are the Arrow functions under a SQL name.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from arealis.functions.arrangement import _buffer, _repair
-from arealis.functions.arrow_geometry import _intersection_area, _is_simple, _simplify_dp, _simplify_vw, _subdivide, draw_points
-from arealis.functions.geometry import GEOGRAPHIC_SRIDS, GEOHASH_ALPHABET, GEOM_TYPE, MERCATOR_RADIUS, POINT, POINT_TYPE
+from arealis.functions.arrow_geometry import _draw, _intersection_area, _is_simple, _simplify_dp, _simplify_vw, _subdivide
+from arealis.functions.delaunay import _concave_hull
+from arealis.functions.geometry import GEOGRAPHIC_SRIDS, GEOHASH_ALPHABET, GEOM_TYPE, MERCATOR_RADIUS, POINT_TYPE
 
 _VERTICES = "flatten(flatten(g))"
 _RING_AREA = (
@@ -117,16 +114,8 @@ LATE_FUNCTIONS = {
 }
 
 
-@F.udtf(returnType=POINT)
-class RandomPoints:
-    """``n`` random points strictly inside a polygon; none for an empty one."""
-
-    def eval(self, geom: list, n: int, seed: int) -> Iterator[tuple[float, float]]:
-        if not geom:
-            return
-        shape = [[np.array([(v["x"], v["y"]) for v in ring]) for ring in part] for part in geom]
-        for px, py in draw_points(shape, n, seed):
-            yield float(px), float(py)
+# no point of an empty polygon; the points of one call are a value of the row
+_DRAWN = "SELECT p.x, p.y FROM (SELECT explode(if(size(g) > 0, st_drawpoints(g, n, seed), NULL)) AS p)"
 
 
 def register(spark: SparkSession) -> None:
@@ -140,6 +129,8 @@ def register(spark: SparkSession) -> None:
     spark.udf.register("st_subdivide", _subdivide)
     spark.udf.register("st_makevalid", _repair)
     spark.udf.register("st_bufferwith", _buffer)
+    spark.udf.register("st_concavehull", _concave_hull)
     for name, (parameters, result, body) in LATE_FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {result} RETURN {body}")
-    spark.udtf.register("st_randompointsinpolygon", RandomPoints)
+    spark.udf.register("st_drawpoints", _draw)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION st_randompointsinpolygon(g {GEOM_TYPE}, n INT, seed INT) RETURNS TABLE(x DOUBLE, y DOUBLE) RETURN {_DRAWN}")

@@ -6,8 +6,9 @@ from conftest import DIAMOND, ELBOW, HOLE, ISLAND, SQUARE, polygon
 from pyspark.sql import functions as F
 
 from arealis.functions import arrangement as A
+from arealis.functions import delaunay
 from arealis.functions import geometry as G
-from arealis.functions.arrow_geometry import ring_edges, rings_are_simple, signed_area, strictly_inside
+from arealis.functions.arrow_geometry import convex_hull, draw_points, ring_edges, rings_are_simple, signed_area, strictly_inside, trapezoids
 from arealis.functions.register import register
 from arealis.plans import overlay
 
@@ -203,3 +204,50 @@ def test_sql_names(spark, shapes):
         assert r["back"] is None if r["geom"] is None else flat(r["back"]) == pytest.approx(flat(r["geom"]))
     with pytest.raises(Exception, match="no transformation"):
         spark.sql("SELECT st_transform(geom, 28355, 4326) FROM sql_shapes").collect()
+
+
+# --- triangulation and draws ------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("kind", ["any", "grid", "line"])
+def test_triangulation(kind):
+    rng = np.random.default_rng(3)
+    points = {"any": rng.random((250, 2)), "grid": rng.integers(0, 9, (150, 2)).astype(float), "line": np.column_stack([np.arange(30.0), 2 * np.arange(30.0)])}[kind]
+    mesh = delaunay.Triangulation(points)
+    triangles = {min((a, b, c), (b, c, a), (c, a, b)) for (a, b), c in mesh.apex.items()}
+    if kind == "line":
+        assert not triangles and delaunay.hollowed(points, 0.5) is None
+        return
+    assert sum(mesh._turn(*t) / 2 for t in triangles) == pytest.approx(signed_area(convex_hull(points)))
+    assert not any(mesh._in_circle(*t, d) for t in triangles for d in range(len(mesh.at)) if d not in t)
+
+
+def test_concave_hull():
+    rng = np.random.default_rng(4)
+    points = rng.random((200, 2))
+    points = points[(points[:, 0] < 0.3) | (points[:, 1] < 0.3)]  # an angle
+    sizes = [signed_area(delaunay.hollowed(points, ratio)) for ratio in (1.0, 0.999, 0.6, 0.3, 0.0)]
+    assert sizes[0] == pytest.approx(signed_area(convex_hull(points))) and sizes == sorted(sizes, reverse=True)
+    assert sizes[1] > 0.9 * sizes[0] and 0.35 < sizes[3] < 0.6
+    for ratio in (0.999, 0.3, 0.0):
+        ring = delaunay.hollowed(points, ratio)
+        assert rings_are_simple([[ring]])
+        inner = np.array([p for p in points if not (ring == p).all(axis=1).any()])
+        assert strictly_inside(inner, ring_edges([[ring]])).all() if len(inner) else True
+
+
+def test_draws_need_no_box():
+    comb = [(0, 0), (41, 0)] + [p for k in range(40, 0, -2) for p in ((k + 1, 100), (k, 100), (k, 1e-3), (k - 1, 1e-3))][:-1] + [(0, 1e-3), (0, 0)]
+    for geom in (shape([[(0, 0), (1, 1), (1, 1 + 1e-9), (0, 0)]]), shape([comb]), shape([SQUARE, HOLE], [DIAMOND]), shape([[(0, 0), (1e-9, 0), (1e-9, 1e6), (0, 1e6), (0, 0)]])):
+        drawn = draw_points(geom, 3000, 5)
+        assert len(drawn) == 3000 and strictly_inside(drawn, ring_edges(geom)).all()
+        assert (draw_points(geom, 3000, 5) == drawn).all()
+        slabs = trapezoids(geom)
+        assert ((slabs[:, 1] - slabs[:, 0]) * (slabs[:, 4] - slabs[:, 2] + slabs[:, 5] - slabs[:, 3]) / 2).sum() == pytest.approx(area(geom))
+    drawn = draw_points(shape([SQUARE, HOLE], [DIAMOND]), 60_000, 6)
+    share = [(drawn[:, 0] > 5).mean(), ((drawn[:, 0] < 5) & (drawn[:, 1] < 1)).mean(), ((drawn[:, 0] > 6) & (drawn[:, 0] < 8)).mean()]
+    assert share == pytest.approx([24 / 36, 4 / 36, 3 / 36], abs=0.01)
+    for nothing in (shape([[(0, 0), (4, 0), (0, 0)]]), []):
+        with pytest.raises(ValueError):
+            draw_points(nothing, 1, 1)
+    assert len(draw_points([], 0, 1)) == 0

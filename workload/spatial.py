@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from arealis.functions import arrow_geometry as R
 from arealis.functions import geometry as G
+from arealis.functions.arrangement import buffered, make_valid
+from arealis.functions.delaunay import concave_hull
 from arealis.functions.register import register
 from arealis.operators import spatial_join as J
 from arealis.operators import stats as A
-from arealis.plans import dots, thinning
+from arealis.plans import dots, overlay, thinning
 from workload.derived import (
     CUSTOMER_POINTS_SQL,
     POINTS_SQL,
@@ -17,12 +19,16 @@ from workload.derived import (
     RAGGED_SQL,
     REGIONS_SQL,
     SQUARE,
+    centre,
+    code,
     customer_points,
+    half_width,
     lattice,
     order_points,
     ragged,
     region_profile,
     regions,
+    table,
     template,
     with_sql,
 )
@@ -309,6 +315,88 @@ def simple_flags(spark, sf):
     return crossed.select("code", R.is_simple("geom").alias("is_simple"))
 
 
+# rings that cross themselves or each other, by k % 4, with the area they cover in squares of w
+CROSSED = {
+    "bow": ([[[(-1, -1), (1, 1), (1, -1), (-1, 1), (-1, -1)]]], 2.0, 2),
+    "eight": ([[[(-1, -1), (0, -1), (0, 1), (1, 1), (1, 0), (-1, 0), (-1, -1)]]], 2.0, 2),
+    "leaving": ([[SQUARE, [(0, -0.5), (0, 0.5), (2, 0.5), (2, -0.5), (0, -0.5)]]], 3.0, 1),
+    "over": ([[SQUARE], [[(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]]], 7.0, 1),
+}
+
+
+def made_valid(spark, sf):
+    """Rings that cross, made valid: what they cover, in how many parts."""
+    k = F.col("k")
+    offsets = F.lit(None)
+    for i, (parts, _, _) in enumerate(CROSSED.values()):
+        offsets = F.when(k % 4 == i, template(parts)).otherwise(offsets)
+    cx, cy = centre(k)
+    crossed = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k")).select(
+        "k", code(k).alias("code"), G.map_vertices(offsets, lambda v: G.make_point(cx + half_width(k) * v["x"], cy + half_width(k) * v["y"])).alias("geom")
+    )
+    mended = crossed.select("code", R.is_simple("geom").alias("before"), make_valid("geom").alias("geom"))
+    return mended.select("code", "before", R.is_simple("geom").alias("after"), F.round(G.area("geom"), 9).alias("area"), F.size("geom").alias("parts"))
+
+
+def dissolved(spark, sf):
+    """Lattice rows united: interior borders go, outer ones stay where they are."""
+    rows = lattice(spark, sf).withColumn("strip", F.floor(F.col("k") / 8))
+    united = overlay.dissolve(rows, "strip")
+    return united.select("strip", F.round(G.area("geom"), 9).alias("area"), F.size("geom").alias("parts"), F.size(G.rings("geom")).alias("rings"), F.round(G.xmax("geom") - G.xmin("geom"), 9).alias("wide"))
+
+
+def dissolved_states(spark, sf):
+    """Regions of one state, overlapping ones among them: nothing of them is left out,
+    nothing is counted twice, and the result is valid."""
+    own = regions(spark, sf)
+    united = overlay.dissolve(own, "state").select("state", "geom")
+    inside = own.filter(F.size("geom") > 0).join(united.withColumnRenamed("geom", "whole"), "state")
+    kept = inside.groupBy("state").agg(F.count(F.lit(1)).alias("regions"), F.sum(F.when(F.abs(R.intersection_area("geom", "whole") - G.area("geom")) < 1e-6, 1).otherwise(0)).alias("covered"), F.sum(G.area("geom")).alias("total"))
+    return united.join(kept, "state").select("state", "regions", "covered", (G.area("geom") <= F.col("total") + 1e-6).alias("once"), R.is_simple("geom").alias("valid"))
+
+
+def polygonized(spark, sf):
+    """The lattice's borders, each once, back to its cells."""
+    faces = overlay.polygonize(overlay.layer_edges(lattice(spark, sf)))
+    return faces.select(F.round(G.xmin("geom"), 9).alias("i"), F.round(G.ymin("geom"), 9).alias("j"), F.round(G.area("geom"), 9).alias("area"), G.npoints("geom").alias("n"), F.size(G.rings("geom")).alias("rings"))
+
+
+def lines_merged(spark, sf):
+    """The lattice's borders as lines between forks: how many begin or end at a place."""
+    lines = overlay.merged_lines(overlay.layer_edges(lattice(spark, sf)).withColumn("layer", F.lit(1)), "layer")
+    last = F.get("line", F.size("line") - 1)
+    ends = lines.select(F.explode(F.array(F.get("line", F.lit(0)), last)).alias("v"))
+    return ends.groupBy(F.col("v.x").alias("x"), F.col("v.y").alias("y")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def buffered_areas(spark, sf):
+    """Shapes with holes, bays and islands grown by a quarter of their half width."""
+    kept = A.valid_geom(shapes(spark, sf)).withColumn("w", half_width(F.col("k")))
+    grown = kept.select("code", "w", buffered("geom", F.col("w") / 4).alias("grown"))
+    return grown.select("code", F.round(G.area("grown") / (F.col("w") * F.col("w")), 6).alias("area"), F.round((G.xmax("grown") - G.xmin("grown")) / F.col("w"), 6).alias("wide"))
+
+
+def concave_hulls(spark, sf):
+    kept = A.valid_geom(shapes(spark, sf)).filter("k % 4 <> 3")
+    tight = kept.select("code", "geom", concave_hull("geom", 0.3).alias("tight"), concave_hull("geom", 1.0).alias("loose"), half_width(F.col("k")).alias("w"))
+    return tight.select("code", G.npoints("tight").alias("n"), F.round(G.area("tight") / (F.col("w") * F.col("w")), 9).alias("tight"), F.round(G.area("loose") / (F.col("w") * F.col("w")), 9).alias("loose"))
+
+
+def sql_all_names(spark, sf):
+    """Each geometry function under its SQL name, on every region."""
+    register(spark)
+    shapes(spark, sf).createOrReplaceTempView("vw_named")
+    return spark.sql(
+        """WITH g AS (SELECT code, geom, st_envelope(geom) AS box, st_makepoint(st_xmin(geom) + 0.25D, st_ymin(geom) + 0.25D) AS pt FROM vw_named WHERE size(geom) > 0)
+        SELECT code, round(st_area(box), 9) AS box_area, round(st_x(pt), 9) AS px, round(st_y(pt), 9) AS py, st_ymax(geom) AS ymax, st_xmax(geom) AS xmax,
+        st_intersects(pt, box) AS meets, st_contains(box, st_makepoint((st_xmin(geom) + st_xmax(geom)) / 2, (st_ymin(geom) + st_ymax(geom)) / 2)) AS holds,
+        round(st_intersection_area(geom, box), 9) AS common, st_issimple(geom) AS is_simple, size(st_dump(geom)) AS parts, st_numgeometries(geom) AS same_parts, st_isempty(geom) AS is_empty,
+        round(st_area(st_simplify(box, 1e-9D)), 9) AS thin_box, st_npoints(st_simplifyvw(box, 1e-12D)) AS box_points, size(st_subdivide(box, 8)) AS pieces,
+        st_geomfromtext(st_astext(geom)) = geom AS text_back, st_geohash(geom, 5) AS hash, round(st_xmax(st_transform(st_transform(geom, 7844, 3857), 3857, 4326)), 6) AS there_and_back,
+        round(st_area(st_makevalid(geom)), 9) AS area, round(st_xmax(st_buffer(geom, 0.5D)) - st_xmax(geom), 9) AS east, (st_ymax(st_buffermetres(geom, 1000D)) - st_ymax(geom)) / degrees(1000D / 6378137D) BETWEEN 0.994D AND 1.000001D AS north FROM g"""
+    )
+
+
 def hulls(spark, sf):
     kept = A.valid_geom(shapes(spark, sf))
     hull = kept.select("code", R.near_hull("geom", 1e-5).alias("hull"), "geom")
@@ -450,6 +538,34 @@ QUERIES = {
     "g16_simplify_dp": (thinned_by_distance, with_sql(RAGGED_SQL, body="SELECT code, 5 AS n, 4 * w * w AS area FROM ragged")),
     "g17_simplify_coverage": (coverage, "SELECT count(*) AS cells, true AS gapless, true AS thinner FROM supplier"),
     "g23_border_nodes": (nodes, _lattice_nodes_sql()),
+    "g13_make_valid": (
+        made_valid,
+        with_sql(REGIONS_SQL, "c(i, a, parts) AS (VALUES " + ", ".join(f"({i}, {a}::DOUBLE, {n})" for i, (_, a, n) in enumerate(CROSSED.values())) + ")",
+                 body="SELECT code, false AS before, true AS after, round(a * w * w, 9) AS area, parts FROM regions JOIN c ON k % 4 = i"),
+    ),
+    "g21_concave_hull": (
+        concave_hulls,
+        with_sql(REGIONS_SQL, body=f"""SELECT code, CASE WHEN shape = 'elbow' THEN 7 ELSE 5 END AS n, CASE shape WHEN 'elbow' THEN 2.5::DOUBLE WHEN 'diamond' THEN 2 ELSE 4 END AS tight,
+          CASE shape WHEN 'elbow' THEN 3.5::DOUBLE WHEN 'diamond' THEN 2 ELSE 4 END AS loose FROM regions WHERE {VALID} AND k % 4 <> 3"""),
+    ),
+    "g22_buffer": (
+        buffered_areas,
+        with_sql(REGIONS_SQL, body=f"""SELECT code, round(CASE shape WHEN 'square' THEN 6 + disk WHEN 'diamond' THEN 2 + sqrt(2) + disk WHEN 'elbow' THEN 5 + disk * 1.25 - 0.0625
+          WHEN 'ring' THEN 5.75 + disk ELSE 7.75 + 2 * disk END, 6) AS area, CASE shape WHEN 'islands' THEN 4.0::DOUBLE ELSE 2.5 END AS wide
+          FROM regions, (SELECT sin(pi() / 16) AS disk) WHERE {VALID}"""),
+    ),
+    "g23_dissolve": (dissolved, "SELECT s_suppkey // 8 AS strip, count(*)::DOUBLE AS area, 1 AS parts, 1 AS rings, count(*)::DOUBLE + 1 / 64.0::DOUBLE AS wide FROM supplier GROUP BY ALL"),
+    "g23_dissolve_states": (dissolved_states, with_sql(REGIONS_SQL, body=f"SELECT state, count(*) AS regions, count(*) AS covered, true AS once, true AS valid FROM regions WHERE {VALID} GROUP BY state")),
+    "g23_polygonize": (polygonized, "SELECT (s_suppkey % 8)::DOUBLE AS i, (s_suppkey // 8)::DOUBLE AS j, 1.0::DOUBLE AS area, 65 AS n, 1 AS rings FROM supplier"),
+    "g23_merge_lines": (lines_merged, _lattice_nodes_sql().replace("SELECT x, y FROM ends GROUP", "SELECT x, y, count(*) AS lines FROM ends GROUP")),
+    "u03_sql_all_names": (
+        sql_all_names,
+        with_sql(REGIONS_SQL, body=f"""SELECT code, round((xmax - xmin) * (ymax - ymin), 9) AS box_area, round(xmin + 0.25, 9) AS px, round(ymin + 0.25, 9) AS py, ymax, xmax, xmax - xmin >= 0.25 AND ymax - ymin >= 0.25 AS meets, true AS holds,
+          round(area, 9) AS common, true AS is_simple, CASE shape WHEN 'islands' THEN 2 ELSE 1 END AS parts, CASE shape WHEN 'islands' THEN 2 ELSE 1 END AS same_parts, false AS is_empty,
+          round((xmax - xmin) * (ymax - ymin), 9) AS thin_box, 5 AS box_points, 1 AS pieces, true AS text_back, {geohash_sql("((xmin + xmax) / 2)", "((ymin + ymax) / 2)")} AS hash, round(xmax, 6) AS there_and_back,
+          round(area, 9) AS area, 0.5::DOUBLE AS east, true AS north
+          FROM boxes JOIN regions USING (k, code) JOIN areas USING (k)"""),
+    ),
     "g18_orient": (oriented, with_sql(REGIONS_SQL, body="SELECT DISTINCT code, part AS part_no, ring AS ring_no, ring = 1 AS ccw FROM verts")),
     "g19_geohash": (geohashes, with_sql(POINTS_SQL, body=f"SELECT point_id, {geohash_sql('x', 'y')} AS hash FROM points")),
     "g19_region_geohash": (region_hashes, with_sql(REGIONS_SQL, body=f"SELECT code, {geohash_sql('((xmin + xmax) / 2)', '((ymin + ymax) / 2)')} AS hash FROM boxes")),
