@@ -49,9 +49,30 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="arealis-")
 
 
+# paths that this process has given out
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one run's written tables."""
-    return f"{shared_dir(spark)}/arealis-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/arealis-{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this process has written to the shared folder. Results that still
+    read from there are lost: call it when they have been used."""
+    count = len(_SCRATCH)
+    while _SCRATCH:
+        remove(spark, _SCRATCH.pop())
+    return count
 
 
 def checkpointed(df):

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arealis.operators.dictionary import REGION_ID, profile_schema
 from arealis.operators.keys import cluster_by
+from arealis.session import remove, scratch_path
 from arealis.sources.files import discover, with_file_keys
 
 # The cell that means NULL, and the characters deleted everywhere.
@@ -127,12 +130,17 @@ def read_profile(spark: SparkSession, root: str, boundary: str, table: str) -> D
     return spark.read.parquet(profile_path(root, boundary, table))
 
 
-def load_all(spark: SparkSession, directory: str, stats: DataFrame, root: str, exact: bool = False) -> DataFrame:
+# profile tables loaded at the same time
+AT_ONCE = 4
+
+
+def load_all(spark: SparkSession, directory: str, stats: DataFrame, root: str, exact: bool = False, at_once: int = AT_ONCE) -> DataFrame:
     """Load every data file under ``directory``.
 
-    Files of one profile table share a schema, so each table is one parse and one
-    write over all its files, partitioned by boundary. Returns
-    ``file, table, boundary, rows, status, error``.
+    Files of one profile table share a schema, so each table is one parse over all its
+    files, kept as typed rows until their outcome per file is known, and one write of the
+    good ones, partitioned by boundary. Tables are loaded side by side, each in a
+    scheduler pool of its own. Returns ``file, table, boundary, rows, status, error``.
     """
     files = with_file_keys(discover(spark, directory))
     # names of files and tables only; the data itself stays in Spark
@@ -142,35 +150,40 @@ def load_all(spark: SparkSession, directory: str, stats: DataFrame, root: str, e
     by_table: dict[str, list[dict]] = {}
     for f in listing:
         by_table.setdefault(f["table"], []).append(f)
-
-    reports = []
-    for table, members in sorted(by_table.items()):
-        keys = spark.createDataFrame(
-            [(f["path"], f["table"], f["boundary"]) for f in members], "path string, table string, boundary string"
-        )
-        try:
-            schema = profile_schema(stats, table, exact)
-        except ValueError as failure:
-            reports.append(
-                keys.select(
-                    F.col("path").alias("file"), "table", "boundary", F.lit(0).cast("long").alias("rows"),
-                    F.lit("FAILED").alias("status"), F.lit(str(failure)).alias("error"),
-                )
-            )
-            continue
-        rows = read_profile_csv(spark, [f["path"] for f in members], schema, strict=False)
-        report = _report_with_keys(file_report(rows), keys)
-        target = f"{root.rstrip('/')}/_report/{table}"
-        report.write.mode("overwrite").parquet(target)
-        report = spark.read.parquet(target)
-        _write_table(rows, report, root, table)
-        reports.append(report)
+    load = inheritable_thread_target(spark)(lambda item: _load_table(spark, *item, stats, root, exact))
+    with ThreadPoolExecutor(min(at_once, len(by_table))) as pool:
+        reports = list(pool.map(load, sorted(by_table.items())))
     result = reports[0]
     for r in reports[1:]:
         result = result.unionByName(r)
     return result
 
 
+def _load_table(spark: SparkSession, table: str, members: list[dict], stats: DataFrame, root: str, exact: bool) -> DataFrame:
+    """Load the files of one profile table; the outcome per file."""
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
+    keys = spark.createDataFrame(
+        [(f["path"], f["table"], f["boundary"]) for f in members], "path string, table string, boundary string"
+    )
+    try:
+        schema = profile_schema(stats, table, exact)
+    except ValueError as failure:
+        return keys.select(
+            F.col("path").alias("file"), "table", "boundary", F.lit(0).cast("long").alias("rows"),
+            F.lit("FAILED").alias("status"), F.lit(str(failure)).alias("error"),
+        )
+    parsed = scratch_path(spark, "parsed")
+    read_profile_csv(spark, [f["path"] for f in members], schema, strict=False).write.parquet(parsed)
+    rows = spark.read.parquet(parsed)
+    report = _report_with_keys(file_report(rows), keys)
+    target = f"{root.rstrip('/')}/_report/{table}"
+    report.write.mode("overwrite").parquet(target)
+    report = spark.read.parquet(target)
+    _write_table(rows, report, root, table)
+    remove(spark, parsed)
+    return report
+
+
 def _report_with_keys(report: DataFrame, keys: DataFrame) -> DataFrame:
     """Attach table and boundary; files without data rows load as empty tables.
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +62,41 @@ def file_discovery(spark, sf):
     return names.filter(files.name_matches(F.col("name"), files.DATA_PREFIX, files.DATA_SUFFIX))
 
 
+def write_files(lines: DataFrame, root: str) -> None:
+    """Text files of their own names from rows file, seq, line."""
+
+    def run(batches):
+        from pyarrow import fs
+
+        name, out, count = None, None, 0
+        for batch in batches:
+            for file, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if file != name:
+                    if out:
+                        out.close()
+                    files, path = fs.FileSystem.from_uri(f"{root}/{file}")
+                    files.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                    name, out = file, files.open_output_stream(path)
+                out.write(f"{line}\n".encode())
+                count += 1
+        if out:
+            out.close()
+        yield pa.RecordBatch.from_pydict({"lines": [count]})
+
+    dealt = lines.repartition("file").sortWithinPartitions("file", "seq").select("file", "line")
+    dealt.mapInArrow(run, "lines long").agg(F.sum("lines")).collect()
+
+
+def discovered(spark, sf):
+    """Files written under their names, in folders, and found again."""
+    root = scratch_path(spark, "files")
+    folder = (F.floor(F.col("file_id") / 50) % 3).cast("string")
+    lines = _file_names(spark, sf).select(F.concat(F.lit("pack"), folder, F.lit("/"), "name").alias("file"), F.col("file_id").alias("seq"), F.col("file_id").cast("string").alias("line"))
+    write_files(lines, root)
+    found = files.with_file_keys(files.discover(spark, root))
+    return found.select("name", F.element_at(F.split("path", "/"), -2).alias("folder"), "table", "boundary")
+
+
 def file_keys(spark, sf):
     return files.with_file_keys(file_discovery(spark, sf)).select("file_id", "table", "boundary")
 
@@ -189,6 +226,48 @@ FROM orders WHERE o_orderkey % 7 IN (0, 6)
 """
 
 
+def _pack(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as a datapack of 16 files: three known tables and one that the dictionary
+    lacks, four boundaries; one file per fault among them."""
+    k = F.col("o_orderkey")
+    area = F.element_at(F.array(*[F.lit(a) for a in ("SA1", "SA2", "LGA", "POA")]), (F.floor(k / 4) % 4 + 1).cast("int"))
+    name = F.concat(F.lit("2021Census_G0"), (k % 4 + 1).cast("string"), F.lit("_AUST_"), area, F.lit(".csv"))
+    broken = F.when(k == 1, F.concat("line", F.lit(",9"))).when(k == 6, F.lit("O6,1,,4")).when(k == 8, F.lit("O8,1,x2,4"))
+    rows = _dirty_lines(spark, sf).withColumn("broken", broken)
+    lines = rows.select(name.alias("file"), k.alias("seq"), F.coalesce("broken", "line").alias("line"))
+    heads = lines.groupBy("file").agg(F.lit(-1).cast("long").alias("seq"), F.lit("region_id,a,b,c").alias("line"))
+    return heads.unionByName(lines)
+
+
+def loaded_pack(spark, sf):
+    """The whole load: files found, parsed, checked, good ones written by boundary and
+    read back; what each file came to and what is in its place afterwards."""
+    source, root = scratch_path(spark, "pack"), scratch_path(spark, "profiles")
+    write_files(_pack(spark, sf), source)
+    known = [(f"G{t}{i}", f"s{t}{i}", f"long {t} {i}", f"G0{t}", "p", "Persons") for t in (1, 2, 3) for i in (1, 2, 3)]
+    stats = spark.createDataFrame(known, ", ".join(f"{c} string" for c in M.STAT_COLUMNS))
+    report = datapack.load_all(spark, source, stats, root)
+    found = None
+    for t in (1, 2, 3):
+        rows = spark.read.parquet(f"{root}/g0{t}")
+        total = rows.groupBy(F.lit(f"g0{t}").alias("table"), "boundary").agg(F.count("*").alias("stored"), F.sum(f"g{t}1").alias("total"), F.count(f"g{t}2").alias("known"))
+        found = total if found is None else found.unionByName(total)
+    name = F.element_at(F.split("file", "/"), -1)
+    return report.select(name.alias("name"), "table", "boundary", "rows", "status", "error").join(found, ["table", "boundary"], "left").select(
+        "name", "table", "boundary", "rows", "status", "error", "stored", F.round("total", 2).alias("total"), "known"
+    )
+
+
+LOAD_ALL_SQL = """
+WITH k AS (SELECT o_orderkey % 4 + 1 AS t, ['SA1', 'SA2', 'LGA', 'POA'][CAST(o_orderkey // 4 % 4 + 1 AS INT)] AS area, * FROM orders),
+f AS (SELECT t, area, count(*) AS n, sum(o_totalprice) AS total, count(*) FILTER (o_orderstatus <> 'P') AS known, max(CASE o_orderkey WHEN 1 THEN 'extra data after the last column'
+    WHEN 6 THEN 'empty cell where a number belongs' WHEN 8 THEN 'malformed number' END) AS error FROM k GROUP BY t, area),
+g AS (SELECT *, error IS NULL AND t < 4 AS good FROM f)
+SELECT '2021Census_G0' || t || '_AUST_' || area || '.csv' AS name, 'g0' || t AS "table", lower(area) AS boundary, CASE WHEN t = 4 THEN 0 ELSE n END AS rows, CASE WHEN good THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+  CASE WHEN t = 4 THEN 'the dictionary has no statistics for table ' || chr(39) || 'g04' || chr(39) ELSE error END AS error, CASE WHEN good THEN n END AS stored, CASE WHEN good THEN round(total, 2) END AS total, CASE WHEN good THEN known END AS known FROM g
+"""
+
+
 def typed_write(spark, sf):
     root = scratch_path(spark, "profile")
     lines = _dirty_lines(spark, sf).select("file", "line")
@@ -208,6 +287,54 @@ def clustered(spark, sf):
     ).agg(F.sum("rows").alias("rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
+def layout_of(laid: DataFrame, key: str, spark: SparkSession) -> DataFrame:
+    """What a written layout is like, read back from its files: rows, whether rows ascend
+    inside each file, whether the ranges of the files follow one another without overlap,
+    and whether no file has nearly all rows."""
+    path = scratch_path(spark, "layout")
+    laid.write.parquet(path)
+    back = spark.read.parquet(path).select(key, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = F.lag(key).over(Window.partitionBy("file").orderBy("at"))
+    per_file = back.withColumn("up", F.coalesce(before <= F.col(key), F.lit(True))).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"), F.min("up").alias("up")
+    )
+    # one row per file
+    follows = F.coalesce(F.lag("hi").over(Window.orderBy("lo", "hi")) <= F.col("lo"), F.lit(True))
+    return per_file.withColumn("apart", follows).agg(
+        F.sum("n").alias("rows"), F.min("up").alias("ascending"), F.min("apart").alias("apart"), (F.count(F.lit(1)) > 1).alias("several"), (F.max("n") / F.sum("n") < 0.9).alias("spread")
+    )
+
+
+def clustered_files(spark, sf):
+    """A key that a quarter of the rows share is cut between files."""
+    orders = table(spark, sf, "orders").select(F.when(F.col("o_orderkey") % 4 == 0, 7).otherwise(F.col("o_custkey")).alias("key"), "o_orderkey")
+    return layout_of(K.cluster_by(orders, "key", 8), "key", spark)
+
+
+def key_range_files(spark, sf):
+    laid = spatial.read_partitioned(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 500)
+    return layout_of(laid.sortWithinPartitions("o_orderkey"), "o_orderkey", spark)
+
+
+LAYOUT_SQL = "SELECT count(*) AS rows, true AS ascending, true AS apart, true AS several, true AS spread FROM orders"
+
+
+def listed_tables(spark, sf):
+    """Tables saved under names to export and names to leave out, in a database of their
+    own: those listed for export, with their rows."""
+    database = f"listing_{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    for name in ("lga_g01", "lga_2011_g01", "g02_analysis", "sa1_display_z", "qa", "sa2_g03"):
+        orders.filter(F.col("o_orderkey") % 6 == len(name) % 6).select("o_orderkey").write.saveAsTable(f"{database}.{name}")
+    names = [r["table_name"] for r in spatial.list_tables(spark, database).collect()]
+    found = None
+    for name in names:
+        rows = spark.table(f"{database}.{name}").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 def duplicates(spark, sf):
     return K.duplicate_keys(table(spark, sf, "orders").select("o_custkey"), "o_custkey")
 
@@ -317,6 +444,16 @@ QUERIES = {
               FROM names WHERE lower(name) LIKE '2021census\\_%.csv' ESCAPE '\\'""",
         ),
     ),
+    "s01_discover": (
+        discovered,
+        with_sql(FILE_NAMES_SQL, body="""SELECT DISTINCT name, 'pack' || CAST(file_id // 50 % 3 AS VARCHAR) AS folder, split_part(split_part(lower(name), '.', 1), '_', 2) AS "table",
+            CASE WHEN lower(name) LIKE '%\\_aus.%' ESCAPE '\\' THEN 'aust' ELSE split_part(split_part(lower(name), '.', 1), '_', 4) END AS boundary
+            FROM names WHERE lower(name) LIKE '2021census\\_%.csv' ESCAPE '\\'"""),
+    ),
+    "s10_clustered_files": (clustered_files, LAYOUT_SQL),
+    "s11_load_all": (loaded_pack, LOAD_ALL_SQL),
+    "s13_key_range_files": (key_range_files, LAYOUT_SQL),
+    "s16_list_tables": (listed_tables, "SELECT 'lga_g01' AS table_name, count(*) AS rows FROM orders WHERE o_orderkey % 6 = 1 UNION ALL SELECT 'sa2_g03', count(*) FROM orders WHERE o_orderkey % 6 = 1"),
     "s03_workbook_scan": (
         workbook_cells,
         with_sql(BOOKS_SQL, body="""SELECT 0 AS sheet, CAST(5 * count(*) AS BIGINT) AS rows, 3 AS widest, count(*) AS books FROM books

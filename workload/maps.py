@@ -11,6 +11,7 @@ from arealis.plans import map_extract as E
 from arealis.plans import thinning, tiles
 from arealis.session import scratch_path
 from arealis.sources import spatial as S
+from workload.ingest import layout_of, write_files
 from workload.derived import (
     POINTS_SQL,
     PROFILE_SQL,
@@ -181,14 +182,36 @@ def geojson_round_trip(spark, sf):
 
 
 def geojson_text(spark, sf):
-    pts = regions(spark, sf).select("code", "geom").filter(F.size("geom") == 1)
-    return S.to_geojson_feature(pts.filter(G.npoints("geom") == 5))
+    return S.to_geojson_feature(regions(spark, sf).select("state", "code", "geom"))
 
 
 def geojson_text_all(spark, sf):
     return S.to_geojson_feature(regions(spark, sf).select("code", "geom"))
 
 
+def loaded_layers(spark, sf):
+    """Layers written as files of their own names, found by datum and loaded as a set."""
+    root = scratch_path(spark, "layer-files")
+    kept = A.valid_geom(regions(spark, sf).select("k", "code", "geom"))
+    features = S.to_geojson_feature(kept.select("code", "geom")).select(F.lit("regions_gda94.geojsonl").alias("file"), F.col("feature").alias("line"))
+    other = features.withColumn("file", F.lit("regions_gda2020.geojsonl"))
+    quoted = kept.select(F.lit("flat/Outlines_GDA94.csv").alias("file"), F.concat("code", F.lit(',"'), G.to_wkt("geom"), F.lit('"')).alias("line"))
+    rows = features.unionByName(other).unionByName(quoted).withColumn("seq", F.lit(1))
+    head = spark.createDataFrame([("flat/Outlines_GDA94.csv", "code,wkt_geom", 0)], "file string, line string, seq int")
+    write_files(rows.unionByName(head), root)
+    found = None
+    for name, layer in sorted(S.load_layers(spark, root, "_gda94", "code string").items()):
+        rows = layer.select(F.lit(name).alias("layer"), "code", G.npoints("geom").alias("n"), F.round(G.area("geom"), 9).alias("area"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def geohash_files(spark, sf):
+    """The sorted layer read back from its files: hashes ascend in and across them."""
+    laid = S.geohash_sort(A.valid_geom(regions(spark, sf).select("code", "geom"))).select(G.geohash("geom", 5).alias("hash"))
+    return layout_of(laid, "hash", spark).select("rows", "ascending", "apart")
+
+
 def layer_set(spark, sf):
     """Two layers written as files, found by datum and loaded."""
     root = scratch_path(spark, "layers")
@@ -217,6 +240,12 @@ def zoomed_extract(spark, sf):
 
 _ZOOMS = ", ".join(f"({z + 4}, {10 * (z + 1)})" for z, _ in enumerate(ZOOM_NAMES))
 VALID = "shape IS NOT NULL AND shape <> 'empty'"
+GEOJSON_TEXTS = (
+    """ring_texts AS (SELECT k, part, ring, '[' || string_agg('[' || CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) || ']', ',' ORDER BY seq) || ']' AS t
+      FROM verts GROUP BY k, part, ring)""",
+    "part_texts AS (SELECT k, part, '[' || string_agg(t, ',' ORDER BY ring) || ']' AS t FROM ring_texts GROUP BY k, part)",
+    "texts AS (SELECT k, string_agg(t, ',' ORDER BY part) AS t FROM part_texts GROUP BY k)",
+)
 QUERIES = {
     "c08_map_extract_values": (lambda spark, sf: extract(spark, sf, "values"), extract_sql("values")),
     "c08_map_extract_percent": (lambda spark, sf: extract(spark, sf, "percent"), extract_sql("percent")),
@@ -267,21 +296,26 @@ QUERIES = {
     ),
     "s23_geojson_text": (
         geojson_text,
-        with_sql(REGIONS_SQL, body="""SELECT '{"type":"Feature","properties":{"code":"' || code || '"},"geometry":{"type":"MultiPolygon","coordinates":[[[' ||
-          string_agg('[' || CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) || ']', ',' ORDER BY seq) || ']]]}}' AS feature
-          FROM verts JOIN regions USING (k, code) WHERE shape IN ('square', 'diamond') GROUP BY code"""),
+        with_sql(
+            REGIONS_SQL,
+            *GEOJSON_TEXTS,
+            body="""SELECT '{"type":"Feature","properties":{"state":"' || state || '","code":"' || code || '"},"geometry":' || CASE WHEN shape IS NULL THEN 'null'
+              ELSE '{"type":"MultiPolygon","coordinates":[' || coalesce(t, '') || ']}' END || '}' AS feature FROM regions LEFT JOIN texts USING (k)""",
+        ),
     ),
     "s23_geojson_text_all": (
         geojson_text_all,
         with_sql(
             REGIONS_SQL,
-            """ring_texts AS (SELECT k, part, ring, '[' || string_agg('[' || CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) || ']', ',' ORDER BY seq) || ']' AS t
-              FROM verts GROUP BY k, part, ring)""",
-            "part_texts AS (SELECT k, part, '[' || string_agg(t, ',' ORDER BY ring) || ']' AS t FROM ring_texts GROUP BY k, part)",
-            "texts AS (SELECT k, string_agg(t, ',' ORDER BY part) AS t FROM part_texts GROUP BY k)",
+            *GEOJSON_TEXTS,
             body="""SELECT '{"type":"Feature","properties":{"code":"' || code || '"},"geometry":' || CASE WHEN shape IS NULL THEN 'null'
               ELSE '{"type":"MultiPolygon","coordinates":[' || coalesce(t, '') || ']}' END || '}' AS feature FROM regions LEFT JOIN texts USING (k)""",
         ),
     ),
+    "o04_geohash_files": (geohash_files, with_sql(REGIONS_SQL, body=f"SELECT count(*) AS rows, true AS ascending, true AS apart FROM regions WHERE {VALID}")),
+    "s24_load_layers": (
+        loaded_layers,
+        with_sql(REGIONS_SQL, body="SELECT layer, code, n, round(area, 9) AS area FROM boxes JOIN areas USING (k), (VALUES ('Outlines_GDA94'), ('regions_gda94')) AS l(layer)"),
+    ),
     "s24_layer_set": (layer_set, with_sql(REGIONS_SQL, body="SELECT code, area AS from_wkt, area AS from_parquet FROM areas JOIN regions USING (k)")),
 }

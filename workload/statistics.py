@@ -293,6 +293,19 @@ def sample(spark, sf):
     return A.random_rows(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), 5, 7, "o_orderkey")
 
 
+def samples(spark, sf):
+    """Eight draws: how many rows each has, how many are different, how many are rows of
+    the table, and whether the draws differ from one another."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    drawn = None
+    for seed in range(8):
+        one = A.random_rows(orders, 5, seed, "o_orderkey").withColumn("draw", F.lit(seed))
+        drawn = one if drawn is None else drawn.unionByName(one)
+    met = drawn.join(orders.withColumn("there", F.lit(1)), ["o_orderkey", "o_orderstatus"], "left")
+    each = met.groupBy("draw").agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("different"), F.sum("there").alias("there"), F.sort_array(F.collect_list("o_orderkey")).alias("keys"))
+    return each.agg(F.sum("n").alias("n"), F.sum("different").alias("different"), F.sum("there").alias("there"), (F.countDistinct("keys") > 6).alias("apart"))
+
+
 def tagged_union(spark, sf):
     customers = table(spark, sf, "customer")
     pick = {s.title(): customers.filter(F.col("c_mktsegment") == s).select("c_custkey", "c_acctbal") for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")}
@@ -466,6 +479,7 @@ QUERIES = {
     ),
     "o01_order_by": (nulls_last, with_sql(INCOME_SQL, body="SELECT region_id, t205 FROM medians")),
     "o03_random_rows": (sample, None),
+    "o03_draws": (samples, "SELECT 8 * least(count(*), 5) AS n, 8 * least(count(*), 5) AS different, 8 * least(count(*), 5) AS there, true AS apart FROM orders"),
     "o05_union_tagged": (
         tagged_union,
         "SELECT left(c_mktsegment, 1) || lower(substr(c_mktsegment, 2)) AS segment, c_custkey, c_acctbal FROM customer",
