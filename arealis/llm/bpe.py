@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from arealis.llm.common import documents, per_worker
-from arealis.llm.words import ChunkEncoder, special_tokens
+from arealis.llm.words import ChunkEncoder, special_tokens, together
 
 FILE = "byte_bpe_50k.json"
 
@@ -174,43 +174,48 @@ class Codec:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.decimals = list(map(str, range(len(self.vocabulary.sizes))))
-        self.kind = np.uint16 if len(self.decimals) <= 1 << 16 else np.uint32
-        code = "H" if self.kind is np.uint16 else "I"
+        self.kind = np.dtype(np.uint16 if len(self.vocabulary.sizes) <= 1 << 16 else np.uint32)
+        code = "H" if self.kind.itemsize == 2 else "I"
         packed = lambda ids: array(code, ids).tobytes()
         self.encoder = ChunkEncoder(lambda texts: map(packed, self.vocabulary.encode_chunks(texts)), special_tokens(path), lambda at: packed([at]))
 
-    def encode(self, text: str) -> tuple[np.ndarray, str]:
-        """The ids, and the same in decimal joined by commas."""
-        ids = np.frombuffer(b"".join(self.encoder.values(text)), self.kind)
-        return ids, ",".join(map(self.decimals.__getitem__, ids.tolist()))
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(self.encoder.values(text)), self.kind)
+
+    def batch(self, texts: list[str]) -> tuple[list[np.ndarray], list[bytes]]:
+        """The ids of each text, and the same in decimal joined by commas."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        ids, ends = self.encoder.batch(texts, self.kind)
+        decimal = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids).cast(pa.string())), ",")
+        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], [d.as_buffer() for d in decimal]
 
 
 def codec(path: str) -> Codec:
     return per_worker(("codec", path), lambda: Codec(path))
 
 
-SLICE = 500
 # decoding works on this many ids at a time, so a long text needs little more than itself
 STRETCH = 1_000_000
 
 
 def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", key: str = "doc_id", texts: bool = False) -> DataFrame:
     """Encode and decode each text: doc_id, n_tokens, ids_sha256, decoded_sha256, and
-    with ``texts`` also ids (array) and decoded. ``SLICE`` rows go out at a time."""
+    with ``texts`` also ids (array) and decoded. A few MB of texts go out at a time."""
     path = path or tokenizer_path()
 
     def run(batches):
         import pyarrow as pa
 
         own = codec(path)
-        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, len(b), SLICE)):
-            rows = {"doc_id": batch.column(0), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
-            for value in batch.column(1):
-                ids, decimal = own.encode(value.as_py() or "")
+        for batch, first, given in ((b, first, given) for b in batches for first, given in together(b.column(1))):
+            all_ids, decimals = own.batch(given)
+            rows = {"doc_id": batch.column(0).slice(first, len(given)), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
+            for ids, decimal in zip(all_ids, decimals, strict=True):
                 decoded = own.vocabulary.decode(ids) if len(ids) <= STRETCH else _long(own, ids)
                 rows["n_tokens"].append(len(ids))
-                rows["ids_sha256"].append(hashlib.sha256(decimal.encode()).hexdigest())
+                rows["ids_sha256"].append(hashlib.sha256(decimal).hexdigest())
                 rows["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
                 if texts:
                     rows["ids"].append(ids.astype(np.int32))

@@ -1,6 +1,10 @@
 """Splitting text into chunks whose tokens do not depend on their neighbours, with a
 bounded cache of encoded chunks.
 
+A batch of texts is split and its distinct chunks are found by Arrow; each is looked up
+or encoded once, the missing ones in one call, and the ids of all texts are put together
+from them.
+
 The byte-level pattern never joins what a single space between two non-space
 characters parts, but for that space, which opens the next token. So a text is cut
 at such spaces and the token ids of each chunk are worked out once per worker. The
@@ -11,7 +15,9 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
 
 # entries of a generation; two generations are kept
 CACHE = 300_000
@@ -22,11 +28,33 @@ _OTHER = re.compile(r"[^\S \n]")
 _SINGLE = re.compile(r" (?=\S)(?<=\S )")
 
 
+# texts of a batch that are encoded together
+TOGETHER = 4 << 20
+
+
+def single_spaced(text: str) -> bool:
+    """Whether every space stands between two characters that are no white space."""
+    return not ("  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _OTHER.search(text))
+
+
 def chunks(text: str) -> list[str]:
     """Pieces of ``text``; each but the first stands for a space and itself."""
-    if "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _OTHER.search(text):
-        return _SINGLE.split(text)
-    return text.split(" ")
+    return text.split(" ") if single_spaced(text) else _SINGLE.split(text)
+
+
+def together(column) -> Iterator[tuple[int, list[str]]]:
+    """The texts of a batch in runs of about ``TOGETHER`` characters, nulls as empty
+    texts, each with the place of its first."""
+    first, run, size = 0, [], 0
+    for at, value in enumerate(column):
+        text = value.as_py() or ""
+        if run and size + len(text) > TOGETHER:
+            yield first, run
+            first, run, size = at, [], 0
+        run.append(text)
+        size += len(text)
+    if run:
+        yield first, run
 
 
 def special_tokens(path: str) -> dict[str, int]:
@@ -70,6 +98,68 @@ class ChunkEncoder:
             return head + [once[c] if c in once else self.new[c] for c in rest] + tail
         return head + list(map(self.new.__getitem__, rest)) + tail
 
+    def _looked_up(self, wanted: list[str]) -> Iterator[bytes]:
+        """Values of distinct chunks."""
+        if len(self.new) > CACHE:
+            self.new, self.old = {}, self.new
+        new, old = self.new, self.old
+        found = [new.get(chunk) for chunk in wanted]
+        missing = []
+        for at, value in enumerate(found):
+            if value is None:
+                chunk = wanted[at]
+                value = found[at] = old.get(chunk)
+                if value is None:
+                    missing.append(at)
+                else:
+                    new[chunk] = value
+        for at, value in zip(missing, self.encode([" " + wanted[at] for at in missing]), strict=True):
+            found[at] = value
+            if len(wanted[at]) <= LONGEST:
+                new[wanted[at]] = value
+        return found
+
+    def batch(self, texts: list[str], kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and where each text's begin, with the end.
+        Values have to be the bytes of ids of this kind."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        plain = np.array([bool(t) and not (self.parts and self.parts.search(t)) and single_spaced(t) for t in texts], bool)
+        split = pc.split_pattern(pa.array([t for t, p in zip(texts, plain) if p], pa.string()), " ")
+        ends = split.offsets.to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy(zero_copy_only=False).copy(), coded.dictionary
+        # first chunks have no space before them, a last one may end in white space
+        alone = ends[:-1].tolist() + [e - 1 for f, e, t in zip(ends[:-1].tolist(), ends[1:].tolist(), (t for t, p in zip(texts, plain) if p)) if e - f > 1 and t[-1].isspace()]
+        heads = len(ends) - 1
+        apart = [next(iter(self.encode([("" if k < heads else " ") + words[int(codes[at])].as_py()]))) for k, at in enumerate(alone)]
+        codes[alone] = len(words) + np.arange(len(alone))
+        met = np.zeros(len(words) + len(alone), bool)
+        met[codes] = True
+        used = np.flatnonzero(met[: len(words)])
+        others = [b"".join(self.values(t)) for t, p in zip(texts, plain) if not p]
+        values = [*self._looked_up(words.take(pa.array(used)).to_pylist()), *apart, *others]
+        place = np.empty(len(words) + len(alone), np.int32)
+        place[used] = np.arange(len(used))
+        place[len(words) :] = len(used) + np.arange(len(alone))
+
+        count = np.ones(len(texts), np.int64)
+        count[plain] = np.diff(ends)
+        of_plain = np.repeat(plain, count)
+        unit = np.empty(len(of_plain), np.int32)
+        unit[of_plain] = place[codes]
+        unit[~of_plain] = len(used) + len(alone) + np.arange(len(others))
+        stock = np.frombuffer(b"".join(values), kind)
+        sizes = np.array([len(v) for v in values], np.int64) // kind.itemsize
+        starts = np.cumsum(sizes) - sizes
+        size = sizes[unit]
+        upto = np.cumsum(size)
+        total = int(upto[-1]) if len(upto) else 0
+        small = np.int32 if max(total, len(stock)) < 1 << 31 else np.int64
+        ids = stock[np.arange(total, dtype=small) + np.repeat((starts[unit] - (upto - size)).astype(small), size)]
+        return ids, np.concatenate([[0], upto])[np.concatenate([[0], np.cumsum(count)])]
+
     def values(self, text: str) -> list:
         if not text:
             return []

@@ -183,11 +183,19 @@ def test_bpe(library):
     letters = "ab ethn\n\t 's12é.,!ñ日🙂 \x85\x0b\x1c"
     texts = ["", " ", "  a  b ", "x" * 3000, "a<|endoftext|> b", "²½ Ⅷ", "it's 'll we'll", "日本語 テキスト 🙂🙂"]
     texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(70))) for _ in range(1500)]
-    for text in texts:
-        ids = library.encode(text, add_special_tokens=False).ids
-        found, decimal = own.encode(text)
-        assert found.tolist() == ids and decimal == ",".join(map(str, ids))
-        assert own.vocabulary.decode(found) == library.decode(ids, skip_special_tokens=False)
+    texts += ["one two three", "one two three\n", "two", "three four\n", "one", " ".join(rng.choice(WORDS) for _ in range(3000))]
+    packed = token_index.LibraryEncoder(bpe.tokenizer_path())
+    for size in (1, 7, len(texts)):
+        for at in range(0, len(texts), size):
+            some = texts[at : at + size]
+            batch, decimals = own.batch(some)
+            flat, ends = packed.encoder.batch(some, packed.kind)
+            for k, (text, found, decimal) in enumerate(zip(some, batch, decimals, strict=True)):
+                ids = library.encode(text, add_special_tokens=False).ids
+                assert found.tolist() == own.encode(text).tolist() == flat[ends[k] : ends[k + 1]].tolist() == ids
+                assert bytes(decimal).decode() == ",".join(map(str, ids))
+                assert own.vocabulary.decode(found) == library.decode(ids, skip_special_tokens=False)
+    assert own.batch([]) == ([], []) and [len(x) for x in own.batch(["", ""])[0]] == [0, 0]
 
 
 def test_bpe_rows(docs, none, odd, library, monkeypatch):
@@ -198,7 +206,7 @@ def test_bpe_rows(docs, none, odd, library, monkeypatch):
     own = bpe.Codec(bpe.tokenizer_path())
     monkeypatch.setattr(bpe, "STRETCH", 3)
     text = "héllo 🙂 wörld 日本"
-    assert bpe._long(own, own.encode(text)[0]) == text
+    assert bpe._long(own, own.encode(text)) == text
 
 
 def test_token_store(docs, none, odd, library):
