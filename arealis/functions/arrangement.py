@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -339,6 +339,13 @@ def make_valid(geom: Column | str) -> Column:
     return _repair(geom)
 
 
+def generated(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column replaced by a generated one: no filter on what follows can
+    repeat its work, nor can it be merged into another expression."""
+    made = F.explode(F.array(value)).alias(name)
+    return df.select(*[made if c == name else F.col(f"`{c}`") for c in df.columns])
+
+
 def _edge_groups(edges: pa.Array) -> list[tuple[np.ndarray, np.ndarray] | None]:
     """Lists of structs x1, y1, x2, y2 (and n) as one array each."""
     flat = edges.flatten()

@@ -194,16 +194,21 @@ def strips(geom: Column | str, axis: int, buffer: float, top: int) -> Column:
 
 
 def thin_line(line: Ring, tolerance: float, keep: int) -> Ring:
-    """Visvalingam-Whyatt: drop interior vertices whose triangle is smaller than
-    ``tolerance``, smallest first, while more than ``keep`` remain.
+    return line[thinned(line, tolerance, keep)]
+
+
+def thinned(line: Ring, tolerance: float, keep: int) -> np.ndarray:
+    """Visvalingam-Whyatt: which vertices stay when interior ones whose triangle is
+    smaller than ``tolerance`` go, smallest first, while more than ``keep`` remain.
 
     Ties go by coordinates and the triangle is measured from its middle vertex,
     so a line and its reverse lose the same vertices.
     """
     n = len(line)
     left = n - 2
+    alive = np.ones(n, dtype=bool)
     if left <= keep:
-        return line
+        return alive
     pts = line.tolist()
     before, after = list(range(-1, n - 1)), list(range(1, n + 1))
 
@@ -216,7 +221,6 @@ def thin_line(line: Ring, tolerance: float, keep: int) -> Ring:
         size[i] = triangle(i)
     heap = [(size[i], pts[i], i) for i in range(1, n - 1)]
     heapq.heapify(heap)
-    alive = np.ones(n, dtype=bool)
     while heap and left > keep:
         current, _, i = heapq.heappop(heap)
         if not alive[i] or current != size[i]:
@@ -230,7 +234,7 @@ def thin_line(line: Ring, tolerance: float, keep: int) -> Ring:
             if 0 < j < n - 1:
                 size[j] = max(triangle(j), current)
                 heapq.heappush(heap, (size[j], pts[j], j))
-    return line[alive]
+    return alive
 
 
 @F.arrow_udf(GEOM)
@@ -278,40 +282,77 @@ def simplify_dp(geom: Column | str, tolerance: float) -> Column:
     return _simplify_dp(geom, F.lit(float(tolerance)))
 
 
-def _thin_arcs(ring: Ring, nodes: set[tuple[float, float]], tolerance: float) -> Ring:
-    """Thin each stretch between fixed nodes by itself. A ring without nodes is
-    one stretch from its smallest vertex, which its neighbour picks too."""
+def _arcs(ring: Ring, nodes: set[tuple[float, float]]) -> list[tuple[Ring, int]]:
+    """The stretches between fixed nodes, with the vertices that must stay inside each.
+    A ring without nodes is one stretch from its smallest vertex, which its neighbour
+    picks too."""
     body = ring[:-1]
     if len(body) < 3:
-        return ring
+        return [(ring, len(ring))]
     at = [i for i, v in enumerate(map(tuple, body.tolist())) if v in nodes]
     if not at:
         at = [int(np.lexsort((body[:, 1], body[:, 0]))[0])]
     turned = np.roll(body, -at[0], axis=0)
     turned = np.vstack([turned, turned[:1]])
     stops = [i - at[0] for i in at] + [len(body)]
-    arcs = [
-        thin_line(turned[a : b + 1], tolerance, 2 if len(stops) == 2 else 1) for a, b in zip(stops, stops[1:])
-    ]
+    return [(turned[a : b + 1], 2 if len(stops) == 2 else 1) for a, b in zip(stops, stops[1:])]
+
+
+def _thin_arcs(ring: Ring, nodes: set[tuple[float, float]], tolerance: float) -> Ring:
+    """Thin each stretch between fixed nodes by itself."""
+    arcs = [thin_line(arc, tolerance, keep) for arc, keep in _arcs(ring, nodes)]
     return np.vstack([arcs[0][:1]] + [a[1:] for a in arcs])
 
 
+def _swept_by(ring: Ring, nodes: set[tuple[float, float]], tolerance: float) -> list[tuple[Ring, Ring]]:
+    """What thinning passes over: each run of dropped vertices closed by the edge that
+    takes its place, and its vertex farthest from that edge."""
+    found = []
+    for arc, keep in _arcs(ring, nodes):
+        kept = np.flatnonzero(thinned(arc, tolerance, keep))
+        for i, j in zip(kept[:-1].tolist(), kept[1:].tolist()):
+            if j > i + 1:
+                closed = np.vstack([arc[i : j + 1], arc[i : i + 1]])
+                off = np.abs(side_of(arc[i : i + 1], arc[j : j + 1], arc[i + 1 : j]))
+                if off.any():
+                    found.append((closed, arc[i + 1 + int(off.argmax())]))
+    return found
+
+
+def _fixed(nodes: pa.Array) -> list[set[tuple[float, float]]]:
+    points, at = nodes.values, nodes.offsets.to_numpy()
+    xs, ys = points.field("x").to_pylist(), points.field("y").to_pylist()
+    return [set(zip(xs[a:b], ys[a:b])) for a, b in zip(at, at[1:])]
+
+
 @F.arrow_udf(GEOM)
 def _simplify_arcs(geom: pa.Array, nodes: pa.Array, tolerance: pa.Array) -> pa.Array:
-    points, node_at = nodes.values, nodes.offsets.to_numpy()
-    xs, ys = points.field("x").to_pylist(), points.field("y").to_pylist()
-    fixed = [set(zip(xs[a:b], ys[a:b])) for a, b in zip(node_at, node_at[1:])]
-    out = [
+    return pack([
         None if g is None else [[_thin_arcs(r, f, tol) for r in part] for part in g]
-        for g, f, tol in zip(unpack(geom), fixed, tolerance.to_pylist())
-    ]
-    return pack(out)
+        for g, f, tol in zip(unpack(geom), _fixed(nodes), tolerance.to_pylist())
+    ])
 
 
 def simplify_arcs(geom: Column | str, nodes: Column | str, tolerance: float) -> Column:
     return _simplify_arcs(geom, nodes, F.lit(float(tolerance)))
 
 
+@F.arrow_udf(T.ArrayType(GEOM))
+def _swept(geom: pa.Array, nodes: pa.Array, tolerance: pa.Array) -> pa.Array:
+    rows = [
+        [] if g is None else [found for part in g for r in part for found in _swept_by(r, f, tol)]
+        for g, f, tol in zip(unpack(geom), _fixed(nodes), tolerance.to_pylist())
+    ]
+    # the farthest vertex travels as a ring of its own in a second part
+    return _lists(rows, pack([[[closed], [far[None, :]]] for row in rows for closed, far in row]))
+
+
+def swept_areas(geom: Column | str, nodes: Column | str, tolerance: float) -> Column:
+    """Array of shapes whose first part is what thinning passes over at one place, the
+    second the one vertex of it that is farthest from the new edge."""
+    return _swept(geom, nodes, F.lit(float(tolerance)))
+
+
 # --- overlay area ----------------------------------------------------------------------------------------
 
 
@@ -396,6 +437,67 @@ def intersection_area(a: Column | str, b: Column | str) -> Column:
     return _intersection_area(a, b)
 
 
+# --- pieces by cell --------------------------------------------------------------------------------------
+
+
+def _banded(part: list[Ring], axis: int, size: float) -> list[tuple[int, list[Ring]]]:
+    """A part cut along lines at multiples of ``size``: band number and piece."""
+    low, high = part[0][:, axis].min(), part[0][:, axis].max()
+    first, last, found = int(np.floor(low / size)), int(np.floor(high / size)), []
+    for band in range(first, last):
+        piece = _clip_part(part, axis, (band + 1) * size, True)
+        if piece:
+            found.append((band, piece))
+        part = _clip_part(part, axis, (band + 1) * size, False)
+        if not part:
+            return found
+    return [*found, (last, part)]
+
+
+def cell_pieces(geom: Geometry, size: float) -> list[tuple[int, int, bool, float, Geometry]]:
+    """What the shape has in each cell of a grid: column, row, whether it fills the cell,
+    the area, and the piece (none if it fills the cell)."""
+    cells: dict[tuple[int, int], Geometry] = {}
+    for part in geom:
+        if part and len(part[0]) > 3:
+            for i, band in _banded(part, 0, size):
+                for j, piece in _banded(band, 1, size):
+                    cells.setdefault((i, j), []).append(piece)
+    found = []
+    for (i, j), pieces in sorted(cells.items()):
+        area = sum(abs(signed_area(r)) * (1 if k == 0 else -1) for piece in pieces for k, r in enumerate(piece))
+        full = area >= size * size * (1 - 1e-12)
+        if area > 0:
+            found.append((i, j, full, min(area, size * size), [] if full else pieces))
+    return found
+
+
+PIECES = T.ArrayType(
+    T.StructType([
+        T.StructField("level", T.IntegerType()), T.StructField("ci", T.LongType()), T.StructField("cj", T.LongType()),
+        T.StructField("full", T.BooleanType()), T.StructField("area", T.DoubleType()), T.StructField("piece", GEOM),
+    ])
+)
+
+
+@F.arrow_udf(PIECES)
+def _cell_pieces(geom: pa.Array, levels: pa.Array) -> pa.Array:
+    rows = [
+        None if g is None else [(level, *piece) for level in asked or [] for piece in cell_pieces(g, 4.0**level)]
+        for g, asked in zip(unpack(geom), levels.to_pylist())
+    ]
+    flat = [p for row in rows if row is not None for p in row]
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.float64())
+    columns = [pa.array([p[k] for p in flat], kind) for k, kind in enumerate(kinds)]
+    return _lists(rows, pa.StructArray.from_arrays([*columns, pack([p[5] for p in flat])], [f.name for f in PIECES.elementType]))
+
+
+def pieces_by_cell(geom: Column | str, levels: Column) -> Column:
+    """Pieces of the shape in the cells of each of the grids ``levels`` (cells of side
+    4^level): array of level, ci, cj, full, area, piece."""
+    return _cell_pieces(geom, levels)
+
+
 # --- validity ------------------------------------------------------------------------------------------
 
 

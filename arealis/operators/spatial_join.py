@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealis.functions import geometry as G
+from arealis.functions.arrow_geometry import intersection_area, pieces_by_cell
 from arealis.session import estimated_bytes, spread, stored
 
 # Sides up to this many measured bytes are broadcast; beyond it the join shuffles.
@@ -329,13 +330,44 @@ def candidate_pairs(a: DataFrame, b: DataFrame, geom: str = "geom") -> DataFrame
     return pairs.filter(meet & reporting).select(*names)
 
 
+def overlap_areas(a: DataFrame, b: DataFrame, a_id: str, b_id: str, geom: str = "geom") -> DataFrame:
+    """The common area of every two shapes that share any: a_id, b_id, common_area.
+
+    Shapes are cut into the cells of grids, and only pieces travel. Each takes part in
+    the grid of its own size and in the coarser ones that the other layer uses; a pair
+    meets in the coarser of its two grids. Cells that a shape fills carry no geometry:
+    there the other's area counts. The areas of a pair's pieces are added up.
+    """
+
+    def sized(df: DataFrame, key: str) -> DataFrame:
+        known = spread(df.filter(F.col(geom).isNotNull() & (G.npoints(geom) > 0)))
+        extent = F.greatest(G.xmax(geom) - G.xmin(geom), G.ymax(geom) - G.ymin(geom))
+        return known.select(F.col(key).alias("_key"), F.col(geom).alias("_geom"), _grid_level(extent).alias("_own"))
+
+    left, right = sized(a, a_id), sized(b, b_id)
+    # a handful of level numbers
+    used = [sorted(r[0] for r in df.select("_own").distinct().collect()) for df in (left, right)]
+
+    def pieces(df: DataFrame, others: Sequence[int], tag: str) -> DataFrame:
+        coarser = F.filter(F.array(*[F.lit(v) for v in others]).cast("array<int>"), lambda v: v > F.col("_own"))
+        levels = F.concat(F.array("_own"), coarser)
+        cut = df.select(F.col("_key").alias(tag), "_own", F.explode(pieces_by_cell("_geom", levels)).alias("p"))
+        return cut.select(tag, F.col("p.level").alias("level"), "p.ci", "p.cj", (F.col("_own") == F.col("p.level")).alias(f"{tag}_own"), *[F.col(f"p.{c}").alias(f"{tag}_{c}") for c in ("full", "area", "piece")])
+
+    met = pieces(left, used[1], "a").join(pieces(right, used[0], "b"), ["level", "ci", "cj"]).filter("a_own or b_own")
+    part = F.when(F.col("a_full"), F.col("b_area")).when(F.col("b_full"), F.col("a_area")).otherwise(intersection_area("a_piece", "b_piece"))
+    shared = met.select(F.col("a").alias(a_id), F.col("b").alias(b_id), part.alias("common_area"))
+    return shared.groupBy(a_id, b_id).agg(F.sum("common_area").alias("common_area")).filter("common_area > 0")
+
+
 def match_by_overlap(a: DataFrame, b: DataFrame, share: float = 0.5, geom: str = "geom") -> DataFrame:
-    """Pairs where the common area is more than ``share`` of b's area."""
-    from arealis.functions.arrow_geometry import intersection_area
-
-    pairs = candidate_pairs(a, b, geom)
-    keep = [c for c in pairs.columns if c not in (f"a_{geom}", f"b_{geom}")]
-    # behind a generator no filter can repeat the area's work
-    areas = F.struct(intersection_area(f"a_{geom}", f"b_{geom}").alias("common_area"), G.area(f"b_{geom}").alias("_area"))
-    measured = pairs.select(*keep, F.inline(F.array(areas)))
-    return measured.withColumn("overlap", F.try_divide("common_area", "_area")).filter(F.col("overlap") > share).drop("_area")
+    """Pairs where the common area is more than ``share`` of b's area: the other columns
+    of both, as ``a_`` and ``b_``, with ``common_area`` and ``overlap``."""
+    a, b = (stored(df.select(F.monotonically_increasing_id().alias(key), "*"), "layer") for df, key in ((a, "_a"), (b, "_b")))
+    sized = b.select("_b", G.area(geom).alias("_area"))
+    found = overlap_areas(a, b, "_a", "_b", geom).join(sized, "_b")
+    found = found.withColumn("overlap", F.try_divide("common_area", "_area")).filter(F.col("overlap") > share)
+    others = lambda df, tag: df.select(f"_{tag}", *[F.col(c).alias(f"{tag}_{c}") for c in df.columns if c not in (geom, f"_{tag}")])
+    return found.join(others(a, "a"), "_a").join(others(b, "b"), "_b").drop("_a", "_b", "_area").select(
+        *[f"a_{c}" for c in a.columns if c not in (geom, "_a")], *[f"b_{c}" for c in b.columns if c not in (geom, "_b")], "common_area", "overlap"
+    )

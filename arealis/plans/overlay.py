@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arealis.functions import geometry as G
-from arealis.functions.arrangement import enclosed, make_valid, merge_lines
+from arealis.functions.arrangement import enclosed, generated, make_valid, merge_lines
 from arealis.functions.arrow_geometry import _pack_points
 from arealis.operators.spatial_join import tag_points
 from arealis.session import stored
@@ -54,7 +54,8 @@ def dissolve(df: DataFrame, group: str | Sequence[str], geom: str = "geom", tile
     if tile is not None:
         corner = F.struct(F.floor(G.xmin(geom) / tile), F.floor(G.ymin(geom) / tile))
         df = dissolve(df.withColumn("_tile", corner), [*keys, "_tile"], geom)
-    valid = df.select(*keys, G.orient_ccw(make_valid(geom)).alias("_geom"))
+    oriented = df.select(*keys, G.orient_ccw(geom).alias("_geom"))
+    valid = generated(generated(oriented, "_geom", F.col("_geom")), "_geom", make_valid("_geom"))
     edges = valid.select(*keys, F.explode(G.edges("_geom")).alias("e")).select(*keys, "e.*", F.lit(1).alias("n"))
     found = _outlines(edges, keys, geom)
     groups = df.select(*keys).distinct()

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealis.functions import geometry as G
-from arealis.functions.arrow_geometry import simplify_arcs, simplify_vw, subdivided
+from arealis.functions.arrow_geometry import simplify_arcs, simplify_vw, subdivided, swept_areas
 from arealis.functions.scalars import METRES_PER_DEGREE, zoom_tolerance
-from arealis.session import spread
+from arealis.operators.spatial_join import tag_points
+from arealis.session import spread, stored
 
 # Fixed value: area tolerance of the display layer, in squared degrees.
 WEB_TOLERANCE = 1e-7
@@ -46,17 +47,41 @@ def border_nodes(df: DataFrame, geom: str = "geom") -> DataFrame:
     return real.distinct().groupBy("x", "y").count().filter(F.col("count") != 2).select("x", "y")
 
 
-def simplify_coverage(df: DataFrame, id_col: str, tolerance: float, geom: str = "geom") -> DataFrame:
+# in later rounds all vertices of a place in conflict are kept, not only the farthest
+GENTLE_ROUNDS = 4
+
+
+def simplify_coverage(df: DataFrame, id_col: str, tolerance: float, geom: str = "geom", keep_topology: bool = True) -> DataFrame:
     """Thin a layer without opening gaps: a border shared by two regions loses
     the same vertices in both, because the stretch between two nodes is thinned
     on its own and the result does not depend on its direction.
 
-    Only nodes travel: they are gathered per region (never more than the region's
-    own vertices) and joined back to the untouched rows.
+    With ``keep_topology`` no border crosses another afterwards and nothing changes
+    sides: thinning may not pass over any vertex of the layer. Places where it would
+    (a spatial join of vertices with what each dropped run sweeps over) get nodes, and
+    the layer is thinned again, until there are none; only nodes travel between rounds.
+
+    Nodes are gathered per region (never more than the region's own vertices) and joined
+    back to the untouched rows.
     """
-    corner = df.select(F.col(id_col).alias("_id"), F.explode(G.vertices(geom)).alias("v"))
-    mine = corner.select("_id", F.col("v.x").alias("x"), F.col("v.y").alias("y")).join(border_nodes(df, geom), ["x", "y"])
-    nodes = mine.groupBy("_id").agg(F.collect_set(F.struct("x", "y")).alias("_nodes"))
-    joined = df.join(nodes, df[id_col] == nodes["_id"], "left").drop("_id")
+    corner = df.select(F.col(id_col).alias("_id"), F.explode(G.vertices(geom)).alias("v")).select("_id", F.col("v.x").alias("x"), F.col("v.y").alias("y"))
     none = F.array().cast(G.RING_TYPE)
-    return joined.withColumn(geom, simplify_arcs(geom, F.coalesce("_nodes", none), tolerance)).drop("_nodes")
+
+    def with_nodes(nodes: DataFrame) -> DataFrame:
+        gathered = corner.join(nodes, ["x", "y"]).groupBy("_id").agg(F.collect_set(F.struct("x", "y")).alias("_nodes"))
+        joined = df.join(gathered, df[id_col] == gathered["_id"], "left").drop("_id")
+        return joined.withColumn("_nodes", F.coalesce("_nodes", none))
+
+    nodes, turn = border_nodes(df, geom), 0
+    while keep_topology:
+        nodes = stored(nodes, "nodes")
+        swept = with_nodes(nodes).select(F.explode(swept_areas(geom, "_nodes", tolerance)).alias("_swept"))
+        over = swept.select(F.slice("_swept", 1, 1).alias("geom"), F.col("_swept")[0][0].alias("_own"), F.col("_swept")[1][0].alias("_far"))
+        met = tag_points(corner.select("x", "y").distinct(), over.filter(G.area("geom") > 0))
+        met = met.filter(~F.array_contains("_own", F.struct("x", "y")))
+        pins = met.select(F.explode("_far" if turn < GENTLE_ROUNDS else "_own").alias("v")).select("v.x", "v.y").distinct()
+        pins = stored(pins.join(nodes, ["x", "y"], "left_anti"), "pins")
+        if pins.isEmpty():
+            break
+        nodes, turn = nodes.unionByName(pins), turn + 1
+    return with_nodes(nodes).withColumn(geom, simplify_arcs(geom, "_nodes", tolerance)).drop("_nodes")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealis.functions import geometry as G
-from arealis.functions.arrangement import make_valid
+from arealis.functions.arrangement import generated, make_valid
 from arealis.functions.arrow_geometry import subdivided
 from arealis.operators.keys import key_bounds, sorted_ranges, with_row_id
 from arealis.session import spread
@@ -140,7 +140,7 @@ def spatial_layout(df: DataFrame, max_vertices: int = 256, with_wkt: bool = Fals
     kind = next(c["kind"] for c in geometry_columns(df) if c["column"] == geom)
     if kind in ("POINT", "LINESTRING"):
         return _unpolygonal_layout(df, geom, kind, srid, with_wkt)
-    repaired = spread(df).withColumn(geom, G.orient_ccw(make_valid(G.clean_rings(nested(geom, kind)))))
+    repaired = generated(generated(spread(df), geom, G.clean_rings(nested(geom, kind))), geom, make_valid(geom))
     if srid is not None and srid != 4326:
         repaired = G.to_wgs84(repaired, geom, srid)
     parts = G.dump_parts(repaired, geom).drop("part_no")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from arealis.functions import arrow_geometry as R
 from arealis.functions import geometry as G
+from arealis.functions.arrangement import rings_are_nested
 from arealis.functions.register import register
 from arealis.operators import spatial_join as J
 from arealis.operators import stats as A
@@ -151,6 +152,26 @@ def test_simplify_dp(spark):
         assert np.min(np.hypot(*(p - a - t[:, None] * (b - a)).T)) <= 0.05 + 1e-12
 
 
+def test_thinning_keeps_sides(spark):
+    """A bulge with a hole in it stays, and spikes through a narrow neck don't cross."""
+    bulge = [(0, 0), (10, 0), (10, 4), (6, 4), (5, 4.3), (4, 4), (0, 4), (0, 0)]
+    hole = [(4.9, 4.05), (5, 4.15), (5.1, 4.05), (4.9, 4.05)]
+    left = [(20, 0), (25, 0), (24.8, 2), (25, 4), (20, 4), (20, 0)]
+    spiked = [(25, 0), (30, 0), (30, 4), (25, 4), (24.8, 2), (25, 0)]
+    thorn = [(24.85, 1.98), (24.85, 2.02), (27, 2), (24.85, 1.98)]  # a hole of the right one that begins in its bay
+    df = spark.createDataFrame([("a", polygon([bulge, hole])), ("b", polygon([left])), ("c", polygon([spiked, thorn]))], f"code string, geom {G.GEOM_TYPE}")
+    loose = {r["code"]: r["geom"] for r in thinning.simplify_coverage(df, "code", 0.5, keep_topology=False).collect()}
+    kept = {r["code"]: r["geom"] for r in thinning.simplify_coverage(df, "code", 0.5).collect()}
+    has = lambda geom, *v: v in [tuple(p) for p in geom[0][0]]
+    assert not has(loose["a"], 5.0, 4.3) and has(kept["a"], 5.0, 4.3)
+    assert has(kept["b"], 24.8, 2.0) and has(kept["c"], 24.8, 2.0)
+    for code, geom in kept.items():
+        rings = [[np.array([(v["x"], v["y"]) for v in ring]) for ring in part] for part in geom]
+        assert R.rings_are_simple(rings) and rings_are_nested(rings), code
+    corners = lambda rows: {r["code"]: [sorted(set(map(tuple, ring))) for part in r["geom"] for ring in part] for r in rows.collect()}
+    assert corners(thinning.simplify_coverage(df, "code", 0.0)) == corners(df)
+
+
 def test_coverage_has_no_gaps(spark):
     from workload.derived import lattice
 
@@ -222,7 +243,7 @@ def test_random_points(spark, shapes):
     assert len({(r["code"], r["point_no"]) for r in rows}) == len(rows)
     again = dots.random_points(base.repartition(5), "n", "code", seed=9, draw_size=10).select("code", "point_no", "geom").collect()
     assert {tuple(r) for r in again} == {(r["code"], r["point_no"], r["geom"]) for r in rows}
-    with pytest.raises(Exception, match="bounding box"):
+    with pytest.raises(Exception, match="too thin"):
         flat = frame(spark, a=polygon([[(0, 0), (1, 1), (0, 0), (0, 0)]])).withColumn("n", F.lit(3))
         dots.random_points(flat, "n", "code").collect()
 
@@ -360,6 +381,29 @@ def test_overlap_pairs_match_every_pair(spark):
     assert got == {k for k, v in common.items() if v > 0.5}
 
 
+def test_overlap_areas_by_cells(spark):
+    """Shapes of very different sizes, with holes, parts and bays, against whole shapes."""
+    rng = random.Random(9)
+    outlines = [[SQUARE, HOLE], [DIAMOND], [ELBOW]]
+
+    def layer(n, name):
+        rows = []
+        for i in range(n):
+            x, y, w = rng.uniform(-20, 20), rng.uniform(-20, 20), rng.choice([0.02, 0.5, 3, 12])
+            parts = rng.sample(outlines, rng.choice([1, 1, 2]))
+            shift = [[[(x + w * px + 20 * w * k, y + w * py) for px, py in ring] for ring in part] for k, part in enumerate(parts)]
+            rows.append((f"{name}{i}", polygon(*shift)))
+        return spark.createDataFrame([*rows, (f"{name}x", []), (f"{name}y", None)], f"code string, geom {G.GEOM_TYPE}")
+
+    a, b = layer(25, "a").withColumnRenamed("code", "one"), layer(40, "b").withColumnRenamed("code", "other")
+    got = {(r["one"], r["other"]): r["common_area"] for r in J.overlap_areas(a, b, "one", "other").collect()}
+    every = a.crossJoin(b.withColumnRenamed("geom", "g2")).select("one", "other", R.intersection_area("geom", "g2").alias("s"))
+    want = {(r["one"], r["other"]): r["s"] for r in every.collect() if r["s"] and r["s"] > 1e-9}
+    assert {k for k, v in got.items() if v > 1e-9} == set(want) and all(got[k] == pytest.approx(v, rel=1e-9, abs=1e-9) for k, v in want.items())
+    plan = J.overlap_areas(a, b, "one", "other")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_geom" not in plan.split("Join", 1)[0]
+
+
 def test_tiles_cover_the_shape(spark):
     shape = polygon([[(100, -40), (150, -40), (150, -10), (100, -10), (100, -40)], [(110, -30), (110, -20), (120, -20), (120, -30), (110, -30)]])
     made = tiles.tile_features(frame(spark, a=shape), 5)
