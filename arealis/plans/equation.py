@@ -43,3 +43,13 @@ def stat_equation(read_table: Callable[[str], DataFrame], stats: DataFrame, equa
         tables.setdefault(home[i], []).append(i)
     parts = [read_table(t).select(REGION_ID, *columns) for t, columns in sorted(tables.items())]
     return join_profiles(parts).select(REGION_ID, F.expr(re.sub(r"\s+", "", equation.lower())).alias(name))
+
+
+def equation_view(view: str, bdy: DataFrame, bdy_key: str, read_table: Callable[[str], DataFrame], stats: DataFrame, equation: str, name: str = "value") -> DataFrame:
+    """Make the named view of ``bdy`` with an equation's value: every region, NULL where
+    a statistic is missing. Returns its rows."""
+    values = stat_equation(read_table, stats, equation, name)
+    if name in bdy.columns:
+        raise ValueError(f"the boundaries already have a column {name!r}")
+    bdy.join(values, bdy[bdy_key] == values[REGION_ID], "left").select(*[bdy[f"`{c}`"] for c in bdy.columns], values[name]).createOrReplaceTempView(view)
+    return bdy.sparkSession.table(view)

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arealis.functions import scalars as X
+from arealis.functions.register import register
 from arealis.operators import classify as C
 from arealis.operators import dictionary as M
 from arealis.operators import keys as K
 from arealis.operators import stats as A
 from arealis.plans import income as I
-from arealis.plans.equation import stat_equation
+from arealis.plans.equation import equation_view, stat_equation
 from arealis.sources.datapack import parse_profile
 from workload.derived import (
     DICTIONARY_SQL,
@@ -273,15 +274,28 @@ def income_histogram(spark, sf):
     return I.income_histogram(income(spark, sf), "t205", "t3", 0.0, 1e8, 19)
 
 
-def equation(spark, sf):
-    """An equation over ids of two profile tables, found through a dictionary."""
+def _profile_tables(spark, sf):
+    """Two profile tables and the dictionary that names their columns."""
     profile = region_profile(spark, sf)
     tables = {"g01": profile.select("region_id", "g1", "g2"), "g02": profile.select("region_id", "g4", "g5", "g6")}
     rows = [(c.upper(), t.upper()) for t, df in tables.items() for c in df.columns if c != M.REGION_ID]
-    stats = spark.createDataFrame(rows, "sequential_id string, table_number string")
+    return tables, spark.createDataFrame(rows, "sequential_id string, table_number string")
+
+
+def equation(spark, sf):
+    """An equation over ids of two profile tables, found through a dictionary."""
+    tables, stats = _profile_tables(spark, sf)
     return stat_equation(tables.__getitem__, stats, "G2 * (g4 + G5) / (g6 + 1) - 2.5")
 
 
+def equation_as_view(spark, sf):
+    """A named view of the regions with an equation's value, queried by its name."""
+    tables, stats = _profile_tables(spark, sf)
+    register(spark)
+    equation_view("vw_share", regions(spark, sf), "code", tables.__getitem__, stats, "g2 / (G1 + 1) * 100", "share")
+    return spark.sql("SELECT code, state, share, st_npoints(geom) AS n, st_area(geom) AS area FROM vw_share")
+
+
 # --- order and sets ------------------------------------------------------------------------------------------
 
 
@@ -472,6 +486,11 @@ QUERIES = {
         with_sql(INCOME_SQL, body=f"SELECT {_bucket_sql('v', '0', '100000000', 19)} AS bucket, count(*) AS freq FROM (SELECT t205 * t3 * 52.25::DOUBLE AS v FROM income) WHERE v IS NOT NULL GROUP BY 1 UNION ALL SELECT NULL, count(*) FROM income WHERE t205 IS NULL"),
     ),
     "c07_stat_equation": (equation, with_sql(PROFILE_SQL, body="SELECT region_id, g2 * (g4 + g5) / (g6 + 1) - 2.5::DOUBLE AS value FROM profile")),
+    "u02_equation_view": (
+        equation_as_view,
+        with_sql(REGIONS_SQL, PROFILE_SQL, body="""SELECT r.code, state, g2 / (g1 + 1) * 100 AS share, CAST(CASE WHEN shape = 'empty' THEN 0 ELSE n END AS INT) AS n, CASE WHEN shape = 'empty' THEN 0 ELSE area END AS area
+          FROM regions r LEFT JOIN boxes USING (k) LEFT JOIN areas USING (k) LEFT JOIN profile ON region_id = r.code"""),
+    ),
     "c09_long_form": (
         lambda spark, sf: M.to_long(region_profile(spark, sf), dictionary(spark, sf)).select("region_id", "stat_id", "value", "long_id"),
         with_sql(PROFILE_SQL, DICTIONARY_SQL, body="""SELECT region_id, stat_id, value, long_id FROM
