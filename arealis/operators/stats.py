@@ -136,11 +136,15 @@ def histogram(df: DataFrame, value: Column | str, lo: float | None = None, hi: f
     return counted.orderBy(F.col("bucket").asc_nulls_last())
 
 
-def histogram_bar(df: DataFrame, freq: str = "freq", width: int = 30, name: str = "bar") -> DataFrame:
+# A bar's mark and the length of the longest one.
+BAR_MARK, BAR_WIDTH = "■", 30
+
+
+def histogram_bar(df: DataFrame, freq: str = "freq", width: int = BAR_WIDTH, name: str = "bar") -> DataFrame:
     """A text bar per bucket, scaled to the largest."""
     largest = df.agg(F.max(freq).cast("double")).scalar()
     length = round_half_even_int(F.col(freq).cast("double") / largest * width)
-    return df.withColumn(name, F.repeat(F.lit("■"), length))
+    return df.withColumn(name, F.repeat(F.lit(BAR_MARK), length))
 
 
 # --- map ranges and flags ------------------------------------------------------------------

@@ -262,12 +262,16 @@ SELECT event_id, CAST(sum(incr) OVER (ORDER BY value, event_id ROWS UNBOUNDED PR
 # --- reports and equations --------------------------------------------------------------------------------
 
 
+# Fixed value: the total that the published shares are of.
+ALL_INCOME = 505153066305.0
+
+
 def weighted(spark, sf):
     return A.weighted_total(income(spark, sf), "t205", "t3")
 
 
 def income_shares(spark, sf):
-    return I.income_shares(income(spark, sf), "t205", "t3", 505153066305.0)
+    return I.income_shares(income(spark, sf), "t205", "t3", ALL_INCOME)
 
 
 def income_histogram(spark, sf):
@@ -396,7 +400,7 @@ def strings(spark, sf):
     c = F.col("p_name")
     return table(spark, sf, "part").select(
         "p_partkey", F.lower(c).alias("low"), F.upper(c).alias("up"), F.left(c, F.lit(3)).alias("l3"), F.right(c, F.lit(3)).alias("r3"),
-        F.length(c).alias("n"), F.repeat(F.lit("■"), F.length(c)).alias("bar"), F.get(F.split(c, " "), F.lit(1)).alias("second"),
+        F.length(c).alias("n"), F.repeat(F.lit(A.BAR_MARK), F.length(c)).alias("bar"), F.get(F.split(c, " "), F.lit(1)).alias("second"),
         c.startswith("red").alias("red"), c.like("%bolt%").alias("bolt"), F.replace(c, F.lit(" "), F.lit("_")).alias("under"),
     )
 
@@ -479,7 +483,7 @@ QUERIES = {
     ),
     "c11_income_shares": (
         income_shares,
-        with_sql(INCOME_SQL, body="SELECT region_id, t205 * t3 * 52.25::DOUBLE / 505153066305.0::DOUBLE * 100.0::DOUBLE AS proportion, t205 * 52.25::DOUBLE AS median_income, t3 AS population FROM income"),
+        with_sql(INCOME_SQL, body=f"SELECT region_id, t205 * t3 * 52.25::DOUBLE / {ALL_INCOME}::DOUBLE * 100.0::DOUBLE AS proportion, t205 * 52.25::DOUBLE AS median_income, t3 AS population FROM income"),
     ),
     "c11_income_histogram": (
         income_histogram,
