@@ -177,7 +177,7 @@ class Codec:
         self.kind = np.dtype(np.uint16 if len(self.vocabulary.sizes) <= 1 << 16 else np.uint32)
         code = "H" if self.kind.itemsize == 2 else "I"
         packed = lambda ids: array(code, ids).tobytes()
-        self.encoder = ChunkEncoder(lambda texts: map(packed, self.vocabulary.encode_chunks(texts)), special_tokens(path), lambda at: packed([at]))
+        self.encoder = ChunkEncoder(lambda texts: map(packed, self.vocabulary.encode_chunks(texts)), special_tokens(path), lambda at: packed([at]), CACHE)
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(self.encoder.values(text)), self.kind)
@@ -196,13 +196,15 @@ def codec(path: str) -> Codec:
     return per_worker(("codec", path), lambda: Codec(path))
 
 
+# chunks that a worker keeps, beside the tables of the vocabulary
+CACHE = 150_000
 # decoding works on this many ids at a time, so a long text needs little more than itself
 STRETCH = 1_000_000
 
 
 def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", key: str = "doc_id", texts: bool = False) -> DataFrame:
     """Encode and decode each text: doc_id, n_tokens, ids_sha256, decoded_sha256, and
-    with ``texts`` also ids (array) and decoded. A few MB of texts go out at a time."""
+    with ``texts`` also ids (array) and decoded. About a MB of texts goes out at a time."""
     path = path or tokenizer_path()
 
     def run(batches):

@@ -32,12 +32,13 @@ from pyspark.sql import functions as F
 from arealis.llm.bpe import tokenizer_path
 from arealis.llm.common import documents, per_worker, scratch_path, stored
 from arealis.llm.exact_dedup import located
-from arealis.llm.words import ChunkEncoder, special_tokens
+from arealis.llm.words import ChunkEncoder, special_tokens, together
 from arealis.session import estimated_bytes
 
 END_ID = 2
 MAGIC = b"IDSHARD1"
 SHARD_BYTES = 128 << 20
+TOGETHER = 2 << 20  # characters encoded at a time
 KEYS_PER_FILE = 50_000
 GAMMA = 2.0
 
@@ -106,18 +107,19 @@ class LibraryEncoder:
         self.encoder = ChunkEncoder(self._encode, special_tokens(path), lambda at: np.array([at], self.kind).tobytes())
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        ids = np.array(self.tokenizer.encode("".join(texts), add_special_tokens=False).ids, np.int64)
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        # the form for batches works out no places in the text
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, np.int64)
         ends = np.cumsum(self.sizes[ids])
-        cuts = np.searchsorted(ends, np.cumsum([len(t.encode()) for t in texts]), "right").tolist()
+        cuts = np.searchsorted(ends, np.cumsum(pc.binary_length(pa.array(texts, pa.string())).to_numpy().astype(np.int64)), "right").tolist()
         width, packed, at, found = self.kind.itemsize, ids.astype(self.kind).tobytes(), 0, []
         for cut in cuts:
             found.append(packed[at * width : cut * width])
             at = cut
         return found
 
-    def packed(self, text: str) -> bytes:
-        return b"".join(self.encoder.values(text))
-
 
 def write_shards(docs: DataFrame, folder: str, path: str, text: str = "text", key: str = "doc_id", end_id: int = END_ID, shards: int | None = None) -> DataFrame:
     """Write the shards; one row per document: shard, row, key, n_tokens."""
@@ -139,10 +141,11 @@ def write_shards(docs: DataFrame, folder: str, path: str, text: str = "text", ke
                 first = len(keys)
                 keys.extend(batch.column(0).fill_null(0).to_pylist())
                 nulls.extend(batch.column(0).is_null().to_pylist())
-                for value in batch.column(1):
-                    packed = encoder.packed(value.as_py() or "") + end
-                    lengths.append(len(packed) // len(end))
-                    yield packed
+                for _, texts in together(batch.column(1), TOGETHER):
+                    ids, ends = encoder.encoder.batch(texts, encoder.kind)
+                    # the end id goes in after each text
+                    yield np.insert(ids, ends[1:], end_id).astype(encoder.kind).tobytes()
+                    lengths.extend((np.diff(ends) + 1).tolist())
                 n = len(keys) - first
                 out.append(pa.RecordBatch.from_pydict({"shard": pa.array([shard] * n, pa.int64()), "row": pa.array(range(first, len(keys)), pa.int64()), "key": batch.column(0), "n_tokens": pa.array(lengths[first:], pa.int64())}))
             offsets = np.concatenate([[0], np.cumsum(np.array(lengths, "<i8"))]).astype("<i8")

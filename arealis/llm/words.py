@@ -29,7 +29,7 @@ _SINGLE = re.compile(r" (?=\S)(?<=\S )")
 
 
 # texts of a batch that are encoded together
-TOGETHER = 4 << 20
+TOGETHER = 1 << 20
 
 
 def single_spaced(text: str) -> bool:
@@ -42,13 +42,13 @@ def chunks(text: str) -> list[str]:
     return text.split(" ") if single_spaced(text) else _SINGLE.split(text)
 
 
-def together(column) -> Iterator[tuple[int, list[str]]]:
-    """The texts of a batch in runs of about ``TOGETHER`` characters, nulls as empty
-    texts, each with the place of its first."""
+def together(column, most: int = TOGETHER) -> Iterator[tuple[int, list[str]]]:
+    """The texts of a batch in runs of about ``most`` characters, nulls as empty texts,
+    each with the place of its first."""
     first, run, size = 0, [], 0
     for at, value in enumerate(column):
         text = value.as_py() or ""
-        if run and size + len(text) > TOGETHER:
+        if run and size + len(text) > most:
             yield first, run
             first, run, size = at, [], 0
         run.append(text)
@@ -69,8 +69,8 @@ class ChunkEncoder:
     values of a text's chunks come back in order; a special token's value is
     ``special(id)``."""
 
-    def __init__(self, encode: Callable[[list[str]], Iterable], specials: dict[str, int], special: Callable[[int], object]):
-        self.encode, self.new, self.old = encode, {}, {}
+    def __init__(self, encode: Callable[[list[str]], Iterable], specials: dict[str, int], special: Callable[[int], object], cache: int = CACHE):
+        self.encode, self.new, self.old, self.cache = encode, {}, {}, cache
         self.specials = {text: special(at) for text, at in specials.items()}
         parts = sorted(map(re.escape, specials), key=len, reverse=True)
         self.parts = re.compile("(" + "|".join(parts) + ")") if parts else None
@@ -83,7 +83,7 @@ class ChunkEncoder:
             return head + list(map(self.new.__getitem__, rest)) + tail
         except KeyError:
             pass
-        if len(self.new) > CACHE:
+        if len(self.new) > self.cache:
             self.new, self.old = {}, self.new
         once = {}
         missing = []
@@ -100,19 +100,17 @@ class ChunkEncoder:
 
     def _looked_up(self, wanted: list[str]) -> Iterator[bytes]:
         """Values of distinct chunks."""
-        if len(self.new) > CACHE:
+        if len(self.new) > self.cache:
             self.new, self.old = {}, self.new
         new, old = self.new, self.old
-        found = [new.get(chunk) for chunk in wanted]
+        found = list(map(new.get, wanted))
         missing = []
-        for at, value in enumerate(found):
+        for at in [at for at, value in enumerate(found) if value is None]:
+            value = found[at] = old.get(wanted[at])
             if value is None:
-                chunk = wanted[at]
-                value = found[at] = old.get(chunk)
-                if value is None:
-                    missing.append(at)
-                else:
-                    new[chunk] = value
+                missing.append(at)
+            else:
+                new[wanted[at]] = value
         for at, value in zip(missing, self.encode([" " + wanted[at] for at in missing]), strict=True):
             found[at] = value
             if len(wanted[at]) <= LONGEST:
