@@ -352,6 +352,18 @@ def test_passages(spark, none, odd):
     assert passages.repeated(odd).count() > 0
 
 
+def test_passages_of_equal_documents(spark):
+    """Copies are whole passages of the first one; what that shares with others is found."""
+    rng = random.Random(31)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    one, brief = fresh(120), fresh(45)
+    texts = [fresh(80), one, fresh(30) + one[20:100], [w.upper() for w in one], one, brief, brief, None, None, fresh(20) + brief + fresh(9) + brief[:2]]
+    found = passages.repeated(spark.createDataFrame([(i, None if t is None else "  ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)).collect()
+    rows = {(r["doc_id"], r["other_id"]): (r["start"], r["end"], r["other_start"], r["other_end"], r["alike"]) for r in found}
+    assert rows[3, 1] == rows[4, 1] == (0, 120, 0, 120, 1.0) and rows[2, 1] == (30, 110, 20, 100, 1.0)
+    assert set(rows) == {(3, 1), (4, 1), (2, 1)}
+
+
 def test_passages_of_frequent_lines(spark):
     """Passages whose lines are all frequent by themselves."""
     rng = random.Random(21)
@@ -388,6 +400,28 @@ def test_passages_down_to_alike(spark):
     assert {tuple(sorted((r["doc_id"], r["other_id"]))) for r in found} == wanted
 
 
+def test_passages_against_brute_force(spark):
+    """Of all places of runs of 51 words that two texts share, nearly all are covered."""
+    rng = random.Random(23)
+    pool = [" ".join(f"w{rng.randrange(500)}" for _ in range(rng.randrange(5, 60))) for _ in range(60)]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randrange(1, 9))) for _ in range(250)] + [" ".join(pool[:4])] * 3
+    found = passages.repeated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+    covered = defaultdict(set)
+    for r in found:
+        covered[r["doc_id"]].update(range(r["start"], r["end"]))
+        covered[r["other_id"]].update(range(r["other_start"], r["other_end"]))
+        x, y = texts[r["doc_id"]].split()[r["start"] : r["end"]], texts[r["other_id"]].split()[r["other_start"] : r["other_end"]]
+        assert min(len(x), len(y)) >= 50 and r["alike"] >= 0.8 and r["agree"] <= min(len(x), len(y))
+    places = defaultdict(set)
+    for i, t in enumerate(texts):
+        words = t.split()
+        for at in range(len(words) - 50):
+            places[tuple(words[at : at + 51])].add((i, at))
+    shared = [place for group in places.values() if len({i for i, _ in group}) > 1 for place in group]
+    missed = [1 for i, at in shared if not set(range(at, at + 51)) <= covered[i]]
+    assert len(shared) > 4000 and len(missed) <= 0.01 * len(shared)
+
+
 def test_chains():
     rng = random.Random(1)
     for _ in range(60):
