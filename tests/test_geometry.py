@@ -496,3 +496,14 @@ def test_tagging_with_a_stored_cover(spark, shapes, scattered, monkeypatch):
     plain = {tuple(r) for r in J.tag_points(scattered, shapes).select("id", "code").collect()}
     monkeypatch.setattr(J, "STORE_BYTES", 0)
     assert {tuple(r) for r in J.tag_points(scattered, shapes).select("id", "code").collect()} == plain
+
+
+def test_shapes_are_made_on_all_cores(spark, tmp_path):
+    """One small file of suppliers, read as one partition, gives shapes in several tasks."""
+    from workload import derived
+
+    rows = spark.range(400).select(F.col("id").alias("s_suppkey"), F.lit("n").alias("s_name"), (F.col("id") % 25).cast("int").alias("s_nationkey"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    for made in (derived.regions, derived.ragged, derived.lattice):
+        found = made(spark, str(tmp_path)).groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(r["count"] for r in found) == 400 and max(r["count"] for r in found) <= 200

@@ -10,12 +10,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealis.functions import geometry as G
+from arealis.session import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def suppliers(spark: SparkSession, sf: str) -> DataFrame:
+    """The suppliers over all cores: their file is one scan partition however many
+    shapes come of it, and each shape costs far more than its row."""
+    return spread(table(spark, sf, "supplier"))
+
+
 # --- regions (one per supplier) -------------------------------------------------------------
 
 SQUARE = [(-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1)]
@@ -75,7 +82,7 @@ def template(parts) -> Column:
 def regions(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("s_suppkey")
     cx, cy = centre(k)
-    base = table(spark, sf, "supplier").select(
+    base = suppliers(spark, sf).select(
         k.alias("k"),
         code(k).alias("code"),
         F.col("s_name").alias("name"),
@@ -139,7 +146,7 @@ def ragged(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("s_suppkey")
     cx, cy = centre(k)
     w, n = half_width(k), F.call_function("shiftleft", F.lit(16), (k % 4).cast("int"))
-    base = table(spark, sf, "supplier").select(
+    base = suppliers(spark, sf).select(
         k.alias("k"), code(k).alias("code"), w.alias("w"), n.alias("steps"),
         (cx - w).alias("x0"), (cy - w).alias("y0"), (w * 2 / n).alias("step"),
     )
@@ -176,7 +183,7 @@ raggeds AS (SELECT *, w * 2 / steps AS step, 4 * w * w - w * (w * 2 / steps) / 6
 def lattice(spark: SparkSession, sf: str, steps: int = 16) -> DataFrame:
     """Unit cells whose borders zigzag and are shared exactly with the neighbours."""
     k = F.col("s_suppkey")
-    base = table(spark, sf, "supplier").select(
+    base = suppliers(spark, sf).select(
         k.alias("k"), code(k).alias("code"),
         F.pmod(k, F.lit(8)).cast("double").alias("i"), F.floor(k / 8).cast("double").alias("j"),
     )

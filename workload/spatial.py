@@ -28,7 +28,7 @@ from workload.derived import (
     ragged,
     region_profile,
     regions,
-    table,
+    suppliers,
     template,
     with_sql,
 )
@@ -331,7 +331,7 @@ def made_valid(spark, sf):
     for i, (parts, _, _) in enumerate(CROSSED.values()):
         offsets = F.when(k % 4 == i, template(parts)).otherwise(offsets)
     cx, cy = centre(k)
-    crossed = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k")).select(
+    crossed = suppliers(spark, sf).select(F.col("s_suppkey").alias("k")).select(
         "k", code(k).alias("code"), G.map_vertices(offsets, lambda v: G.make_point(cx + half_width(k) * v["x"], cy + half_width(k) * v["y"])).alias("geom")
     )
     mended = crossed.select("code", R.is_simple("geom").alias("before"), make_valid("geom").alias("geom"))
