@@ -4,7 +4,8 @@ Only edges travel. A union first adds up what edges of one group run along each
 inside tasks; borders inside a group cancel there, and what is left, the group's own
 outline and edges that cross, is traced per group. Turning lines to regions never gathers
 the lines: the edge that follows along a face is found around each point by a window, the
-faces are named by doubling steps along them, and a task gathers one face.
+faces are named by doubling steps along them, and a task gathers one face. Edges are
+merged to lines in the same way.
 """
 
 from __future__ import annotations
@@ -64,10 +65,28 @@ def dissolve(df: DataFrame, group: str | Sequence[str], geom: str = "geom", tile
 
 
 def merged_lines(edges: DataFrame, group: str | Sequence[str], line: str = "line") -> DataFrame:
-    """Edges x1, y1, x2, y2 joined to lines between ends and forks, a row per line."""
+    """Edges x1, y1, x2, y2 joined to lines between ends and forks, a row per line.
+
+    No group is gathered: where just two edges meet, one goes on into the other, lines
+    are named by doubling steps along them, and a task gathers one line."""
     keys = [group] if isinstance(group, str) else list(group)
     once = _canonical(edges.withColumn("n", F.lit(1)), *keys).drop("n").distinct()
-    return once.groupBy(*keys).agg(merge_lines(F.collect_list(F.struct(*ENDS))).alias("_lines")).select(*keys, F.explode("_lines").alias(line))
+    once = stored(once.select(F.monotonically_increasing_id().alias("_edge"), *keys, *ENDS), "edges")
+    # going along an edge it arrives at its larger end, coming back at its smaller one
+    there, back = ((F.col("_edge") * 2 + k, F.col(f"x{end}"), F.col(f"y{end}")) for k, end in ((0, 2), (1, 1)))
+    arrivals = F.explode(F.array(*[F.struct(h.alias("id"), x.alias("x"), y.alias("y")) for h, x, y in (there, back)])).alias("_at")
+    place = Window.partitionBy(*[F.col(f"`{k}`") for k in keys], "_at.x", "_at.y")
+    mine, low, high = F.col("_at.id"), F.min("_at.id").over(place), F.max("_at.id").over(place)
+    onward = F.when(mine == low, high).otherwise(low).bitwiseXOR(F.lit(1))
+    following = F.when(F.count(F.lit(1)).over(place) == 2, onward).otherwise(mine)
+    half = stored(once.select(*keys, arrivals).select(mine.alias("id"), following.alias("following")), "half-edges")
+    # the least name ahead, in either direction, is the least of the line
+    ends = F.col("following") == F.col("id")
+    named = _named_faces(half).groupBy(F.shiftright("id", 1).alias("_edge")).agg(
+        F.min(F.shiftright("loop", 1)).alias("_line"), *[F.max(F.when(F.col("id") % 2 == k, ends)).alias(name) for k, name in ((1, "stop1"), (0, "stop2"))]
+    )
+    steps = F.collect_list(F.struct(*ENDS, "stop1", "stop2"))
+    return once.join(named, "_edge").groupBy(*keys, "_line").agg(merge_lines(steps).alias("_lines")).select(*keys, F.explode("_lines").alias(line))
 
 
 def layer_edges(df: DataFrame, geom: str = "geom") -> DataFrame:

@@ -189,6 +189,17 @@ def test_merged_lines(spark):
     assert lines == [[(0, 0), (1, 0), (2, 0)], [(2, 0), (2, 1)], [(2, 0), (3, 0)], [(5, 5), (6, 5), (6, 6), (5, 5)]]
 
 
+def test_merged_lines_gather_a_line_each(spark, monkeypatch):
+    """Lines that come back to their fork begin there, and no task holds a whole group."""
+    edges = [(4, 4, 3, 5), (3, 5, 3, 3), (3, 3, 4, 4), (4, 4, 9, 4)] + [(i, 20, i + 1, 20) for i in range(5)] + [(5, 20, 5, 25), (5, 20, 6, 20)]
+    df = edge_frame(spark, edges).withColumn("id", F.explode(F.array(F.lit(1), F.lit(None))))
+    found = [(r["id"], tuple(tuple(v) for v in r["line"])) for r in overlay.merged_lines(df, "id").collect()]
+    lines = [((4, 4), (3, 3), (3, 5), (4, 4)), ((4, 4), (9, 4)), tuple((i, 20) for i in range(6)), ((5, 20), (5, 25)), ((5, 20), (6, 20))]
+    assert sorted(found, key=str) == sorted([(k, line) for k in (1, None) for line in lines], key=str)
+    monkeypatch.setattr(overlay, "merge_lines", lambda steps: F.array(F.size(steps)))
+    assert sorted(r["line"] for r in overlay.merged_lines(df, "id").collect()) == [1] * 6 + [3, 3, 5, 5]
+
+
 def test_sql_names(spark, shapes):
     register(spark)
     shapes.createOrReplaceTempView("sql_shapes")
