@@ -28,6 +28,10 @@ LEVELS = (-12, 12)
 # The cover of a layer estimated larger than this is written once, not worked out
 # again for the join after it was measured.
 STORE_BYTES = 4 * 1024 * 1024
+# Candidates that a task of a join of shapes should have, and the most that one cell
+# gives to a task.
+TASK_PAIRS = 4_000_000
+CELL_PAIRS = 1_000_000
 # Mean earth radius in metres and metres per degree of latitude on it.
 EARTH_RADIUS = 6371008.8
 METRES_PER_DEGREE = EARTH_RADIUS * math.pi / 180.0
@@ -299,8 +303,35 @@ def _pair_cells(df: DataFrame, levels: Sequence[int], tag: str) -> DataFrame:
     return bands.withColumn("_ci", F.explode(F.sequence(_index(F.col(f"{tag}_x0"), level), _index(F.col(f"{tag}_x1"), level))))
 
 
-def candidate_pairs(a: DataFrame, b: DataFrame, geom: str = "geom") -> DataFrame:
-    """Pairs of rows whose boxes meet, each once; geometries as ``a_geom, b_geom``.
+def _dealt(left: DataFrame, right: DataFrame, keys: Sequence[str], cell_pairs: int, task_pairs: int) -> DataFrame:
+    """``left`` and ``right`` joined on cells, in tasks of about as many pairs each: a
+    join's work follows its pairs, not the bytes that tasks are otherwise made by. Of a
+    cell with very many pairs the side with more rows is dealt to several tasks and the
+    other repeated in each. Both sides are read more than once."""
+    sides = [df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)) for df, n in ((left, "_l"), (right, "_r"))]
+    per = stored(sides[0].join(sides[1], keys).withColumn("_pairs", F.col("_l") * F.col("_r")), "cells")
+    total = per.agg(F.sum("_pairs")).first()[0] or 0
+    if total <= cell_pairs:
+        return left.join(right, keys)
+    hot = per.filter(F.col("_pairs") > cell_pairs).select(*keys, F.ceil(F.col("_pairs") / cell_pairs).cast("int").alias("_salts"), (F.col("_l") >= F.col("_r")).alias("_many"))
+    tasks = max(left.sparkSession.sparkContext.defaultParallelism, math.ceil(total / task_pairs))
+
+    def placed(df: DataFrame, more: Column) -> DataFrame:
+        salts = F.coalesce("_salts", F.lit(1))
+        one = F.array(F.pmod(F.xxhash64("_row"), salts).cast("int"))
+        salt = F.explode(F.when(more, one).otherwise(F.sequence(F.lit(0), salts - 1))).alias("_salt")
+        found = df.withColumn("_row", F.monotonically_increasing_id()).join(hot, keys, "left")
+        return found.select(*df.columns, salt).repartition(tasks, *keys, "_salt")
+
+    many = F.coalesce("_many", F.lit(True))
+    return placed(left, many).join(placed(right, ~many), [*keys, "_salt"]).drop("_salt")
+
+
+def candidate_pairs(
+    a: DataFrame, b: DataFrame, geom: str = "geom", on: Sequence[str] = (), cell_pairs: int = CELL_PAIRS, task_pairs: int = TASK_PAIRS
+) -> DataFrame:
+    """Pairs of rows whose boxes meet, each once; geometries as ``a_geom, b_geom``. With
+    ``on`` the rows must agree in these columns, too.
 
     A pair meets at the coarser of its two levels, where both take few cells, and
     only the cell holding the corner of the shared box reports it, so no
@@ -312,17 +343,19 @@ def candidate_pairs(a: DataFrame, b: DataFrame, geom: str = "geom") -> DataFrame
         box = [f"{tag}_{side}" for side in ("x0", "y0", "x1", "y1")]
         out = G.with_bbox(known, geom, box).select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns], *box)
         extent = F.greatest(F.col(f"{tag}_x1") - F.col(f"{tag}_x0"), F.col(f"{tag}_y1") - F.col(f"{tag}_y0"))
-        return out.withColumn("_level", _grid_level(extent))
+        same = {f"_on_{c}": F.col(f"{tag}_{c}") for c in on}
+        return stored(out.withColumns({"_level": _grid_level(extent), **same}), "boxes")
 
     left, right = boxed(a, "a"), boxed(b, "b")
     found = left.select("_level").union(right.select("_level")).agg(F.collect_set("_level").alias("l")).first()
     levels = sorted(found["l"]) or [0]
     left, right = _pair_cells(left, levels, "a"), _pair_cells(right, levels, "b")
-    keys = ["_level", "_ci", "_cj"]
+    keys = ["_level", "_ci", "_cj", *[f"_on_{c}" for c in on]]
     own_left = left.filter(F.col("_own") == F.col("_level")).drop("_own")
     own_right = right.filter(F.col("_own") == F.col("_level")).drop("_own")
     finer_left = left.filter(F.col("_own") < F.col("_level")).drop("_own")
-    pairs = own_left.join(right.drop("_own"), keys).unionByName(finer_left.join(own_right, keys))
+    dealt = [_dealt(one, other, keys, cell_pairs, task_pairs) for one, other in ((own_left, right.drop("_own")), (finer_left, own_right))]
+    pairs = dealt[0].unionByName(dealt[1])
     x0, y0 = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0")
     meet = (x0 <= F.least("a_x1", "b_x1")) & (y0 <= F.least("a_y1", "b_y1"))
     reporting = (_index(x0, F.col("_level")) == F.col("_ci")) & (_index(y0, F.col("_level")) == F.col("_cj"))

@@ -507,3 +507,22 @@ def test_shapes_are_made_on_all_cores(spark, tmp_path):
     for made in (derived.regions, derived.ragged, derived.lattice):
         found = made(spark, str(tmp_path)).groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert sum(r["count"] for r in found) == 400 and max(r["count"] for r in found) <= 200
+
+
+def test_crowded_cells_are_dealt_to_tasks(spark):
+    """Pairs of one crowded cell come from several tasks, each once."""
+    rng = random.Random(3)
+
+    def boxes(n, sizes):
+        corners = [(rng.uniform(0, 3), rng.uniform(0, 3), rng.choice(sizes)) for _ in range(n)]
+        rows = [(i, polygon([[(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]]), i % 2) for i, (x, y, w) in enumerate(corners)]
+        return corners, spark.createDataFrame(rows, f"id int, geom {G.GEOM_TYPE}, kind int")
+
+    (a, left), (b, right) = boxes(90, [0.02, 0.3, 2]), boxes(120, [0.05, 1, 1.5])
+    common = {(i, j): max(0, min(x + w, u + v) - max(x, u)) * max(0, min(y + w, t + v) - max(y, t)) for i, (x, y, w) in enumerate(a) for j, (u, t, v) in enumerate(b)}
+    meet = {k for k, v in common.items() if v > 0}
+    pairs = J.candidate_pairs(left, right, cell_pairs=200, task_pairs=500).select("a_id", "b_id", F.spark_partition_id().alias("p")).collect()
+    assert len(pairs) == len(meet) and {(r[0], r[1]) for r in pairs} == meet
+    assert max(sum(r["p"] == p for r in pairs) for p in {r["p"] for r in pairs}) < len(pairs) / 3
+    alike = J.candidate_pairs(left, right, on=["kind"], cell_pairs=200).select("a_id", "b_id").collect()
+    assert {tuple(r) for r in alike} == {(i, j) for i, j in meet if i % 2 == j % 2} and len(alike) == len(set(alike))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from arealis.functions import arrow_geometry as R
 from arealis.functions import geometry as G
-from arealis.functions.arrangement import buffered, make_valid
+from arealis.functions.arrangement import buffered, generated, make_valid
 from arealis.functions.delaunay import concave_hull
 from arealis.functions.register import register
 from arealis.operators import spatial_join as J
@@ -206,8 +206,9 @@ def overlaps(spark, sf):
 def common_areas(spark, sf):
     """Common area of every region and customer box that meet, holes included."""
     pairs = J.candidate_pairs(shapes(spark, sf).select("code", "geom"), _squares(spark, sf))
-    common = pairs.select("a_code", "b_box_id", F.round(R.intersection_area("a_geom", "b_geom"), 9).alias("common_area"))
-    return common.filter(F.col("common_area") > 0)
+    common = pairs.select("a_code", "b_box_id", R.intersection_area("a_geom", "b_geom").alias("common_area"))
+    # generated, so that the filter does not work each area out twice
+    return generated(common, "common_area", F.round("common_area", 9)).filter(F.col("common_area") > 0)
 
 
 SQUARES_SQL = """
