@@ -363,33 +363,60 @@ def candidate_pairs(
     return pairs.filter(meet & reporting).select(*names)
 
 
-def overlap_areas(a: DataFrame, b: DataFrame, a_id: str, b_id: str, geom: str = "geom") -> DataFrame:
-    """The common area of every two shapes that share any: a_id, b_id, common_area.
+def overlap_areas(
+    a: DataFrame, b: DataFrame, a_id: str, b_id: str, geom: str = "geom", share: float = 0.0, cell_pairs: int = CELL_PAIRS, task_pairs: int = TASK_PAIRS
+) -> DataFrame:
+    """The common area of every two shapes that share any: a_id, b_id, common_area. With
+    ``share`` pairs may be missing that have at most this part of b's area in common.
 
     Shapes are cut into the cells of grids, and only pieces travel. Each takes part in
     the grid of its own size and in the coarser ones that the other layer uses; a pair
-    meets in the coarser of its two grids. Cells that a shape fills carry no geometry:
-    there the other's area counts. The areas of a pair's pieces are added up.
+    meets in the coarser of its two grids, and two finer shapes never do there. Cells
+    that a shape fills carry no geometry: there the other's area counts. The areas of a
+    pair's pieces are added up. A shape of a meets only shapes of b that its boxes are
+    large enough for: b is told apart by the power of two below what it needs.
     """
 
-    def sized(df: DataFrame, key: str) -> DataFrame:
+    def sized(df: DataFrame, key: str, size: Column) -> DataFrame:
         known = spread(df.filter(F.col(geom).isNotNull() & (G.npoints(geom) > 0)))
         extent = F.greatest(G.xmax(geom) - G.xmin(geom), G.ymax(geom) - G.ymin(geom))
-        return known.select(F.col(key).alias("_key"), F.col(geom).alias("_geom"), _grid_level(extent).alias("_own"))
-
-    left, right = sized(a, a_id), sized(b, b_id)
-    # a handful of level numbers
-    used = [sorted(r[0] for r in df.select("_own").distinct().collect()) for df in (left, right)]
-
-    def pieces(df: DataFrame, others: Sequence[int], tag: str) -> DataFrame:
-        coarser = F.filter(F.array(*[F.lit(v) for v in others]).cast("array<int>"), lambda v: v > F.col("_own"))
-        levels = F.concat(F.array("_own"), coarser)
-        cut = df.select(F.col("_key").alias(tag), "_own", F.explode(pieces_by_cell("_geom", levels)).alias("p"))
-        return cut.select(tag, F.col("p.level").alias("level"), "p.ci", "p.cj", (F.col("_own") == F.col("p.level")).alias(f"{tag}_own"), *[F.col(f"p.{c}").alias(f"{tag}_{c}") for c in ("full", "area", "piece")])
-
-    met = pieces(left, used[1], "a").join(pieces(right, used[0], "b"), ["level", "ci", "cj"]).filter("a_own or b_own")
+        power = F.floor(F.log2(size)).cast("int") if share > 0 else F.lit(0)
+        made = known.select(F.col(key).alias("_key"), F.col(geom).alias("_geom"), _grid_level(extent).alias("_own"), power.alias("_power"))
+        return made.filter(F.col("_power").isNotNull())
+
+    # no part of b has more in common with a part of a than the box of a holds
+    boxes = (G.xmax(geom) - G.xmin(geom)) * (G.ymax(geom) - G.ymin(geom)) * G.num_parts(geom)
+    left, right = sized(a, a_id, boxes), sized(b, b_id, G.area(geom) / G.num_parts(geom) * (share * (1 - 1e-9)))
+    # a handful of levels and powers
+    used = [[tuple(r) for r in df.select("_own", "_power").distinct().collect()] for df in (left, right)]
+
+    def met(level: Column, own: Column, mine: int) -> Column:
+        """The powers of b that the row can meet on this level."""
+        known = [F.struct(F.lit(v).alias("own"), F.lit(p).alias("power")) for v, p in used[1 - mine]]
+        if not known:
+            return F.array().cast("array<int>")
+        enough = (lambda p: p <= F.col("_power")) if mine == 0 else (lambda p: p >= F.col("_power"))
+        found = F.filter(F.array(*known), lambda o: F.when(own, o["own"] <= level).otherwise(o["own"] == level) & enough(o["power"]))
+        return F.array_distinct(F.transform(found, lambda o: o["power"]))
+
+    def pieces(df: DataFrame, mine: int, tag: str) -> DataFrame:
+        coarser = F.filter(F.array(*[F.lit(v) for v in sorted({v for v, _ in used[1 - mine]})]).cast("array<int>"), lambda v: v > F.col("_own"))
+        levels = F.filter(F.concat(F.array("_own"), coarser), lambda v: F.size(met(v, v == F.col("_own"), mine)) > 0)
+        # an inner explode would cut twice, to filter the rows without pieces beforehand
+        asked = df.withColumn("_levels", levels)
+        cut = asked.select(F.col("_key").alias(tag), "_own", "_power", F.explode_outer(pieces_by_cell("_geom", F.col("_levels"))).alias("p")).filter("p.level IS NOT NULL")
+        own = F.col("_own") == F.col("p.level")
+        cut = cut.select(tag, F.col("p.level").alias("level"), "p.ci", "p.cj", "_power", own.alias(f"{tag}_own"), *[F.col(f"p.{c}").alias(f"{tag}_{c}") for c in ("full", "area", "piece")])
+        power = F.explode(met(F.col("level"), F.col(f"{tag}_own"), 0)) if mine == 0 else F.col("_power")
+        return stored(cut, "pieces").withColumn("power", power).drop("_power")
+
+    left, right = pieces(left, 0, "a"), pieces(right, 1, "b")
+    keys = ["level", "ci", "cj", "power"]
+    both = ((left.filter("a_own"), right), (left.filter("not a_own"), right.filter("b_own")))
+    dealt = [_dealt(one, other, keys, cell_pairs, task_pairs) for one, other in both]
+    met_pieces = dealt[0].unionByName(dealt[1])
     part = F.when(F.col("a_full"), F.col("b_area")).when(F.col("b_full"), F.col("a_area")).otherwise(intersection_area("a_piece", "b_piece"))
-    shared = met.select(F.col("a").alias(a_id), F.col("b").alias(b_id), part.alias("common_area"))
+    shared = met_pieces.select(F.col("a").alias(a_id), F.col("b").alias(b_id), part.alias("common_area"))
     return shared.groupBy(a_id, b_id).agg(F.sum("common_area").alias("common_area")).filter("common_area > 0")
 
 
@@ -398,7 +425,7 @@ def match_by_overlap(a: DataFrame, b: DataFrame, share: float = 0.5, geom: str =
     of both, as ``a_`` and ``b_``, with ``common_area`` and ``overlap``."""
     a, b = (stored(df.select(F.monotonically_increasing_id().alias(key), "*"), "layer") for df, key in ((a, "_a"), (b, "_b")))
     sized = b.select("_b", G.area(geom).alias("_area"))
-    found = overlap_areas(a, b, "_a", "_b", geom).join(sized, "_b")
+    found = overlap_areas(a, b, "_a", "_b", geom, share).join(sized, "_b")
     found = found.withColumn("overlap", F.try_divide("common_area", "_area")).filter(F.col("overlap") > share)
     others = lambda df, tag: df.select(f"_{tag}", *[F.col(c).alias(f"{tag}_{c}") for c in df.columns if c not in (geom, f"_{tag}")])
     return found.join(others(a, "a"), "_a").join(others(b, "b"), "_b").drop("_a", "_b", "_area").select(

@@ -510,7 +510,8 @@ def test_shapes_are_made_on_all_cores(spark, tmp_path):
 
 
 def test_crowded_cells_are_dealt_to_tasks(spark):
-    """Pairs of one crowded cell come from several tasks, each once."""
+    """Pairs of one crowded cell come from several tasks, each once; a share leaves out
+    only shapes too small for it."""
     rng = random.Random(3)
 
     def boxes(n, sizes):
@@ -526,3 +527,10 @@ def test_crowded_cells_are_dealt_to_tasks(spark):
     assert max(sum(r["p"] == p for r in pairs) for p in {r["p"] for r in pairs}) < len(pairs) / 3
     alike = J.candidate_pairs(left, right, on=["kind"], cell_pairs=200).select("a_id", "b_id").collect()
     assert {tuple(r) for r in alike} == {(i, j) for i, j in meet if i % 2 == j % 2} and len(alike) == len(set(alike))
+    for share, dealt in ((0.0, 200), (0.5, 200), (0.9, 10**6)):
+        want = {k: v for k, v in common.items() if v > share * b[k[1]][2] ** 2}
+        found = J.overlap_areas(left.withColumnRenamed("id", "one"), right.withColumnRenamed("id", "other"), "one", "other", share=share, cell_pairs=dealt, task_pairs=500).collect()
+        got = {(r["one"], r["other"]): r["common_area"] for r in found if r["common_area"] > 1e-12}
+        assert len({(r["one"], r["other"]) for r in found}) == len(found) and all(got[k] == pytest.approx(v) for k, v in want.items())
+        assert all(got[k] == pytest.approx(common[k]) for k in got) and (share or set(got) == meet)
+        assert not share or not any(a[i][2] ** 2 * 2 < share * b[j][2] ** 2 for i, j in got)
