@@ -189,6 +189,26 @@ def test_merged_lines(spark):
     assert lines == [[(0, 0), (1, 0), (2, 0)], [(2, 0), (2, 1)], [(2, 0), (3, 0)], [(5, 5), (6, 5), (6, 6), (5, 5)]]
 
 
+def test_unions_do_not_go_along_with_regions(spark, tmp_path):
+    """The comparison of regions with their state's union joins pieces of it."""
+    from workload import spatial
+
+    rows = spark.range(200).select(F.col("id").alias("s_suppkey"), F.lit("n").alias("s_name"), F.when(F.col("id") % 9 > 0, F.lit(1)).alias("s_nationkey"))
+    rows.write.parquet(str(tmp_path / "supplier.parquet"))
+    found, seen = spatial.R.intersection_area, []
+
+    def measured(a, b):
+        seen.append(b)
+        return found(a, b) + F.when(G.npoints(b) > 256, F.raise_error(F.lit("a whole union"))).otherwise(F.lit(0.0))
+
+    spatial.R.intersection_area = measured
+    try:
+        out = spatial.dissolved_states(spark, str(tmp_path)).collect()
+    finally:
+        spatial.R.intersection_area = found
+    assert seen and [(r["state"], r["regions"] == r["covered"] > 100, r["once"], r["valid"]) for r in out] == [("S1", True, True, True)]
+
+
 def test_merged_lines_gather_a_line_each(spark, monkeypatch):
     """Lines that come back to their fork begin there, and no task holds a whole group."""
     edges = [(4, 4, 3, 5), (3, 5, 3, 3), (3, 3, 4, 4), (4, 4, 9, 4)] + [(i, 20, i + 1, 20) for i in range(5)] + [(5, 20, 5, 25), (5, 20, 6, 20)]

@@ -12,6 +12,7 @@ from arealis.functions.register import register
 from arealis.operators import spatial_join as J
 from arealis.operators import stats as A
 from arealis.plans import dots, overlay, thinning
+from arealis.session import stored
 from workload.derived import (
     CUSTOMER_POINTS_SQL,
     POINTS_SQL,
@@ -349,10 +350,14 @@ def dissolved(spark, sf):
 def dissolved_states(spark, sf):
     """Regions of one state, overlapping ones among them: nothing of them is left out,
     nothing is counted twice, and the result is valid."""
-    own = regions(spark, sf)
-    united = overlay.dissolve(own, "state").select("state", "geom")
-    inside = own.filter(F.size("geom") > 0).join(united.withColumnRenamed("geom", "whole"), "state")
-    kept = inside.groupBy("state").agg(F.count(F.lit(1)).alias("regions"), F.sum(F.when(F.abs(R.intersection_area("geom", "whole") - G.area("geom")) < 1e-6, 1).otherwise(0)).alias("covered"), F.sum(G.area("geom")).alias("total"))
+    own = stored(regions(spark, sf).select(F.monotonically_increasing_id().alias("row"), "state", "geom"), "regions").filter(F.size("geom") > 0)
+    united = stored(overlay.dissolve(regions(spark, sf), "state").select("state", "geom"), "states")
+    # a state's union is compared in pieces, as each would go along with every region
+    pieces = thinning.subdivide(G.dump_parts(united).select("state", "geom"))
+    pairs = J.candidate_pairs(own, pieces, on=["state"])
+    common = pairs.select(F.col("a_row").alias("row"), R.intersection_area("a_geom", "b_geom").alias("area")).groupBy("row").agg(F.sum("area").alias("common"))
+    inside = own.join(united.select("state"), "state").join(common, "row", "left").withColumn("area", G.area("geom"))
+    kept = inside.groupBy("state").agg(F.count(F.lit(1)).alias("regions"), F.sum(F.when(F.abs(F.coalesce("common", F.lit(0.0)) - F.col("area")) < 1e-6, 1).otherwise(0)).alias("covered"), F.sum("area").alias("total"))
     return united.join(kept, "state").select("state", "regions", "covered", (G.area("geom") <= F.col("total") + 1e-6).alias("once"), R.is_simple("geom").alias("valid"))
 
 
