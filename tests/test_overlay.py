@@ -84,6 +84,14 @@ def test_union_of_squares():
     assert (covered == strictly_inside(tries, ring_edges(found))).all() and rings_are_simple(found)
 
 
+def test_union_of_shapes_level_with_a_vertex():
+    """What lies right of the place where two edges of another shape begin is beside it."""
+    diamond, box = shape([[(0, 0), (1, 1), (0, 2), (-1, 1), (0, 0)]]), shape([[(3, 0), (4, 0), (4, 1), (3, 1), (3, 0)]])
+    far = shape([[(-9, 0), (-8, 0), (-8, 3), (-9, 3), (-9, 0)]])
+    assert area(A.united(ring_edges([*far, *diamond, *box]))) == 6.0
+    assert area(A.united(ring_edges([*shape([[(-20, -20), (20, -20), (20, 20), (-20, 20), (-20, -20)]]), *diamond, *box]))) == 1600.0
+
+
 # --- buffers --------------------------------------------------------------------------------
 
 
