@@ -167,6 +167,47 @@ def test_vectors(spark, monkeypatch):
     assert vector_join.linked(table.limit(0)).count() == 0
 
 
+def near_ones(rng, kind):
+    """Random vectors of 64 components, some near others or equal, a dense group, and a few
+    of another length; no cosine lies at the limit itself."""
+    x = rng.normal(size=(260, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    shift = rng.normal(size=(120, 64))
+    shift /= np.linalg.norm(shift, axis=1)[:, None]
+    close = x[:120] + shift * np.linspace(0.05, 0.6, 120)[:, None]
+    group = x[200] + rng.normal(size=(90, 64)) * 0.01
+    other = rng.normal(size=(3, 40))
+    rows = [*x, *close, *group, *x[:20], other[0], other[0] * 2, other[1], other[2], other[2]]
+    return [(i, [float(v) for v in np.asarray(r, kind)]) for i, r in enumerate(rows)]
+
+
+@pytest.mark.parametrize("kind,sample,most", [("float32", 1024, 24 << 20), ("float64", 3, -1)])
+def test_vectors_are_not_copied_to_cells(spark, monkeypatch, kind, sample, most):
+    for name, value in (("CELL", 40), ("TILE", 64), ("STREAM", 16), ("SAMPLE", sample), ("BROADCAST_BYTES", most), ("UNIT", 5)):
+        monkeypatch.setattr(vector_join, name, value)
+    rows = near_ones(np.random.default_rng(7), kind)
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<{'float' if kind == 'float32' else 'double'}>").repartition(3)
+    dealt, repartition = [], type(table).repartition
+    monkeypatch.setattr(type(table), "repartition", lambda self, *args: (dealt.append(self.count()), repartition(self, *args))[1])
+    found = {r["id"]: (r["n_links"], r["component"]) for r in vector_join.linked(table).collect()}
+    # only so many rows as there are vectors, though each may have partners in any cell
+    assert dealt and max(dealt) <= len(rows)
+    good = {i: np.array(v, float) / np.linalg.norm(v) for i, v in rows}
+    links = [(i, j) for i in good for j in good if i != j and len(good[i]) == len(good[j]) and good[i] @ good[j] >= 0.95]
+    degree, comp = Counter(i for i, _ in links), linked(list(good), links)
+    assert found == {i: (degree[i], comp[i]) for i in good}
+
+
+def test_few_dimensions_lose_no_pair():
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(200, 80)) * rng.random(80), rng.normal(size=(40, 80)) * 0.02 + 1])
+    y = np.concatenate([x[:100] + rng.normal(size=(100, 80)) * 0.2, rng.normal(size=(50, 80))])
+    x, y = (vector_join.normed(z) for z in (x, y))
+    for main in (vector_join.directions(x), vector_join.directions(x[:5]), np.eye(31, 80)):
+        few = [vector_join.reduced(z, main) for z in (x, y)]
+        assert few[0].shape[1] <= vector_join.FEW and (few[0] @ few[1].T + vector_join.rounding(32) >= x @ y.T).all()
+
+
 # --- tokens -----------------------------------------------------------------------------------
 
 
