@@ -463,6 +463,48 @@ def test_passages_against_brute_force(spark):
     assert len(shared) > 4000 and len(missed) <= 0.01 * len(shared)
 
 
+def test_partners_of_every_place():
+    """Each place of a hash that two documents have meets one of another document."""
+    rng = random.Random(1)
+    for _ in range(500):
+        rows = sorted({(rng.randrange(4), rng.randrange(5), rng.randrange(40)) for _ in range(rng.randrange(1, 40))})
+        of = defaultdict(set)
+        for h, d, _ in rows:
+            of[h].add(d)
+        hashes, docs, at = (np.array(x) for x in zip(*rows))
+        first, second, a, b = passages.partners(*passages.recurring(docs, at, hashes.astype(np.uint64)))
+        kinds = defaultdict(set)
+        for h, d, p in rows:
+            kinds[d, p].add(h)
+        assert (first < second).all() and all(kinds[i, x] & kinds[j, y] for i, j, x, y in zip(*(z.tolist() for z in (first, second, a, b))))
+        met = {*zip(first.tolist(), a.tolist()), *zip(second.tolist(), b.tolist())}
+        assert all((d, p) in met for h, d, p in rows if len(of[h]) > 1)
+
+
+def test_passages_that_one_text_repeats(spark):
+    """Every place of a run of 50 words that two texts share is in a row, also where a text
+    has it more often than all others, or both repeat one word."""
+    rng = random.Random(43)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    part, other = fresh(70), fresh(60)
+    texts = [fresh(30) + part + fresh(9), [w for _ in range(4) for w in [*fresh(20), *part]], fresh(8) + part + part + fresh(5)]
+    texts += [other * 3 + fresh(12), fresh(5) + other, fresh(80)]
+    texts += [fresh(6) + ["x"] * n + fresh(7) for n in (90, 480, 200)] + [["y"] * 60 + fresh(3) + ["y"] * 130, fresh(4) + ["y"] * 55]
+    found = passages.repeated(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)).collect()
+    covered = defaultdict(set)
+    for r in found:
+        x, y = texts[r["doc_id"]][r["start"] : r["end"]], texts[r["other_id"]][r["other_start"] : r["other_end"]]
+        assert r["doc_id"] != r["other_id"] and min(len(x), len(y)) >= 40 and r["agree"] <= min(len(x), len(y))
+        covered[r["doc_id"]].update(range(r["start"], r["end"]))
+        covered[r["other_id"]].update(range(r["other_start"], r["other_end"]))
+    places = defaultdict(set)
+    for i, words in enumerate(texts):
+        for at in range(len(words) - 49):
+            places[tuple(words[at : at + 50])].add((i, at))
+    shared = [place for group in places.values() if len({i for i, _ in group}) > 1 for place in group]
+    assert len(shared) > 900 and all(set(range(at, at + 50)) <= covered[i] for i, at in shared)
+
+
 def test_chains():
     rng = random.Random(1)
     for _ in range(60):
